@@ -19,6 +19,7 @@ from ..functions.text import max_copies
 from ..operators import baskets as B
 from ..operators import catalog as C
 from ..operators import splits as S
+from ..session import cut_lineage
 
 # Fixed values of the binding.
 FACETS = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
@@ -105,6 +106,12 @@ def played(spark: SparkSession, folder: str) -> DataFrame:
     return headers(spark, folder).join(held, "basket", "left_semi")
 
 
+def stored(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Items, lines and headers written once, for plans that read them several times."""
+    index = cut_lineage(items(spark, folder))
+    return index, cut_lineage(lines(spark, folder, index)), cut_lineage(played(spark, folder))
+
+
 def known_map(spark: SparkSession, folder: str, index: DataFrame) -> DataFrame:
     """Variant map of an older catalogue, so that rewriting meets unknown variants."""
     older = variants(spark, folder).filter(F.col("number") <= KNOWN_SIZE)
