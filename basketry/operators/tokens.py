@@ -93,23 +93,28 @@ def pair_counts(words: DataFrame) -> DataFrame:
 def _independent(ranked: Sequence[tuple[str, str, int]], known: set[str], complete: bool) -> list[tuple[str, str]]:
     """Longest head of the ranked pairs that one-by-one merging would take unchanged.
 
-    A merge only changes counts of pairs that touch its symbols, and a pair it creates is
-    no more frequent than one it touches. So the head may run until the first pair that
-    shares a symbol with an earlier one; pairs tied with that one (or with the unseen rest
-    of an incomplete list) are left for the next pass.
+    Merging (a, b) touches pairs that end in ``a`` or start with ``b`` and no others, and a
+    pair it creates is no more frequent than one of those. So the head may run until the
+    first pair that chains with an earlier one (the right symbol of one is the left symbol
+    of the other); pairs tied with that one, or with the unseen rest of an incomplete list,
+    are left for the next pass. A merge that yields an already known symbol ends the head,
+    since it adds to that symbol's pairs.
     """
     taken: list[tuple[str, str, int]] = []
-    used: set[str] = set()
+    lefts: set[str] = set()
+    rights: set[str] = set()
+    made = set(known)
     floor = 0 if complete else ranked[-1][2]
     for lhs, rhs, n in ranked:
-        joined = lhs + rhs
-        if taken and {lhs, rhs, joined} & used:
+        if taken and (lhs in rights or rhs in lefts):
             floor = max(floor, n)
             break
         taken.append((lhs, rhs, n))
-        used |= {lhs, rhs, joined}
-        if joined in known:
+        lefts.add(lhs)
+        rights.add(rhs)
+        if lhs + rhs in made or lhs == rhs:
             break
+        made.add(lhs + rhs)
     head = [t for t in taken if t[2] > floor]
     return [(a, b) for a, b, _ in (head or taken[:1])]
 
@@ -142,14 +147,14 @@ def learn_merges(counts: DataFrame, vocab_size: int = VOCAB_SIZE, reserved: int
     """
     room = vocab_size - len(SPECIALS) - reserved - 256
     words = cut_lineage(counts.filter(F.length("pretoken") > 0).select(byte_symbols(F.col("pretoken")).alias("symbols"), "n"))
-    if words.isEmpty():
-        raise ValueError("no training texts")
     merges: list[tuple[str, str]] = []
     known: set[str] = set()
     while len(known) < room:
         top = pair_counts(words).filter(F.col("n") >= min_frequency).orderBy(
             F.desc("n"), "lhs", "rhs").limit(batch + 1).collect()
         if not top:
+            if not merges and words.isEmpty():
+                raise ValueError("no training texts")
             break
         pairs = _independent([(r["lhs"], r["rhs"], r["n"]) for r in top], known, len(top) <= batch)
         pairs = pairs[: room - len(known)]

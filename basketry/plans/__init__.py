@@ -1,6 +1,6 @@
 """Registered queries over the bench tables."""
 
-from . import baskets, catalogue, examples  # noqa: F401
+from . import baskets, catalogue, documents, evaluation, examples, metrics, texts  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

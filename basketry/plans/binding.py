@@ -213,7 +213,10 @@ def r6(value: str) -> str:
 
 
 def with_ctes(wanted: str, body: str, extra: str = "") -> str:
-    """Prefix ``body`` with the named views (space separated) and their needs."""
+    """Prefix ``body`` with the named views (space separated) and their needs.
+
+    ``extra`` adds views before the body; a body that starts with a comma goes on with the list.
+    """
     order: list[str] = []
 
     def add(name: str) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,3 +58,9 @@ def shuffle_width(spark: SparkSession) -> int:
 
 def bench_cpus() -> str:
     return os.environ.get("BENCH_CPUS", "8")
+
+
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A new folder beside the checkpoints, for files that a plan writes and reads back."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{label}-{uuid.uuid4().hex}"
