@@ -168,17 +168,19 @@ def _jaccard_small(sets: DataFrame, size_limit: int) -> DataFrame:
         F.transform(subset, lambda x: x.cast("string")), ",").alias("subset"))
     sizes = range(1, size_limit + 1)
     counts = rows.groupBy("subset", "j").agg(*[F.count_if(F.col("size") == s).alias(f"c{s}") for s in sizes])
-    weights = {(j, a, b): _pair_weight(j, a, b) for j in sizes for a in sizes for b in sizes if j <= a <= b}
-    by_j = F.lit(0.0)
-    for j in sizes:
-        gain = F.lit(0.0)
-        for a in range(j, size_limit + 1):
-            for b in range(a, size_limit + 1):
-                x, y = F.col(f"c{a}").cast("double"), F.col(f"c{b}").cast("double")
-                pairs = x * (x - 1) / 2 if a == b else x * y
-                gain = gain + pairs * weights[j, a, b]
-        by_j = F.when(F.col("j") == j, gain).otherwise(by_j)
-    return counts.agg(F.coalesce(F.sum(by_j), F.lit(0.0)).alias("total"))
+    cells = [(a, c) for a in sizes for c in sizes if a <= c]
+
+    def met(a: int, c: int) -> Column:
+        x, y = F.col(f"c{a}").cast("double"), F.col(f"c{c}").cast("double")
+        return x * (x - 1) / 2 if a == c else x * y
+
+    # One row per subset size and one sum per pair of set sizes; the weights join that.
+    sums = counts.groupBy("j").agg(*[F.sum(met(a, c)).alias(f"p{a}_{c}") for a, c in cells])
+    long = sums.select("j", F.explode(F.array(*[
+        F.struct(F.lit(a).alias("a"), F.lit(c).alias("b"), F.col(f"p{a}_{c}").alias("pairs")) for a, c in cells])).alias("x")).select("j", "x.*")
+    weights = sets.sparkSession.createDataFrame(
+        [(j, a, c, float(_pair_weight(j, a, c))) for j in sizes for a, c in cells if j <= a], "j int, a int, b int, weight double")
+    return long.join(weights, ["j", "a", "b"]).agg(F.coalesce(F.sum(F.col("pairs") * F.col("weight")), F.lit(0.0)).alias("total"))
 
 
 def _jaccard_large(lines: DataFrame, sizes: DataFrame, size_limit: int) -> DataFrame:
@@ -193,7 +195,7 @@ def _jaccard_large(lines: DataFrame, sizes: DataFrame, size_limit: int) -> DataF
     return common.agg(F.coalesce(F.sum(F.col("t") / (F.col("sa") + F.col("sb") - F.col("t"))), F.lit(0.0)).alias("total"))
 
 
-def jaccard_diversity(lines: DataFrame, size_limit: int = 8) -> DataFrame:
+def jaccard_diversity(lines: DataFrame, size_limit: int = 12) -> DataFrame:
     """Mean Jaccard distance over all basket pairs (as item sets), exactly.
 
     Sets up to ``size_limit`` items go through subset counts; larger ones through an item

@@ -29,9 +29,9 @@ def mask_tokens(ids: Column, row: Column, seed, *, mask_id: int, vocab_size: int
         action = unit(seed, row, pos, "act")
         other = F.pmod(u32(seed, row, pos, "id"), F.lit(vocab_size)).cast("int")
         swapped = F.when(action < to_mask, F.lit(mask_id)).when(action < to_mask + to_random, other).otherwise(token)
-        return F.struct(
-            F.when(chosen, swapped).otherwise(token).alias("input_id"),
-            F.when(chosen, token).otherwise(IGNORED).alias("label"))
+        # One branch, so that unchosen positions cost a single hash.
+        return F.when(chosen, F.struct(swapped.alias("input_id"), token.alias("label"))).otherwise(
+            F.struct(token.alias("input_id"), F.lit(IGNORED).alias("label")))
 
     return F.transform(ids, one)
 

@@ -225,10 +225,11 @@ def peer_items(requests: DataFrame, lines: DataFrame, baskets: DataFrame, items:
             F.lit(0).cast("long"), F.least(F.col("n"), F.lit(max_peers)) - 1)))
         .withColumn("peer_rank", F.pmod(start + F.col("attempt"), F.col("n")))
     )
-    peers = tries.join(ranks.withColumnRenamed("basket", "peer"), ["facet_key", "peer_rank"])
-    slots = lines.select("basket", "item_idx").join(items.select("item_idx", "bucket"), "item_idx").select(
-        F.col("basket").alias("peer"), "bucket", "item_idx")
-    found = peers.join(slots, ["peer", "bucket"]).select("basket", "draw", "attempt", "peer", "item_idx")
+    # Slots carry the rank of their basket, so a try meets peer and items in one join.
+    slots = lines.select("basket", "item_idx").join(items.select("item_idx", "bucket"), "item_idx").join(
+        ranks, "basket").withColumnRenamed("basket", "peer")
+    found = tries.select("basket", "draw", "attempt", "facet_key", "peer_rank", "bucket").join(
+        slots, ["facet_key", "peer_rank", "bucket"]).select("basket", "draw", "attempt", "peer", "item_idx")
     return found.join(lines.select("basket", "item_idx"), ["basket", "item_idx"], "left_anti").select(
         "basket", "draw", "attempt", "peer", "item_idx")
 
@@ -263,9 +264,10 @@ def negatives(removed: DataFrame, lines: DataFrame, baskets: DataFrame, items: D
 
 def evaluator_examples(drawn: DataFrame) -> DataFrame:
     """Two rows per draw that share their partial basket: removed item 1, negative 0."""
-    positive = drawn.select("basket", "draw", "removed", F.col("removed").alias("candidate"), F.lit(1.0).alias("label"))
-    negative = drawn.select("basket", "draw", "removed", F.col("negative").alias("candidate"), F.lit(0.0).alias("label"))
-    return positive.unionByName(negative)
+    pair = F.array(
+        F.struct(F.col("removed").alias("candidate"), F.lit(1.0).alias("label")),
+        F.struct(F.col("negative").alias("candidate"), F.lit(0.0).alias("label")))
+    return drawn.select("basket", "draw", "removed", F.explode(pair).alias("x")).select("basket", "draw", "removed", "x.*")
 
 
 def proposal_examples(lines: DataFrame, baskets: DataFrame, facet_order: Sequence[str],

@@ -38,9 +38,10 @@ _WORD = (r"''s|''t|''re|''ve|''m|''ll|''d| ?\p{L}+| ?\p{N}+| ?[^\s\x0b\x1c-\x1f\
 
 
 def clean_docs(spark, folder):
-    from ..functions.text import has_text, normalise_text
+    """Normalised texts; one that normalises to nothing has no tokens."""
+    from ..functions.text import normalise_text
 
-    return b.table(spark, folder, "documents").filter(has_text(F.col("text"))).select(
+    return b.table(spark, folder, "documents").filter(F.length("text") > 0).select(
         "doc_id", normalise_text(F.col("text")).alias("text"))
 
 
@@ -84,7 +85,7 @@ def bpe_learn(spark, folder):
 @query("bpe_encode")
 def bpe_encode(spark, folder):
     vocabulary = _vocabulary(spark, folder, MERGED_VOCAB)
-    coded = T.encode_texts(clean_docs(spark, folder), vocabulary, max_positions=None)
+    coded = T.encode_texts(clean_docs(spark, folder), vocabulary, max_positions=None).filter(F.size("ids") > 2)
     return coded.select("doc_id", F.size("ids").alias("n_ids"), F.array_join(F.transform("ids", lambda i: i.cast("string")), " ").alias("ids"))
 
 
