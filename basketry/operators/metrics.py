@@ -55,12 +55,12 @@ def soft_ce_per_example(rows: DataFrame, example: Sequence[str], logit: str = "l
     tops = rows.groupBy(*example).agg(F.max(logit).alias("_top"))
     z = F.col(logit) - F.col("_top")
     sums = rows.join(tops, list(example)).groupBy(*example).agg(
-        F.sum(F.exp(z)).alias("e"), F.sum(z * F.exp(z)).alias("ze"),
-        F.sum(F.col(target) * z).alias("tz"), F.sum(target).alias("t"))
+        F.sum(F.exp(z)).alias("_e"), F.sum(z * F.exp(z)).alias("_ze"),
+        F.sum(F.col(target) * z).alias("_tz"), F.sum(target).alias("_t"))
     return sums.select(
         *example,
-        (F.log("e") * F.col("t") - F.col("tz")).alias("ce"),
-        (F.log("e") - F.col("ze") / F.col("e")).alias("entropy"))
+        (F.log("_e") * F.col("_t") - F.col("_tz")).alias("ce"),
+        (F.log("_e") - F.col("_ze") / F.col("_e")).alias("entropy"))
 
 
 def soft_ce_entropy(rows: DataFrame, example: Sequence[str], beta: float, logit: str = "logit",

@@ -96,18 +96,16 @@ def _independent(ranked: Sequence[tuple[str, str, int]], known: set[str], comple
     Merging (a, b) touches pairs that end in ``a`` or start with ``b`` and no others, and a
     pair it creates is no more frequent than one of those. So the head may run until the
     first pair that chains with an earlier one (the right symbol of one is the left symbol
-    of the other); pairs tied with that one, or with the unseen rest of an incomplete list,
-    are left for the next pass. A merge that yields an already known symbol ends the head,
+    of the other); pairs tied with the first one not taken, or with the unseen rest of an
+    incomplete list, are left for the next pass. A merge that yields an already known symbol ends the head,
     since it adds to that symbol's pairs.
     """
     taken: list[tuple[str, str, int]] = []
     lefts: set[str] = set()
     rights: set[str] = set()
     made = set(known)
-    floor = 0 if complete else ranked[-1][2]
     for lhs, rhs, n in ranked:
-        if taken and (lhs in rights or rhs in lefts):
-            floor = max(floor, n)
+        if taken and (lhs in rights or rhs in lefts or lhs + rhs in lefts or lhs + rhs in rights):
             break
         taken.append((lhs, rhs, n))
         lefts.add(lhs)
@@ -115,6 +113,10 @@ def _independent(ranked: Sequence[tuple[str, str, int]], known: set[str], comple
         if lhs + rhs in made or lhs == rhs:
             break
         made.add(lhs + rhs)
+    if len(taken) < len(ranked):
+        floor = ranked[len(taken)][2]
+    else:
+        floor = 0 if complete else ranked[-1][2]
     head = [t for t in taken if t[2] > floor]
     return [(a, b) for a, b, _ in (head or taken[:1])]
 
