@@ -136,6 +136,7 @@ def test_top_candidates_do_not_depend_on_blocks(spark, monkeypatch):
     results = []
     for block in (1 << 21, 21):
         monkeypatch.setattr(SC, "BLOCK_NUMBERS", block)
+        monkeypatch.setattr(SC, "PART_BASKETS", 2)
         out = SC.top_candidates(baskets, cand, scorer, 4, dim, 1, exclude_own=False).collect()
         results.append(sorted((r["basket"], r["position"], r["item_idx"], round(r["score"], 9)) for r in out))
     assert results[0] == results[1] and len(results[0]) == 20
