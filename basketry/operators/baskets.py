@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # The smallest legal basket and the reason codes.
@@ -34,10 +34,14 @@ def collapse_baskets(lines: DataFrame, basket: str = "basket", item: str = "item
 
 def rewrite_baskets(resolved: DataFrame, basket: str = "basket", item: str = "item_idx",
                     qty: str = "qty") -> DataFrame:
-    """Collapsed lines of the baskets in which every variant is known."""
-    bad = unknown_lines(resolved, item).select(basket).distinct()
-    known = collapse_baskets(resolved.filter(F.col(item).isNotNull()), basket, item, qty)
-    return known.join(bad, basket, "left_anti")
+    """Collapsed lines of the baskets in which every variant is known.
+
+    One pass: unknown lines collapse into a null item, which then bars its basket. After
+    the collapse a basket has at most one row per item.
+    """
+    collapsed = collapse_baskets(resolved, basket, item, qty)
+    unknown = F.max(F.col(item).isNull()).over(Window.partitionBy(basket))
+    return collapsed.withColumn("_unknown", unknown).filter(~F.col("_unknown")).drop("_unknown")
 
 
 def basket_totals(lines: DataFrame, basket: str = "basket", qty: str = "qty") -> DataFrame:

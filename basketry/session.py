@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -56,10 +55,6 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def bench_cpus() -> str:
-    return os.environ.get("BENCH_CPUS", "8")
-
-
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new folder beside the checkpoints, for files that a plan writes and reads back."""
     ensure_checkpoint_dir(spark)

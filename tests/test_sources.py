@@ -114,3 +114,30 @@ def test_registry():
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries()) and len(entry.queries()) > 80
+
+
+def test_vocabulary_masks_and_centroids(spark, tmp_path):
+    from basketry.operators.clustering import KMeansResult
+
+    items = spark.createDataFrame([(2, "b", ["Ruby"]), (1, "a", ["Amber", "Teal"])], "item_idx long, name string, facets array<string>")
+    mapping = spark.createDataFrame([("z", 1), ("y", 2)], "id string, item_idx long")
+    A.write_vocabulary(items, mapping, spark.range(1).toDF("variants"), str(tmp_path / "v"), "v7")
+    kept = spark.read.json(str(tmp_path / "v" / "vocabulary"))
+    assert {(r["item_idx"], r["catalogue_version"]) for r in kept.collect()} == {(1, "v7"), (2, "v7")}
+    masks = A.facet_masks(items, ["Amber", "Ruby"])
+    assert {(r["item_idx"], r["mask"]) for r in masks.collect()} == {(0, 0), (1, 1), (2, 2)}
+    A.write_facet_masks(masks, ["Amber", "Ruby"], str(tmp_path / "m"))
+    assert spark.read.json(str(tmp_path / "m")).first()["facets"] == ["Amber", "Ruby"]
+    A.write_centroids(KMeansResult(np.eye(2), [3, 4], 5, "s"), spark, str(tmp_path / "c"))
+    row = spark.read.json(str(tmp_path / "c")).first()
+    assert (row["dim"], row["k"], row["clusterSizes"], row["iterations"], row["seed"]) == (2, 2, [3, 4], 5, "s")
+
+
+def test_embedding_table(spark, tmp_path):
+    spark.createDataFrame([(0, [0.0, 0.0]), (1, [1.0, 0.0])], "item_idx long, card_embeddings array<double>").write.parquet(str(tmp_path / "e"))
+    vectors = A.read_embeddings(spark, str(tmp_path / "e"))
+    assert vectors.schema["vec"].dataType.simpleString() == "array<float>" and A.require_shape(vectors, 1) == 2
+    with pytest.raises(ValueError):
+        A.read_embeddings(spark, str(tmp_path / "e"), names=["other"])
+    with pytest.raises(ValueError):
+        A.require_shape(vectors, 0)
