@@ -62,7 +62,7 @@ def type_chi2(sample: DataFrame, corpus: DataFrame, kind: str = "facet") -> Data
     totals = cells.agg(F.sum("s").alias("ts"), F.sum("c").alias("tc"))
     both = cells.withColumn("ts", totals.select("ts").scalar()).withColumn("tc", totals.select("tc").scalar())
     expected = F.col("ts") * F.col("c") / F.col("tc")
-    return both.agg(F.sum((F.col("s") - expected) ** 2 / expected).alias("chi2"), (F.count("*") - 1).alias("dof"))
+    return both.agg(F.sum((F.col("s") - expected) ** 2 / F.nullif(expected, F.lit(0.0))).alias("chi2"), (F.count("*") - 1).alias("dof"))
 
 
 def type_chi2_pvalue(sample: DataFrame, corpus: DataFrame, kind: str = "facet", max_types: int = 10000) -> float:

@@ -53,8 +53,7 @@ def basket_json_roundtrip(spark, folder):
     rows = R.basket_rows(lines, split).join(label, "player")
     target = scratch_folder(spark, "splits")
     R.write_splits(rows, target)
-    parts = [R.read_baskets(spark, f"{target}/split={s}").withColumn("split", F.lit(s)) for s in ("heldout", "train")]
-    back = parts[0].unionByName(parts[1])
+    back = R.read_baskets(spark, target, labelled=True)
     return back.select("split", "player", facet_key(F.col("inks")).alias("facet_key"), F.explode("cards").alias("c")).select(
         "split", "player", "facet_key", F.col("c")[0].alias("item_idx"), F.col("c")[1].alias("qty"))
 

@@ -78,9 +78,15 @@ def unknown_fields(spark: SparkSession, path: str, declared: T.StructType, multi
     return walk(spark.read.json(path, multiLine=multiline).schema, declared, "")
 
 
-def read_baskets(spark: SparkSession, path: str) -> DataFrame:
-    """Split rows; rows without cards or inks are dropped, inks lower-cased, cards in item order."""
-    rows = spark.read.schema(schemas.BASKET_LINE).json(path)
+def read_baskets(spark: SparkSession, path: str, labelled: bool = False) -> DataFrame:
+    """Split rows; rows without cards or inks are dropped, inks lower-cased, cards in item order.
+
+    ``labelled`` reads the folder of all splits and adds their label as ``split``.
+    """
+    schema = T.StructType(list(schemas.BASKET_LINE.fields))
+    if labelled:
+        schema = schema.add("split", T.StringType())
+    rows = spark.read.schema(schema).json(path)
     kept = rows.filter((F.coalesce(F.size("cards"), F.lit(0)) > 0) & (F.coalesce(F.size("inks"), F.lit(0)) > 0))
     return kept.withColumn("inks", lowered(F.col("inks"))).withColumn("cards", F.array_sort("cards"))
 
