@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, quality_rules, secret_scan, source_mix, warc_zip
+from . import chat_format, near_dedup, quality_rules, secret_scan, source_mix, warc_zip
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,12 @@ from led
 """)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return warc_zip.archive_report(table(spark, folder, "pages"))
+
+
+#: Words of a shingle in the contract of the near-duplicate query.
+CONTRACT_WIDTH = 4
+
+
+@query("op7_near_dedup")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.duplicate_components(table(spark, folder, "documents"), CONTRACT_WIDTH)
