@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, near_dedup, quality_rules, secret_scan, source_mix, warc_zip
+from . import chat_format, near_dedup, piece_codec, quality_rules, secret_scan, source_mix, warc_zip
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,8 @@ CONTRACT_WIDTH = 4
 @query("op7_near_dedup")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.duplicate_components(table(spark, folder, "documents"), CONTRACT_WIDTH)
+
+
+@query("op6_piece_codec")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return piece_codec.encode_documents(table(spark, folder, "documents"))
