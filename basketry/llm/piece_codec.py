@@ -17,7 +17,7 @@ directly, as runs of marks share one score. Unknown characters become byte piece
 
 Null texts are empty; empty texts have no pieces. Ids and texts equal those of the public
 library for the same model file. Memory is bounded: distinct chunks are indexed ``INDEX_CHARS``
-characters at a time and the cache of encoded chunks is emptied at ``CACHE_CHUNKS``.
+characters at a time, and at ``CACHE_CHUNKS`` encoded chunks the cache keeps only those in use.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from .common import map_frames, texts_of
 #: Where the public model lies on this box; a parameter of every function.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-INDEX_CHARS, CACHE_CHUNKS, LONGEST_CHUNK = 400_000, 300_000, 2000
+INDEX_CHARS, CACHE_CHUNKS, LONGEST_CHUNK = 400_000, 500_000, 2000
 _CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -168,7 +168,8 @@ class Pieces:
                     ids += cache[c]
                 out.append(ids)
             if len(cache) >= CACHE_CHUNKS:
-                cache.clear()
+                # What was just used stays: frequent words survive every clearing.
+                self.cache = {c: cache[c] for chunks in cut[start:end] for c in chunks}
             start = end
         return out
 
