@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_folder
+from ..session import scratch_folder, ship_package
 
 #: Rows in one Arrow batch: bounds what a Python worker holds when some texts are very long.
 BATCH_ROWS = 500
@@ -29,6 +29,7 @@ def texts_of(docs: DataFrame, *more: str) -> DataFrame:
 
 def map_frames(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
     """``fn`` over small pandas batches, inside Spark's own partitions."""
+    ship_package(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

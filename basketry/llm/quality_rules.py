@@ -30,7 +30,7 @@ SYMBOLS = "#*$%&|<>"
 MAX_LOST = 0.3
 #: Parts of the words of a line above which it fails.
 MAX_SYMBOLS, MAX_SHOUTING, MAX_SEPARATORS = 0.2, 0.6, 0.2
-#: Lines of at most so many words may lack end punctuation (headings).
+#: Lines of at most so many words may lack any end punctuation (headings).
 HEADING_WORDS = 4
 #: Words of a line from which shouting and symbols are judged.
 MIN_JUDGED = 4
@@ -92,26 +92,19 @@ def line_verdict(line: str) -> str | None:
         letters = [w for w in words if len(w) > 1 and w.lower() != w.upper()]
         if len(letters) >= MIN_JUDGED and sum(w.isupper() for w in letters) > MAX_SHOUTING * len(letters):
             return "shouting"
-    if n > HEADING_WORDS and not line.rstrip().endswith(ENDS):
+    if n > HEADING_WORDS and not any(w.endswith(ENDS) for w in reversed(words)):
         return "punctuation"
     return None
 
 
 def clean_lines(text: str) -> tuple[str, int]:
-    """The text without its failing lines, and the words they held. Blank lines stay.
-
-    An unfinished last line passes: texts are often cut at their end.
-    """
-    lines = text.split("\n")
-    last = max((i for i, x in enumerate(lines) if x and not x.isspace()), default=-1)
+    """The text without its failing lines, and the words they held. Blank lines stay."""
     kept, lost = [], 0
-    for i, line in enumerate(lines):
-        if line and not line.isspace():
-            rule = line_verdict(line)
-            if rule and not (rule == "punctuation" and i == last):
-                lost += len(line.encode("utf-8", "surrogatepass").split())
-                continue
-        kept.append(line)
+    for line in text.split("\n"):
+        if line and not line.isspace() and line_verdict(line):
+            lost += len(line.encode("utf-8", "surrogatepass").split())
+        else:
+            kept.append(line)
     return "\n".join(kept), lost
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat_format, near_dedup, piece_codec, quality_rules, secret_scan, source_mix, warc_zip
+from . import chat_format, near_dedup, piece_codec, quality_pu, quality_rules, secret_scan, source_mix, toxicity, warc_zip
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +123,14 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_piece_codec")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return piece_codec.encode_documents(table(spark, folder, "documents"))
+
+
+@query("op1_toxicity")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.judge(table(spark, folder, "documents"), table(spark, folder, "labels")).withColumn(
+        "n_offending", F.size("offending").cast("long"))
+
+
+@query("op8_quality_pu")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_pu.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))

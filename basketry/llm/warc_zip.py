@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_folder
+from ..session import scratch_folder, ship_package
 from .common import BATCH_ROWS, stage
 
 MIN_SHARED = 100
@@ -220,6 +220,7 @@ def payload_decisions(pages: DataFrame) -> DataFrame:
 def write_packages(pages: DataFrame, folder: str) -> DataFrame:
     """Write all pages as packages below ``folder`` (a URI); returns the manifest ``path, bytes, records``."""
     spark = pages.sparkSession
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"),
                         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
