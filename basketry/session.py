@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +21,7 @@ def get_spark(app: str = "basketry", master: str | None = None, **conf: str) ->
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)
@@ -27,6 +30,23 @@ def get_spark(app: str = "basketry", master: str | None = None, **conf: str) ->
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, once per context, so that functions of it run anywhere."""
+    context = spark.sparkContext
+    if getattr(context, "_basketry_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="basketry-"), "basketry.zip")
+    with zipfile.ZipFile(target, "w") as out:
+        for folder, _, names in os.walk(here):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.join("basketry", os.path.relpath(path, here)))
+    context.addPyFile(target)
+    context._basketry_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder of ``spark.checkpoint.dir``.
 
@@ -39,7 +59,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
+    elif context.master.startswith("local[") or context.master == "local":
         context.setCheckpointDir(tempfile.mkdtemp(prefix="basketry-ckpt-"))
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
