@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, near_dedup, piece_codec, quality_pu, quality_rules, secret_scan, source_mix, toxicity, warc_zip
+from . import chat_format, near_dedup, paragraph_sketch, piece_codec, quality_pu, quality_rules, secret_scan, source_mix, toxicity, warc_zip
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,8 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_quality_pu")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return quality_pu.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op4_paragraph_sketch")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return paragraph_sketch.report(table(spark, folder, "documents"))
