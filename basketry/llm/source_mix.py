@@ -109,7 +109,8 @@ def schedule(targets: DataFrame, block: int = BLOCK) -> DataFrame:
     runs = quotas.select("source", "low", F.explode(F.expr(f"sequence(low, high - 1, {RUN})")).alias("first"), "high")
     places = runs.select("source", F.explode(F.expr(
         f"sequence(first + 1, least(first + {RUN}, high))")).alias("place"))
-    hit = placed.join(places, "place").select(
+    # Planned sizes do not count what an explode adds: these joins must not be broadcast by mistake.
+    hit = placed.join(places.hint("merge"), "place").select(
         "slot", "source", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")).alias("_name"))
     ranked = running_by_bucket(hit, ["_name"], F.shiftright("slot", 12), [F.col("slot")],
                                {"nth": F.lit(1).cast("long")})
@@ -147,7 +148,7 @@ def mix(docs: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame, Data
         F.when(F.expr("slot_rank div blocks") < F.col("passes"), F.col("source_size"))
         .otherwise(F.col("owed") - F.col("passes") * F.col("source_size")).alias("limit"))
     pieces = stream_pieces(sized, block)
-    met = pieces.join(slots, F.col("source").eqNullSafe(F.col("s_source")) & (F.col("block") == F.col("s_block")))
+    met = pieces.join(slots.hint("merge"), F.col("source").eqNullSafe(F.col("s_source")) & (F.col("block") == F.col("s_block")))
     taken = met.withColumn("words", F.greatest(F.lit(0), F.least(F.col("words"), F.col("limit") - F.col("at"))))
     return (taken.filter("words > 0").select("slot", "pass", "source", "doc_id", "size", "start", "words"),
             sized, targets)
