@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import quality_rules, secret_scan, source_mix
+from basketry.llm import near_dedup, piece_codec, quality_rules, secret_scan, source_mix
 from basketry.llm.common import stage, table
 
 
@@ -13,6 +13,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_documents(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group of near copies."""
+    return near_dedup.drop_near_duplicates(docs)
+
+
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The same documents with secrets masked."""
     return secret_scan.mask_secrets(docs)
@@ -23,7 +28,18 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return source_mix.mixed_documents(docs)
 
 
-STAGES = [("quality rules", quality), ("secret scans", secrets), ("source mix", mixture)]
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every text of the mix, with the digest of what they decode to."""
+    return piece_codec.encode_documents(docs)
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("minhash near-dedup", near_duplicates),
+    ("secret scans", secrets),
+    ("source mix", mixture),
+    ("piece codec", pieces),
+]
 
 #: Near-duplicate search and piece encoding have no SQL form; the pipeline is tested by brute force.
 ORACLE_SQL = None
