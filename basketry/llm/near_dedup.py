@@ -8,8 +8,8 @@
    ``LIST_LIMIT`` members generate their pairs.
 3. Longer lists are not expanded. Values of a passage that many texts share fill such lists,
    but a text keeps other values, through which it meets its near copies. Texts for which
-   the long lists hold ``HOT_PART`` of the index or more go a second way: keys of one, two and
-   four neighbouring sketch values, where gaps tell texts apart that miss the same parts; long
+   the long lists hold ``HOT_PART`` of the index or more go a second way: keys of one, two,
+   four and eight neighbouring sketch values, where gaps tell texts apart that miss the same parts; long
    key lists link each member to two members (the smallest id, and one picked per key by hash),
    so a cluster of near copies of any size costs a bounded number of candidates per text.
 4. Bottom-k estimates from the union of two sketches filter the candidates, the best candidate
@@ -39,7 +39,7 @@ WIDTH = 5
 PERCENT = 80
 SKETCH, INDEX, LIST_LIMIT, HOT_PART = 64, 24, 32, 0.4
 #: Run lengths of the keys for texts that consist of common values.
-RUNS = (1, 2, 4)
+RUNS = (1, 2, 4, 8)
 #: An estimate from 64 values has a standard error of 0.05 at 0.8; pairs five of them below go.
 ESTIMATE_FLOOR = 0.55
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
