@@ -66,7 +66,7 @@ def legality_reasons(lines: DataFrame, headers: DataFrame, items: DataFrame,
 
     ``headers`` brings the allowed ``facets`` per basket; ``items`` brings ``legality``,
     ``cap`` (null = no cap) and ``facets``. A line without an item row does not count
-    towards the size.
+    towards the size; a basket without lines has size 0.
     """
     table = items.select(item, "legality", "cap", F.col("facets").alias("item_facets"),
                          F.lit(True).alias("_known"))
@@ -78,9 +78,9 @@ def legality_reasons(lines: DataFrame, headers: DataFrame, items: DataFrame,
     codes = with_rule.withColumn("code", F.explode(line_reasons(
         strict, F.col("legality"), F.col(qty), F.col("_cap"),
         F.col("item_facets"), F.col("allowed"), F.col("_ok")))).select(basket, item, "code")
-    small = enriched.groupBy(basket).agg(
-        F.coalesce(F.sum(F.when(F.col("_ok"), F.col(qty))), F.lit(0)).alias("total")
-    ).filter(F.col("total") < minimum).select(
+    held = enriched.filter("_ok").groupBy(basket).agg(F.sum(qty).alias("total"))
+    small = headers.select(basket).join(held, basket, "left").filter(
+        F.coalesce("total", F.lit(0)) < minimum).select(
         basket, F.lit(None).cast(lines.schema[item].dataType).alias(item),
         F.lit(TOO_SMALL).alias("code"))
     return codes.unionByName(small)

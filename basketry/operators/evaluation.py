@@ -25,14 +25,15 @@ SMOOTHING = 0.5
 def legality_rate(headers: DataFrame, failed: DataFrame, used: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Share of legal baskets, and of legal ones whose items show exactly the allowed facets.
 
-    ``used`` is (basket, facet) of the items held.
+    ``used`` is (basket, facet) of the items held; a basket without items counts and is not exact.
     """
     seen = used.select("basket", F.lower("facet").alias("facet")).distinct().groupBy("basket").agg(
         F.collect_set("facet").alias("seen"))
     bad = failed.select("basket").distinct().withColumn("bad", F.lit(1))
-    rows = headers.join(seen, "basket").join(bad, "basket", "left")
+    rows = headers.join(seen, "basket", "left").join(bad, "basket", "left")
     ok = F.col("bad").isNull()
-    exact = ok & (F.array_sort("seen") == F.array_sort(F.transform("facets", F.lower)))
+    held = F.coalesce("seen", F.array().cast("array<string>"))
+    exact = ok & (F.array_sort(held) == F.array_sort(F.transform("facets", F.lower)))
     return rows.groupBy(*by).agg(
         F.count("*").alias("baskets"), F.avg(ok.cast("double")).alias("legal_rate"),
         F.avg(exact.cast("double")).alias("exact_rate"))

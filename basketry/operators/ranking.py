@@ -15,6 +15,8 @@ at most one total per (group, piece).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,7 +38,10 @@ def _with_offsets(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     shifts = sums.select(*cut, *[
         F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0)).alias(f"_off_{n}") for n in totals])
     local = df.select("*", *[F.sum(v).over(inner).alias(f"_loc_{n}") for n, v in totals.items()])
-    return local.join(shifts, cut).select(
+    # Null groups are groups too.
+    shifts = shifts.withColumnsRenamed({c: f"_at_{c}" for c in cut})
+    same = reduce(and_, [local[c].eqNullSafe(shifts[f"_at_{c}"]) for c in cut])
+    return local.join(shifts, same).select(
         *df.columns, *[(F.col(f"_loc_{n}") + F.col(f"_off_{n}")).alias(n) for n in totals]
     ).drop(PIECE)
 

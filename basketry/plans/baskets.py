@@ -85,7 +85,8 @@ _VALIDATED = _RESOLVED + """,
         select basket, 'card_not_legal' as code from e where legality = 'banned'
         union all select basket, 'count_exceeds_max_copies' from e where qty > cap
         union all select basket, 'card_ink_not_in_deck_inks' from e where facet = barred
-        union all select basket, 'deck_size_below_60' from e group by basket having sum(qty) < 60)"""
+        union all select basket, 'deck_size_below_60' from played left join good using (basket)
+          where basket not in (select basket from bad) group by basket having coalesce(sum(qty), 0) < 60)"""
 
 
 @query("validation_report", with_ctes("raw_lines item_map played", """

@@ -101,9 +101,8 @@ def headers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def played(spark: SparkSession, folder: str) -> DataFrame:
-    """Headers of the orders that have lines."""
-    held = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("basket"))
-    return headers(spark, folder).join(held, "basket", "left_semi")
+    """Headers of all orders; those without lines are empty baskets."""
+    return headers(spark, folder)
 
 
 def stored(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -178,15 +177,15 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
         from (select distinct barred from headers) cross join facets
         where barred is null or facet <> barred group by barred"""),
     "played": (("headers", "segment_keys"), """
-        select h.*, facet_key from headers h join segment_keys k on h.barred is not distinct from k.barred
-        where basket in (select l_orderkey from lineitem)"""),
+        select h.*, facet_key from headers h join segment_keys k on h.barred is not distinct from k.barred"""),
     "reasons": (("lines", "items", "played"), """
         with e as (select l.*, i.legality, i.cap, i.facet, p.barred from lines l
           join items i using (item_idx) join played p using (basket))
         select basket, item_idx, 'card_not_legal' as code from e where legality = 'banned'
         union all select basket, item_idx, 'count_exceeds_max_copies' from e where qty > cap
         union all select basket, item_idx, 'card_ink_not_in_deck_inks' from e where facet = barred
-        union all select basket, null, 'deck_size_below_60' from e group by basket having sum(qty) < 60"""),
+        union all select basket, null, 'deck_size_below_60' from played left join lines using (basket)
+          group by basket having coalesce(sum(qty), 0) < 60"""),
     "accepted": (("played", "reasons"), """
         select * from played where basket not in (select basket from reasons)"""),
     "split": (("accepted",), f"""

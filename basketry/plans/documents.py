@@ -20,7 +20,7 @@ def _event_documents(spark, folder):
     lines = b.raw_lines(spark, folder).groupBy("basket").agg(F.array_sort(F.collect_list(F.struct(
         F.col("line_no"), F.col("variant").cast("string").alias("cardId"), F.col("qty").alias("count")))).alias("cards"))
     cards = F.transform("cards", lambda c: F.struct(c["cardId"].alias("cardId"), c["count"].alias("count")))
-    deck = F.struct(F.slice("facets", 1, 2).alias("inks"), cards.alias("cards"), F.lit(None).cast("string").alias("name"))
+    deck = F.struct(F.col("facets").alias("inks"), cards.alias("cards"), F.lit(None).cast("string").alias("name"))
     entry = F.struct(F.lit(1).alias("placement"), F.col("segment").alias("player"), deck.alias("deck"))
     event = F.struct(
         F.concat(F.lit("https://example.org/"), "basket").alias("sourceUrl"), F.lit("orders").alias("sourceName"),
@@ -31,14 +31,16 @@ def _event_documents(spark, folder):
 
 
 @query("nested_read", with_ctes("headers", """
-    select '1.0.' || basket || ':0:0' as basket, date, segment as player, variant::varchar as variant, qty
+    select '1.0.' || basket as basket, date, segment as player, variant::varchar as variant, qty
     from (select l_orderkey as basket, l_partkey as variant, l_quantity::int as qty from lineitem) join headers using (basket)"""))
 def nested_read(spark, folder):
     target = scratch_folder(spark, "events")
     _event_documents(spark, folder).write.json(target)
     baskets = R.read_events(spark, target, multiline=False)
     lines = R.event_lines(baskets).join(baskets.select("basket", "date", "player"), "basket")
-    return lines.select("basket", "date", "player", "variant", "qty")
+    # The basket id ends with the file and the positions in it; the version names the order.
+    version = F.regexp_extract("basket", r"^([^:]*):", 1)
+    return lines.select(version.alias("basket"), "date", "player", "variant", "qty")
 
 
 @query("basket_json_roundtrip", with_ctes("lines split", """

@@ -42,7 +42,7 @@ _SETS = """sample as (select l.* from lines l join split s using (basket) where
       {r6('avg((ok and n = 5 and clean)::int)')} as exact_rate from (
       select p.segment, p.basket not in (select basket from reasons) as ok,
         count(distinct facet) as n, bool_and(facet <> p.barred) as clean
-      from played p join lines using (basket) join items using (item_idx) group by p.segment, p.basket) group by segment"""))
+      from played p left join lines using (basket) left join items using (item_idx) group by p.segment, p.basket) group by segment"""))
 def legality_rate(spark, folder):
     index, lines, heads = b.stored(spark, folder)
     used = lines.join(index.select("item_idx", F.col("version").alias("facet")), "item_idx")

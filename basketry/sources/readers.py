@@ -28,14 +28,19 @@ def to_engine_names(variants: DataFrame) -> DataFrame:
 
 
 def read_events(spark: SparkSession, path: str, mode: str = "FAILFAST", multiline: bool = True) -> DataFrame:
-    """One row per basket: ``basket`` = (document, event position, deck position), header, ``cards``."""
+    """One row per basket: ``basket`` = (version, file, digest of the document, event and deck position).
+
+    Versions may repeat between documents, so the file and what the document says are part of
+    the id; one file must not repeat a whole document.
+    """
     docs = spark.read.schema(schemas.EVENTS).json(path, multiLine=multiline, mode=mode)
-    events = docs.select("datasetVersion", F.posexplode("tournaments").alias("event_pos", "t"))
+    mark = F.concat_ws(":", F.regexp_extract(F.input_file_name(), "[^/]*$", 0), F.substring(F.md5(F.to_json(F.struct("*"))), 1, 12))
+    events = docs.withColumn("_mark", mark).select("datasetVersion", "_mark", F.posexplode("tournaments").alias("event_pos", "t"))
     decks = events.select(
-        "datasetVersion", "event_pos", "t.sourceUrl", F.col("t.name").alias("event_name"),
+        "datasetVersion", "_mark", "event_pos", "t.sourceUrl", F.col("t.name").alias("event_name"),
         parse_day(F.col("t.date")).alias("date"), F.posexplode("t.decks").alias("deck_pos", "d"))
     return decks.select(
-        F.concat_ws(":", "datasetVersion", "event_pos", "deck_pos").alias("basket"), "date",
+        F.concat_ws(":", "datasetVersion", "_mark", "event_pos", "deck_pos").alias("basket"), "date",
         F.col("sourceUrl").alias("url"), "event_name", "d.placement", "d.player",
         F.col("d.deck.inks").alias("facets"), F.col("d.deck.cards").alias("cards"))
 
@@ -81,12 +86,14 @@ def unknown_fields(spark: SparkSession, path: str, declared: T.StructType, multi
 def read_baskets(spark: SparkSession, path: str, labelled: bool = False) -> DataFrame:
     """Split rows; rows without cards or inks are dropped, inks lower-cased, cards in item order.
 
+    A line that does not parse or has a value of the wrong type fails the read.
+
     ``labelled`` reads the folder of all splits and adds their label as ``split``.
     """
     schema = T.StructType(list(schemas.BASKET_LINE.fields))
     if labelled:
         schema = schema.add("split", T.StringType())
-    rows = spark.read.schema(schema).json(path)
+    rows = spark.read.schema(schema).json(path, mode="FAILFAST")
     kept = rows.filter((F.coalesce(F.size("cards"), F.lit(0)) > 0) & (F.coalesce(F.size("inks"), F.lit(0)) > 0))
     return kept.withColumn("inks", lowered(F.col("inks"))).withColumn("cards", F.array_sort("cards"))
 

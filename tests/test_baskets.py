@@ -123,3 +123,40 @@ def test_frequency_tables(spark):
     ruby = {r["item_idx"]: r["p"] for r in table.filter("facet_key = 'amber|ruby'").collect()}
     assert ruby == {1: 6 / 14, 2: 4 / 14, 3: 4 / 14}
     assert FR.published(table).filter("facet_key = 'amber|ruby' and item_idx = 1").first()["p"] == 0.428571
+
+
+def test_basket_without_lines_is_too_small_and_counts(spark):
+    from basketry.operators import baskets as B
+    from basketry.operators import evaluation as E
+
+    headers = spark.createDataFrame([(1, ["a"]), (2, ["a"])], "basket long, facets array<string>")
+    lines = spark.createDataFrame([(1, 7, 60)], "basket long, item_idx int, qty int")
+    items = spark.createDataFrame([(7, "legal", None, ["a"])], "item_idx int, legality string, cap double, facets array<string>")
+    reasons = B.legality_reasons(lines, headers, items)
+    assert [(r.basket, r.item_idx, r.code) for r in reasons.collect()] == [(2, None, B.TOO_SMALL)]
+    unknown = lines.limit(0)
+    report = B.validation_report(headers, unknown, reasons).first()
+    assert (report.total, report.valid, report.drop_rate) == (2, 1, 0.5)
+    used = spark.createDataFrame([(1, "A")], "basket long, facet string")
+    rate = E.legality_rate(headers, reasons, used).first()
+    assert (rate.baskets, rate.legal_rate, rate.exact_rate) == (2, 0.5, 0.5)
+
+
+def test_null_groups_are_kept(spark):
+    from basketry.operators import frequency as FR
+    from basketry.operators import metrics as M
+    from basketry.operators import splits as S
+
+    rows = [(i, ["a"], None if i % 5 == 0 else "2024-01-15") for i in range(25)]
+    baskets = spark.createDataFrame(rows, "basket long, facets array<string>, day string").selectExpr(
+        "basket", "facets", "cast(day as date) as date")
+    split = S.heldout_split(baskets)
+    assert split.count() == 25 and split.filter("month is null").count() == 5
+    assert S.with_recent_train(split).filter("proposal is null").count() == 0
+    report = S.split_report(split).first()
+    assert report.total == 25 and report.train + report.heldout == 25
+    scored = spark.createDataFrame([(None, 0.9, 1), (None, 0.1, 0), ("x", 0.5, 1)], "g string, score double, label int")
+    auc = {r.g: r.auc for r in M.roc_auc(scored, group=["g"]).collect()}
+    assert auc[None] == 1.0 and auc["x"] != auc["x"]
+    lines = spark.createDataFrame([(None, 1, 2), ("k", 1, 2)], "facet_key string, item_idx int, qty int")
+    assert FR.play_frequency(lines).filter("facet_key is null").count() == 1
