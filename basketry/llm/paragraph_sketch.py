@@ -29,10 +29,10 @@ from .common import stage, texts_of
 
 BLOCK_WORDS = 24
 #: Cells per sub-table of the first sketch, of the parts' sketches, and of the last attempt.
-FIRST, SECOND, THIRD = 8, 12, 48
-#: A row with more digests than this is dealt to 16 parts, up to three times.
-PART_DIGESTS = 14
-ROUNDS = 7
+FIRST, SECOND, THIRD = 8, 8, 32
+#: A part with more digests than this is dealt to 8 parts by three bits from each of these on.
+PART_DIGESTS, LEVELS = 12, (61, 58, 55, 52, 49)
+ROUNDS = 8
 _BLANK, _WORD = r"[\x20\x09\x0B-\x0D]", r"[^\x20\x09-\x0D]"
 #: Words of more than 64 characters count as several.
 PARAGRAPH = f"(?:{_WORD}{{1,64}}+{_BLANK}*+){{1,{BLOCK_WORDS}}}+"
@@ -46,15 +46,15 @@ def digests(text: str) -> Column:
     return F.array_distinct(F.transform(pieces, lambda p: F.xxhash64(p)))
 
 
-def _slot(h: str, table: str, width: int) -> str:
-    return f"pmod(shiftright({h}, 5 + 13 * cast({table} as int)), {width})"
+def _slot(h: str, table: int, width: int) -> str:
+    return f"(shiftright({h}, {5 + 13 * table}) & {width - 1})"
 
 
 def sketch(name: str, width: int) -> str:
-    """The cells of an array of digests: three sub-tables of ``width`` cells."""
-    return f"""transform(sequence(0, {3 * width - 1}), i -> aggregate(
-        filter({name}, h -> {_slot('h', f'(i div {width})', width)} = i % {width}), {_EMPTY},
-        (c, h) -> named_struct('n', c.n + 1, 'x', c.x ^ h, 's', c.s ^ {_CHECK.format('h')})))"""
+    """The cells of an array of digests: three sub-tables of ``width`` (a power of two) cells."""
+    tables = (f"""transform(sequence(0L, {width - 1}L), i -> aggregate(filter({name}, h -> {_slot('h', t, width)} = i), {_EMPTY},
+        (c, h) -> named_struct('n', c.n + 1, 'x', c.x ^ h, 's', c.s ^ {_CHECK.format('h')})))""" for t in range(3))
+    return f"concat({', '.join(tables)})"
 
 
 def subtract(left: str, right: str) -> str:
@@ -65,16 +65,19 @@ def peel(cells: str, width: int) -> str:
     """``done, ours, theirs`` of a difference: whether nothing is left, and the digests found on either side."""
     sure = f"filter(st.cells, c -> abs(c.n) = 1 and c.s = {_CHECK.format('c.x')})"
     pure = f"array_distinct(transform({sure}, c -> named_struct('n', c.n, 'x', c.x)))"
-    hits = f"filter(pure, p -> {_slot('p.x', f'(j div {width})', width)} = j % {width})"
-    taken = (f"transform(st.cells, (c, j) -> aggregate({hits}, c, (w, p) -> named_struct("
-             f"'n', w.n - p.n, 'x', w.x ^ p.x, 's', w.s ^ {_CHECK.format('p.x')})))")
+    tables = (f"transform(slice(st.cells, {t * width + 1}, {width}), (c, j) -> aggregate("
+              f"filter(pure, p -> {_slot('p.x', t, width)} = j), c, (w, p) -> named_struct("
+              f"'n', w.n - p.n, 'x', w.x ^ p.x, 's', w.s ^ {_CHECK.format('p.x')})))" for t in range(3))
     side = "concat(st.{0}, transform(filter(pure, p -> p.n = {1}), p -> p.x))"
-    # The lambda over a one-element array names the pure cells, so that they are found once a round.
-    step = (f"transform(array({pure}), pure -> if(size(pure) = 0, st, named_struct('cells', {taken}, "
-            f"'ours', {side.format('ours', 1)}, 'theirs', {side.format('theirs', -1)})))[0]")
+    # The lambda over a one-element array names the pure cells, so that they are found once a
+    # round; a round without any ends the peeling.
+    step = (f"if(st.stop, st, transform(array({pure}), pure -> if(size(pure) = 0, "
+            f"named_struct('stop', true, 'cells', st.cells, 'ours', st.ours, 'theirs', st.theirs), "
+            f"named_struct('stop', false, 'cells', concat({', '.join(tables)}), "
+            f"'ours', {side.format('ours', 1)}, 'theirs', {side.format('theirs', -1)})))[0])")
     none = "cast(array() as array<bigint>)"
     left = "exists(st.cells, c -> c.n <> 0 or c.x <> 0 or c.s <> 0)"
-    return (f"aggregate(sequence(1, {ROUNDS}), named_struct('cells', {cells}, 'ours', {none}, 'theirs', {none}), "
+    return (f"aggregate(sequence(1, {ROUNDS}), named_struct('stop', false, 'cells', {cells}, 'ours', {none}, 'theirs', {none}), "
             f"(st, r) -> {step}, st -> named_struct('done', not {left}, 'ours', st.ours, 'theirs', st.theirs))")
 
 
@@ -84,9 +87,9 @@ def compare(left: str, right: str, width: int) -> str:
 
 
 def deal(parts: str, shift: int) -> str:
-    """Parts (structs of digest arrays ``a, b``) with many digests become 16 by four bits of the digests."""
-    pick = lambda d: f"filter(s.{d}, h -> (shiftright(h, {shift}) & 15) = q)"
-    cut = (f"filter(transform(sequence(0, 15), q -> named_struct('a', {pick('a')}, 'b', {pick('b')})), "
+    """Parts (structs of digest arrays ``a, b``) with many digests become 8 by three bits of the digests."""
+    pick = lambda d: f"filter(s.{d}, h -> (shiftright(h, {shift}) & 7) = q)"
+    cut = (f"filter(transform(sequence(0L, 7L), q -> named_struct('a', {pick('a')}, 'b', {pick('b')})), "
            "z -> size(z.a) + size(z.b) > 0)")
     return f"flatten(transform({parts}, s -> if(size(s.a) + size(s.b) > {PART_DIGESTS}, {cut}, array(s))))"
 
@@ -100,9 +103,9 @@ def with_difference(rows: DataFrame, left: str, right: str, left_cells: str, rig
     rows = rows.withColumn("_first", F.expr(peel(subtract(left_cells, right_cells), FIRST)))
     none = "array_repeat(named_struct('a', {0}, 'b', {1}), 0)".format(left, right)
     whole = f"if(_first.done, {none}, array(named_struct('a', {left}, 'b', {right})))"
-    for level, shift in enumerate((60, 56, 52)):
+    for level, shift in enumerate(LEVELS):
         rows = rows.withColumn(f"_parts{level}", F.expr(deal(whole if level == 0 else f"_parts{level - 1}", shift)))
-    rows = rows.withColumn("_tried", F.expr(f"transform(_parts2, t -> named_struct('t', t, 'r', {compare('t.a', 't.b', SECOND)}))"))
+    rows = rows.withColumn("_tried", F.expr(f"transform(_parts{len(LEVELS) - 1}, t -> named_struct('t', t, 'r', {compare('t.a', 't.b', SECOND)}))"))
     rows = rows.withColumn("_again", F.expr(
         f"transform(filter(_tried, t -> not t.r.done), t -> named_struct('t', t.t, 'r', {compare('t.t.a', 't.t.b', THIRD)}))"))
 
@@ -111,7 +114,7 @@ def with_difference(rows: DataFrame, left: str, right: str, left_cells: str, rig
                 f"flatten(transform(_again, t -> if(t.r.done, t.r.{name}, array_except(t.t.{one}, t.t.{other}))))))")
 
     return rows.withColumn(out, F.expr(f"named_struct('ours', {side('ours', 'a', 'b')}, 'theirs', {side('theirs', 'b', 'a')})")).drop(
-        "_first", "_parts0", "_parts1", "_parts2", "_tried", "_again")
+        "_first", "_tried", "_again", *[f"_parts{i}" for i in range(len(LEVELS))])
 
 
 def likeness(left: str, difference: str) -> Column:
