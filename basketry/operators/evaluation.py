@@ -6,11 +6,13 @@ Definitions the source leaves open are fixed here and named in the docstrings.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import comb
+from math import exp, lgamma, log
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.hashing import u32
+
 # Release gates (metric, kind, low, high) and the text pattern of a class reference.
 GATES = (
     ("legality_rate", "hard", 1.0, None),
@@ -20,6 +22,8 @@ GATES = (
 )
 CLASS_REFERENCE = r"(?i)your (\w+) characters"
 SMOOTHING = 0.5
+# Hash functions of the diversity estimate.
+JACCARD_FUNCTIONS, JACCARD_SEED = 32, "jaccard"
 
 
 def legality_rate(headers: DataFrame, failed: DataFrame, used: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -66,16 +70,38 @@ def type_chi2(sample: DataFrame, corpus: DataFrame, kind: str = "facet") -> Data
     return both.agg(F.sum((F.col("s") - expected) ** 2 / F.nullif(expected, F.lit(0.0))).alias("chi2"), (F.count("*") - 1).alias("dof"))
 
 
-def type_chi2_pvalue(sample: DataFrame, corpus: DataFrame, kind: str = "facet", max_types: int = 10000) -> float:
-    """p-value of the same test; one number per type travels to the driver."""
-    from pyspark.mllib.linalg import Vectors
-    from pyspark.mllib.stat import Statistics
-
-    rows = _shares(corpus, kind, "c").join(_shares(sample, kind, "s"), kind, "left").limit(max_types + 1).collect()
-    if len(rows) > max_types:
-        raise ValueError(f"more than {max_types} types")
-    seen = Vectors.dense([float(r["s"] or 0) for r in rows])
-    return Statistics.chiSqTest(seen, Vectors.dense([float(r["c"]) for r in rows])).pValue
+def chi2_tail(statistic: float, dof: int) -> float:
+    """Upper tail of the chi-square distribution: the regularised incomplete gamma function."""
+    a, x = dof / 2, statistic / 2
+    if x <= 0:
+        return 1.0
+    scale = exp(a * log(x) - x - lgamma(a))
+    if x < a + 1:  # series of the lower part
+        term = total = 1 / a
+        n = a
+        while abs(term) > abs(total) * 1e-16:
+            n += 1
+            term *= x / n
+            total += term
+        return 1 - total * scale
+    b, c = x + 1 - a, 1e300  # continued fraction of the upper part
+    d = 1 / b
+    h = d
+    for i in range(1, 10_000):
+        an = -i * (i - a)
+        b += 2
+        d = 1 / (an * d + b)
+        c = b + an / c
+        h *= d * c
+        if abs(d * c - 1) < 1e-15:
+            break
+    return h * scale
+
+
+def type_chi2_pvalue(sample: DataFrame, corpus: DataFrame, kind: str = "facet") -> float:
+    """p-value of the same test, from its one row of statistics."""
+    row = type_chi2(sample, corpus, kind).first()
+    return 1.0 if row["chi2"] is None or row["dof"] < 1 else chi2_tail(row["chi2"], row["dof"])
 
 
 def flag_share(sample: DataFrame, corpus: DataFrame, flag: str = "flag") -> DataFrame:
@@ -149,67 +175,26 @@ def underplayed_share(sample: DataFrame, train: DataFrame, quantile: float = 0.1
     return rows.groupBy("basket").agg(share.alias("share")).agg(F.avg("share").alias("underplayed"))
 
 
-def _pair_weight(j: int, a: int, b: int) -> float:
-    """What a common subset of size j adds to the Jaccard of a pair with set sizes a and b.
-
-    Summed over all common subsets this gives |A n B| / |A u B| (binomial inversion).
-    """
-    return sum((-1) ** (j - t) * comb(j, t) * t / (a + b - t) for t in range(1, j + 1))
-
-
-def _jaccard_small(sets: DataFrame, size_limit: int) -> DataFrame:
-    """Sum of Jaccard over all pairs of sets up to ``size_limit``, linear in the sets.
+def jaccard_diversity(lines: DataFrame, functions: int = JACCARD_FUNCTIONS, seed: str = JACCARD_SEED) -> DataFrame:
+    """``baskets, diversity, std_error``: estimated mean Jaccard distance over all basket pairs (as item sets).
 
-    Each set emits its subsets; a subset met by c sets of size a and d sets of size b stands
-    for c*d pairs at once, so pairs are counted, never listed.
+    The chance that two sets share their smallest item under a random hash is their Jaccard
+    index, so per hash function the share of basket pairs with equal minima estimates the
+    mean over all pairs. Pairs are counted from group sizes, never formed; cost is linear in
+    the lines for sets of any size. ``functions`` independent functions are averaged; their
+    spread gives the standard error. Fewer than two baskets have no diversity (null).
     """
-    masks = F.sequence(F.lit(1), (F.pow(F.lit(2.0), F.col("size")) - 1).cast("int"))
-    subset = F.expr("filter(members, (x, i) -> getbit(mask, i) = 1)")
-    rows = sets.withColumn("mask", F.explode(masks)).select("size", F.size(subset).alias("j"), F.array_join(
-        F.transform(subset, lambda x: x.cast("string")), ",").alias("subset"))
-    sizes = range(1, size_limit + 1)
-    counts = rows.groupBy("subset", "j").agg(*[F.count_if(F.col("size") == s).alias(f"c{s}") for s in sizes])
-    cells = [(a, c) for a in sizes for c in sizes if a <= c]
-
-    def met(a: int, c: int) -> Column:
-        x, y = F.col(f"c{a}").cast("double"), F.col(f"c{c}").cast("double")
-        return x * (x - 1) / 2 if a == c else x * y
-
-    # One row per subset size and one sum per pair of set sizes; the weights join that.
-    sums = counts.groupBy("j").agg(*[F.sum(met(a, c)).alias(f"p{a}_{c}") for a, c in cells])
-    long = sums.select("j", F.explode(F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(c).alias("b"), F.col(f"p{a}_{c}").alias("pairs")) for a, c in cells])).alias("x")).select("j", "x.*")
-    weights = sets.sparkSession.createDataFrame(
-        [(j, a, c, float(_pair_weight(j, a, c))) for j in sizes for a, c in cells if j <= a], "j int, a int, b int, weight double")
-    return long.join(weights, ["j", "a", "b"]).agg(F.coalesce(F.sum(F.col("pairs") * F.col("weight")), F.lit(0.0)).alias("total"))
-
-
-def _jaccard_large(lines: DataFrame, sizes: DataFrame, size_limit: int) -> DataFrame:
-    """Sum of Jaccard over the pairs in which at least one set is larger than ``size_limit``."""
-    rows = lines.select("basket", "item_idx").join(sizes, "basket")
-    big = rows.filter(F.col("size") > size_limit).select(
-        "item_idx", F.col("basket").alias("a"), F.col("size").alias("sa"))
-    other = rows.select("item_idx", F.col("basket").alias("b"), F.col("size").alias("sb"))
-    once = (F.col("sb") <= size_limit) | (F.col("a") < F.col("b"))
-    common = big.join(other, "item_idx").filter((F.col("a") != F.col("b")) & once).groupBy("a", "b", "sa", "sb").agg(
-        F.count("*").alias("t"))
-    return common.agg(F.coalesce(F.sum(F.col("t") / (F.col("sa") + F.col("sb") - F.col("t"))), F.lit(0.0)).alias("total"))
-
-
-def jaccard_diversity(lines: DataFrame, size_limit: int = 12) -> DataFrame:
-    """Mean Jaccard distance over all basket pairs (as item sets), exactly.
-
-    Sets up to ``size_limit`` items go through subset counts; larger ones through an item
-    join that is confined to them.
-    """
-    held = lines.select("basket", "item_idx").distinct()
-    sizes = held.groupBy("basket").agg(F.count("*").alias("size"))
-    small = held.join(sizes.filter(F.col("size") <= size_limit), "basket").groupBy("basket", "size").agg(
-        F.array_sort(F.collect_list("item_idx")).alias("members"))
-    total = _jaccard_small(small, size_limit).unionByName(_jaccard_large(held, sizes, size_limit)).agg(F.sum("total")).scalar()
-    n = F.col("baskets").cast("double")
-    return sizes.agg(F.count("*").alias("baskets")).withColumn(
-        "diversity", 1 - total / F.nullif(n * (n - 1) / 2, F.lit(0.0)))
+    held = lines.select("basket", "item_idx")
+    values = [u32(seed, str(i), F.col("item_idx")).alias(f"h{i}") for i in range(functions)]
+    hashed = held.select("item_idx").distinct().select("item_idx", *values)
+    least = held.join(hashed, "item_idx").groupBy("basket").agg(*[F.min(f"h{i}").alias(f"h{i}") for i in range(functions)])
+    long = least.select(F.posexplode(F.array(*[f"h{i}" for i in range(functions)])).alias("f", "h"))
+    met = long.groupBy("f", "h").agg(F.count("*").alias("c")).groupBy("f").agg(
+        F.sum(F.col("c") * (F.col("c") - 1)).alias("met"), F.sum("c").alias("n"))
+    pairs = F.nullif((F.col("n") * (F.col("n") - 1)).cast("double"), F.lit(0.0))
+    return met.select("n", (F.col("met") / pairs).alias("share")).agg(
+        F.max("n").alias("baskets"), (1 - F.avg("share")).alias("diversity"),
+        (F.stddev_samp("share") / F.sqrt(F.lit(float(functions)))).alias("std_error"))
 
 
 def gate_table(spark, gates: Sequence[tuple] = GATES) -> DataFrame:

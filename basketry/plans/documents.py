@@ -122,16 +122,29 @@ def fp16_sink(spark, folder):
     return A.packed_vectors(vectors, "float16").select("item_idx", F.hex("raw").alias("raw"))
 
 
-@query("checksum_audit", """
-    select 'ok' as status union all select 'missing' union all select 'mismatch' union all select 'unlisted'""")
+_BRAND_FILES = """files as (select p_brand as name, string_agg(p_name, chr(10) order by p_partkey) || chr(10) as content
+      from part group by p_brand),
+    sums as (select name, sha256(content) as sha256, strlen(content)::bigint as size from files)"""
+
+
+@query("checksum_audit", with_ctes("", """
+    select name, case when name = 'Brand#7' then null else size end as size,
+      case when name = 'Brand#7' then null else sha256 end as sha256,
+      case name when 'Brand#5' then 'mismatch' when 'Brand#7' then 'missing' when 'Brand#9' then 'unlisted' else 'ok' end as status
+    from sums""", _BRAND_FILES))
 def checksum_audit(spark, folder):
-    """Manifest of written feature masks against the files, with one entry of each fault added."""
-    target = scratch_folder(spark, "masks")
-    A.write_facet_masks(A.facet_masks(b.items(spark, folder), b.FACETS), b.FACETS, target)
-    found = A.file_checksums(spark, target).filter(F.endswith("name", F.lit(".json")))
-    known = found.withColumn("size", F.col("size").cast("long"))
-    lost = known.withColumn("name", F.concat("name", F.lit(".lost")))
-    broken = known.withColumn("name", F.concat("name", F.lit(".broken")))
-    manifest = known.unionByName(lost).unionByName(broken.withColumn("sha256", F.lit("0")))
-    files = known.unionByName(broken).unionByName(known.withColumn("name", F.concat("name", F.lit(".extra"))))
-    return A.audit(manifest, files).select("status").distinct()
+    """A file of part names per brand, audited against a manifest made from the table.
+
+    The manifest has a wrong sum for brand 5 and lacks brand 9; the file of brand 7 is not written.
+    """
+    names = F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "p_name"))), lambda x: x["p_name"])
+    texts = b.table(spark, folder, "part").groupBy(F.col("p_brand").alias("name")).agg(F.array_join(names, "\n").alias("text"))
+    target = scratch_folder(spark, "brands")
+    texts.filter("name <> 'Brand#7'").withColumn("file", F.translate("name", "#", "-")).select("file", "text").write.partitionBy("file").text(target)
+    found = A.file_checksums(spark, target, root=target.rsplit("/", 1)[1])
+    folder_name = F.regexp_extract("name", "file=([^/]*)/[^/]*[.]txt$", 1)
+    found = found.withColumn("name", F.translate(folder_name, "-", "#")).filter("name <> ''")
+    content = F.concat("text", F.lit("\n")).cast("binary")
+    manifest = texts.filter("name <> 'Brand#9'").select("name", F.when(F.col("name") == "Brand#5", F.lit("0")).otherwise(
+        F.sha2(content, 256)).alias("sha256"), F.length(content).cast("long").alias("size"))
+    return A.audit(manifest, found).join(found, "name", "left").select("name", "size", "sha256", "status")

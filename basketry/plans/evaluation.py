@@ -165,16 +165,20 @@ def underplayed_share(spark, folder):
     return E.underplayed_share(sample, train).select(round6(F.col("underplayed")).alias("underplayed"))
 
 
-_JACCARD = """sz as (select basket, count(*) as n from lines group by basket),
-    common as (select a.basket as x, b.basket as y, count(*) as t from lines a join lines b
-      on a.item_idx = b.item_idx and a.basket < b.basket group by all),
-    jac as (select count(*) as baskets, 1 - (select sum(t / (p.n + q.n - t)) from common
-        join sz p on p.basket = x join sz q on q.basket = y) / (count(*) * (count(*) - 1) / 2) as diversity from sz)"""
+_JACCARD = f"""hashed as (select item_idx, f, {b.u32_sql(f"'{E.JACCARD_SEED}'", 'f', 'item_idx')} as h
+      from (select distinct item_idx from lines) cross join (select unnest(range({E.JACCARD_FUNCTIONS})) as f)),
+    minima as (select basket, f, min(h) as h from lines join hashed using (item_idx) group by basket, f),
+    met as (select f, sum(c * (c - 1)) / (sum(c) * (sum(c) - 1)) as share, sum(c)::bigint as n
+      from (select f, h, count(*) as c from minima group by f, h) group by f),
+    jac as (select max(n) as baskets, 1 - avg(share) as diversity,
+      stddev_samp(share) / sqrt({E.JACCARD_FUNCTIONS}) as std_error from met)"""
 
 
-@query("jaccard_diversity", with_ctes("lines", f"select baskets, {r6('diversity')} as diversity from jac", _JACCARD))
+@query("jaccard_diversity", with_ctes(
+    "lines", f"select baskets, {r6('diversity')} as diversity, {r6('std_error')} as std_error from jac", _JACCARD))
 def jaccard_diversity(spark, folder):
-    return E.jaccard_diversity(cut_lineage(b.lines(spark, folder))).withColumn("diversity", round6(F.col("diversity")))
+    out = E.jaccard_diversity(cut_lineage(b.lines(spark, folder)))
+    return out.select("baskets", *[round6(F.col(c)).alias(c) for c in ("diversity", "std_error")])
 
 
 @query("quality_gates", with_ctes("lines played reasons", f"""
@@ -213,7 +217,9 @@ def _scene(spark, folder):
     distinct_keys = keys.select("facet_key").distinct()
     priors = cut_lineage(SC.item_priors(keyed, index, distinct_keys))
     vectors = b.item_vectors(spark, folder, index).join(index.select("item_idx", "cap"), "item_idx")
-    candidates = cut_lineage(SC.candidate_table(vectors, priors, SA.pools(heads, index)))
+    allowed = index.filter("legality <> 'banned'").select("item_idx")
+    pool = SA.pools(heads, index).join(allowed, "item_idx", "left_semi")
+    candidates = cut_lineage(SC.candidate_table(vectors, priors, pool))
     return index, lines, heads, keys, priors, candidates, distinct_keys.count()
 
 
@@ -228,8 +234,8 @@ _PRIORS = """kf as (select facet_key, item_idx, sum(qty) as n from lines join pl
     means as (select basket, list(a order by dim) as mean, sqrt(sum(a * a)) as len from cells group by basket),
     pairs as (select m.basket, v.item_idx, lp, meta, lp + list_inner_product(mean, vec) / len as logit,
         list_inner_product(mean, vec) / len as cos, list_distance(mean, vec) as dist,
-        v.facet is distinct from p.barred as legal
-      from means m join played p using (basket) cross join item_vectors v
+        v.facet is distinct from p.barred and v.legality <> 'banned' as legal
+      from means m join played p using (basket) cross join (select * from item_vectors join (select item_idx, legality from items) using (item_idx)) v
       join priors on priors.facet_key = p.facet_key and priors.item_idx = v.item_idx),
     lse as (select basket, ln(sum(exp(logit))) as lse from pairs group by basket),
     open as (select * from pairs anti join lines using (basket, item_idx) where legal)"""
