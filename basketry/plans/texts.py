@@ -118,9 +118,10 @@ def _item_rows(spark, folder, index):
 _IDS = f"""words as (select doc_id, list_concat([2], list_concat(list_transform(string_split(text, ' '),
       lambda w: ({u32_sql("'word'", 'w')} % 4096 + 5)::int), [3])) as ids from documents),
     pos as (select doc_id, unnest(ids) as token, generate_subscripts(ids, 1) - 1 as p from words),
-    drawn as (select *, token not in (0, 1, 2, 3, 4) and {u32_sql("'m'", 'doc_id', 'p', "'pick'")} / 4294967296.0::double < 0.15 as chosen,
-      {u32_sql("'m'", 'doc_id', 'p', "'act'")} / 4294967296.0::double as act, ({u32_sql("'m'", 'doc_id', 'p', "'id'")} % 4101)::int as other
-      from pos),
+    hashed as (select *, sha1('m:' || doc_id || ':' || p) as d from pos),
+    drawn as (select *, token not in (0, 1, 2, 3, 4) and ('0x' || substr(d, 1, 8))::bigint / 4294967296.0::double < 0.15 as chosen,
+      ('0x' || substr(d, 9, 8))::bigint / 4294967296.0::double as act, (('0x' || substr(d, 17, 8))::bigint % 4101)::int as other
+      from hashed),
     masked as (select doc_id, p::int as pos, token,
       case when not chosen then token when act < 0.8 then 4 when act < 0.9 then other else token end as input_id,
       case when chosen then token else -100 end as label from drawn)"""
@@ -129,11 +130,14 @@ _IDS = f"""words as (select doc_id, list_concat([2], list_concat(list_transform(
 def _masked(spark, folder):
     from ..functions.hashing import u32
 
-    ids = F.transform(F.split("text", " "), lambda w: (F.pmod(u32("word", w), F.lit(4096)) + 5).cast("int"))
-    docs = b.table(spark, folder, "documents").select(
-        "doc_id", F.concat(F.array(F.lit(T.CLS)), ids, F.array(F.lit(T.SEP))).alias("ids"))
-    cells = MK.mask_tokens(F.col("ids"), F.col("doc_id"), "m", mask_id=T.MASK, vocab_size=4101, specials=range(5))
-    return docs.select("doc_id", F.posexplode(cells).alias("pos", "c")).select("doc_id", "pos", "c.input_id", "c.label")
+    ends = F.array(F.lit(None).cast("string"))
+    words = b.table(spark, folder, "documents").select(
+        "doc_id", F.posexplode(F.concat(ends, F.split("text", " "), ends)).alias("pos", "word"))
+    token = F.when(F.col("word").isNotNull(), (F.pmod(u32("word", F.col("word")), F.lit(4096)) + 5).cast("int")).when(
+        F.col("pos") == 0, F.lit(T.CLS)).otherwise(F.lit(T.SEP))
+    cell = MK.masked_token(F.col("token"), F.col("pos"), F.col("doc_id"), "m", mask_id=T.MASK, vocab_size=4101, specials=range(5))
+    cells = words.withColumn("token", token).select("doc_id", "pos", cell.alias("c"))
+    return cells.select("doc_id", "pos", "c.input_id", "c.label")
 
 
 @query("mask_tokens", with_ctes("", "select doc_id, pos, input_id, label from masked", _IDS))
