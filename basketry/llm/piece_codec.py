@@ -3,21 +3,22 @@
 A batch of texts is normalised (blanks become the space mark, one in front), cut into chunks
 where a mark follows another character - no piece spans such a place - and its new distinct
 chunks are joined into one text. A suffix array over it, sorted by as many characters as the
-longest piece has, is searched for every piece: the range of suffixes that begin with the
-piece are its occurrences. Occurrences are edges of a lattice over positions; sorted by their
-end they are relaxed from left to right.
+longest piece has, is searched for every piece, prefix by prefix: the range of suffixes that
+begin with the piece are its occurrences. Occurrences are edges of a lattice over positions;
+sorted by their start, the longest first, they are relaxed from the start of each chunk.
 
 The models at hand are BPE models, whose result is not the best sum of scores but what merging
-in order of rank leaves. Relaxing therefore asks, for an edge ``(s, e, piece)``, whether the
-piece may follow the last piece of the encoding of the prefix up to ``s``: a merge across the
-seam that ranks before the merges that made the two pieces forbids it. Exactly one edge per
-position passes, and the last pieces, followed backwards, are the encoding. For unigram models
-the edge with the best sum of scores wins. Chunks with several marks in front are merged
-directly, as runs of marks share one score. Unknown characters become byte pieces.
+in order of rank leaves. Relaxing therefore asks, for an edge, whether its piece may follow the
+piece before: a merge across the seam that ranks before the merges that made the two pieces
+forbids it. Only one way through a chunk has no forbidden seam, and that is the encoding; dead
+ends step back, and no (position, piece before) is tried twice. Chunks with several marks in
+front are merged directly, as runs of marks share one score. Unknown characters become byte
+pieces.
 
 Null texts are empty; empty texts have no pieces. Ids and texts equal those of the public
-library for the same model file. Memory is bounded: distinct chunks are indexed ``INDEX_CHARS``
-characters at a time, and at ``CACHE_CHUNKS`` encoded chunks the cache keeps only those in use.
+library for the same model file. Memory is bounded by ``GROUP_CHARS`` characters of text (or one
+longer text) at a time: distinct chunks are indexed ``INDEX_CHARS`` characters at a time, and at
+``CACHE_CHUNKS`` encoded chunks the cache keeps only those in use.
 """
 
 from __future__ import annotations
@@ -25,18 +26,21 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+import struct
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_frames, texts_of
+from ..session import ship_package
+from .common import BATCH_ROWS, texts_of
 
 #: Where the public model lies on this box; a parameter of every function.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-INDEX_CHARS, CACHE_CHUNKS, LONGEST_CHUNK = 400_000, 500_000, 2000
+INDEX_CHARS, CACHE_CHUNKS, LONGEST_CHUNK, GROUP_CHARS = 1_000_000, 600_000, 2000, 8_000_000
 _CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -71,8 +75,13 @@ class Pieces:
                     self.parts[i] = whole
         self.merged = {pair: i for i, pair in self.parts.items()}
         self.usable = sorted(i for i in plain if i in self.parts or len(self.text[i]) == 1)
-        self._fits: dict[tuple[int, int], bool] = {}
-        self.cache: dict[str, list[int]] = {}
+        self.prefixes = PrefixLevels([self.text[i] for i in self.usable])
+        self._fits: dict[int, bool] = {}
+        #: Chunks and their ids as little-endian 32-bit numbers.
+        self.cache: dict[str, bytes] = {}
+        #: Texts of ids that stand for themselves; None for bytes, control and unknown ids.
+        self.plain = [t if i in self.rank else None for i, t in enumerate(self.text)]
+        self.odd = np.array([t is None for t in self.plain])
 
     def _merge(self, chunk: str, stop: int | None = None):
         """Plain merging of one chunk, best score first, leftmost among equals.
@@ -117,11 +126,12 @@ class Pieces:
 
     def fits(self, left: int, right: int) -> bool:
         """Whether merging leaves the seam between two pieces alone."""
-        known = self._fits.get((left, right))
+        key = left << 32 | right
+        known = self._fits.get(key)
         if known is None:
-            if len(self._fits) > 2_000_000:
+            if len(self._fits) > 1_000_000:
                 self._fits.clear()
-            known = self._fits[left, right] = self._seam(left, right)
+            known = self._fits[key] = self._seam(left, right)
         return known
 
     def _seam(self, left: int, right: int) -> bool:
@@ -149,28 +159,23 @@ class Pieces:
 
     # -- encoding -----------------------------------------------------------------------------
 
-    def encode_texts(self, texts: list[str]) -> list[list[int]]:
-        cut = [_CHUNK.findall(normalised(t)) for t in texts]
-        out: list[list[int]] = []
-        start = 0
-        while start < len(cut):
-            # As many texts as their new chunks fit the cache.
-            new: dict[str, None] = {}
-            end, room = start, CACHE_CHUNKS - len(self.cache)
-            while end < len(cut) and (end == start or len(new) < room):
-                new.update(dict.fromkeys(c for c in cut[end] if c not in self.cache))
-                end += 1
+    def encode_texts(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of every text."""
+        find, get = _CHUNK.findall, self.cache.get
+        cut = [find(normalised(t)) for t in texts]
+        found = [list(map(get, c)) for c in cut]
+        missing = [k for k, f in enumerate(found) if None in f]
+        if missing:
+            new = dict.fromkeys(c for k in missing for c, f in zip(cut[k], found[k], strict=True) if f is None)
             self._learn(list(new))
-            cache = self.cache
-            for chunks in cut[start:end]:
-                ids: list[int] = []
-                for c in chunks:
-                    ids += cache[c]
-                out.append(ids)
-            if len(cache) >= CACHE_CHUNKS:
-                # What was just used stays: frequent words survive every clearing.
-                self.cache = {c: cache[c] for chunks in cut[start:end] for c in chunks}
-            start = end
+            for k in missing:
+                found[k] = list(map(get, cut[k]))
+        out = [np.frombuffer(b"".join(f), dtype="<i4") for f in found]
+        if len(self.cache) >= CACHE_CHUNKS:
+            # What was just used stays: frequent words survive every clearing.
+            self.cache = {c: f for k in range(len(cut)) for c, f in zip(cut[k], found[k], strict=True)}
+            if len(self.cache) >= CACHE_CHUNKS:
+                self.cache = {}
         return out
 
     def _learn(self, chunks: list[str]) -> None:
@@ -178,7 +183,7 @@ class Pieces:
         held = 0
         for c in chunks:
             if c[1:2] == MARK or len(c) > LONGEST_CHUNK:
-                self.cache[c] = self._merge(c)
+                self.cache[c] = _packed(self._merge(c))
                 continue
             group.append(c)
             held += len(c) + 1
@@ -197,64 +202,71 @@ class Pieces:
         ends = np.cumsum(lengths + 1) - 1
         data[ends] = 0
         order = suffix_array(data, self.longest)
-        starts, stops, ids = occurrences(data, order, [self.text[i] for i in self.usable], self.usable)
-        sort = np.argsort(stops, kind="stable")
-        starts, stops, ids = starts[sort].tolist(), stops[sort].tolist(), ids[sort].tolist()
-        last = self._relax(len(data), starts, stops, ids, data, ends)
-        begin = 0
-        text, byte_ids = joined, self._ids
-        for chunk, end in zip(chunks, ends.tolist(), strict=True):
-            found, at = [], end
-            while at > begin:
-                piece = last[at]
-                if piece == -1:
-                    found += reversed(byte_ids(text[at - 1]))
-                    at -= 1
+        starts, sizes, which = occurrences(data, order, self.prefixes)
+        sort = np.lexsort((-sizes, starts))
+        starts, sizes = starts[sort], sizes[sort]
+        ids = np.asarray(self.usable, dtype=np.int64)[which[sort]]
+        first = np.searchsorted(starts, np.arange(len(data) + 1)).tolist()
+        self._relax(chunks, ends.tolist(), first, sizes.tolist(), ids.tolist())
+
+    def _relax(self, chunks: list[str], ends: list[int], first: list[int], sizes: list[int], ids: list[int]) -> None:
+        """Walk every chunk along its edges; ``first[p]`` is the first edge that starts at ``p``."""
+        fits, cached, cache = self.fits, self._fits.get, self.cache
+        pack, begin = struct.Struct, 0
+        for chunk, end in zip(chunks, ends, strict=True):
+            at, before, found, tried = begin, -1, [], None
+            edge = first[at]
+            while at < end:
+                stop = first[at + 1]
+                if edge == stop and edge == first[at]:
+                    # No piece starts here: an unknown character, which merges with nothing.
+                    found.append((at, edge, before))
+                    at, before = at + 1, -1
+                    edge = first[at]
+                    continue
+                taken = False
+                while edge < stop:
+                    piece = ids[edge]
+                    if before < 0:
+                        ok = True
+                    else:
+                        ok = cached(before << 32 | piece)
+                        if ok is None:
+                            ok = fits(before, piece)
+                    if ok and not (tried and (at + sizes[edge], piece) in tried):
+                        taken = True
+                        break
+                    edge += 1
+                if taken:
+                    found.append((at, edge, before))
+                    at += sizes[edge]
+                    before = piece
+                    edge = first[at]
                 else:
-                    found.append(piece)
-                    at -= len(self.text[piece])
-            found.reverse()
-            self.cache[chunk] = found
+                    # A dead end: what led here leads nowhere.
+                    tried = tried or set()
+                    tried.add((at, before))
+                    at, edge, before = found.pop()
+                    edge += 1
+            out = []
+            for p, e, _ in found:
+                if e < first[p + 1]:
+                    out.append(ids[e])
+                else:
+                    out += self._ids(chunk[p - begin])
+            cache[chunk] = pack(f"<{len(out)}i").pack(*out)
             begin = end + 1
 
-    def _relax(self, size: int, starts, stops, ids, data, ends) -> list[int]:
-        """Per position the last piece of the encoding of its chunk up to there; -1: an unknown character.
-
-        Starts of chunks hold -2.
-        """
-        known = np.zeros(int(data.max()) + 1, dtype=bool)
-        for p in self.usable:
-            if len(self.text[p]) == 1 and ord(self.text[p]) + 1 < len(known):
-                known[ord(self.text[p]) + 1] = True
-        last = np.full(size + 1, -3, dtype=np.int64)
-        alone = np.nonzero(~known[data] & (data > 0))[0]
-        last[alone + 1] = -1
-        last[0] = -2
-        last[ends + 1] = -2
-        last = last.tolist()
-        fits, cached = self.fits, self._fits.get
-        for s, e, piece in zip(starts, stops, ids, strict=True):
-            if last[e] != -3:
-                continue
-            before = last[s]
-            if before == -3:
-                continue
-            if before < 0:
-                last[e] = piece
-                continue
-            ok = cached((before, piece))
-            if ok or (ok is None and fits(before, piece)):
-                last[e] = piece
-        return last
-
     # -- decoding -----------------------------------------------------------------------------
 
     def decode(self, ids) -> str:
         """The text; bytes that are no UTF-8 become replacement characters, control ids vanish."""
+        ids = np.asarray(ids, dtype=np.int64)
+        if not self.odd[ids].any():
+            return "".join(map(self.plain.__getitem__, ids.tolist())).removeprefix(MARK).replace(MARK, " ")
         parts: list[str] = []
         held = bytearray()
-        for i in ids:
-            i = int(i)
+        for i in ids.tolist():
             if i in self.value:
                 held.append(self.value[i])
                 continue
@@ -265,8 +277,39 @@ class Pieces:
                 parts.append(" ⁇ " if i == self.unknown else self.text[i])
         if held:
             parts.append(held.decode("utf-8", "replace"))
-        text = "".join(parts)
-        return text.removeprefix(MARK).replace(MARK, " ")
+        return "".join(parts).removeprefix(MARK).replace(MARK, " ")
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}i", *ids)
+
+
+class PrefixLevels:
+    """The distinct prefixes of pieces by length: each one's parent and last character."""
+
+    def __init__(self, pieces: list[str]) -> None:
+        known: dict[str, int] = {"": 0}
+        parents: list[list[int]] = []
+        chars: list[list[int]] = []
+        at = [0]
+        self.node = []
+        for depth in range(max(map(len, pieces), default=0)):
+            level: dict[str, int] = {}
+            parents.append([])
+            chars.append([])
+            for p in pieces:
+                if len(p) > depth and p[:depth + 1] not in level:
+                    level[p[:depth + 1]] = len(level)
+                    parents[-1].append(known[p[:depth]])
+                    chars[-1].append(ord(p[depth]) + 1)
+            known = level
+            at.append(at[-1] + len(level))
+            self.node.append({k: at[-2] + v for k, v in level.items()})
+        self.levels = [(np.array(a, dtype=np.int64), np.array(c, dtype=np.int64)) for a, c in zip(parents, chars, strict=True)]
+        #: Place of every piece among all prefixes, level after level.
+        self.place = np.array([self.node[len(p) - 1][p] for p in pieces], dtype=np.int64)
+        self.sizes = np.array([len(p) for p in pieces], dtype=np.int64)
+        del self.node
 
 
 def normalised(text: str) -> str:
@@ -292,45 +335,37 @@ def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
     return order
 
 
-def occurrences(data: np.ndarray, order: np.ndarray, pieces: list[str], ids) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All places of all pieces: ``starts, stops, ids``; binary search of each in the suffix array."""
+def occurrences(data: np.ndarray, order: np.ndarray, prefixes: PrefixLevels) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All places of all pieces: ``starts, sizes, piece numbers``; binary search of each in the suffix array."""
     n = len(data)
-    width = max(map(len, pieces))
-    codes = np.zeros((len(pieces), width), dtype=np.int64)
-    for row, p in enumerate(pieces):
-        codes[row, :len(p)] = [ord(c) + 1 for c in p]
-    sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
-    low, high = np.zeros(len(pieces), dtype=np.int64), np.full(len(pieces), n, dtype=np.int64)
-    padded = np.concatenate((data, np.zeros(width, dtype=data.dtype)))
-    for depth in range(width):
-        # Within a piece's range the characters at this depth ascend.
-        live = np.nonzero((sizes > depth) & (low < high))[0]
-        if not len(live):
-            break
-        want = codes[live, depth]
+    padded = np.concatenate((data, np.zeros(len(prefixes.levels), dtype=data.dtype)))
+    low, high = np.zeros(1, dtype=np.int64), np.full(1, n, dtype=np.int64)
+    lows, highs = [], []
+    for depth, (parent, char) in enumerate(prefixes.levels):
+        # Within the range of a prefix the characters that follow it ascend.
+        low, high = low[parent], high[parent]
+        live = np.nonzero(low < high)[0]
         for right in (False, True):
-            lo, hi = low[live].copy(), high[live].copy()
-            while True:
-                open_ = lo < hi
-                if not open_.any():
-                    break
+            lo, hi, want = low[live], high[live], char[live]
+            while (open_ := lo < hi).any():
                 mid = (lo + hi) >> 1
                 seen = padded[order[np.minimum(mid, n - 1)] + depth]
                 go = open_ & ((seen <= want) if right else (seen < want))
                 hi = np.where(open_ & ~go, mid, hi)
                 lo = np.where(go, mid + 1, lo)
             if right:
-                new_high = lo
+                high[live] = lo
             else:
-                new_low = lo
-        low[live], high[live] = new_low, new_high
+                begins = lo
+        low[live] = begins
+        lows.append(low)
+        highs.append(high)
+    low, high = np.concatenate(lows)[prefixes.place], np.concatenate(highs)[prefixes.place]
     counts = np.maximum(0, high - low)
     hit = np.nonzero(counts)[0]
     counts = counts[hit]
     offsets = np.repeat(low[hit] - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(counts.sum())
-    starts = order[offsets]
-    stops = starts + np.repeat(sizes[hit], counts)
-    return starts, stops, np.repeat(np.asarray(ids, dtype=np.int64)[hit], counts)
+    return order[offsets], np.repeat(prefixes.sizes[hit], counts), np.repeat(hit, counts)
 
 
 _LOADED: dict[str, Pieces] = {}
@@ -352,17 +387,29 @@ def encode_documents(docs: DataFrame, model: str = MODEL) -> DataFrame:
     with open(model, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
 
-    def run(batch: pd.DataFrame) -> pd.DataFrame:
+    def finished(batch: pd.DataFrame) -> pd.DataFrame:
         codec = pieces_of(shared.value)
         texts = batch["text"].tolist()
         ids = codec.encode_texts(texts)
         back = [codec.decode(x) for x in ids]
         digest = lambda t: hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest()
         return pd.DataFrame({
-            "doc_id": batch["doc_id"], "n_pieces": [len(x) for x in ids],
-            "ids": [np.asarray(x, dtype=np.int32) for x in ids],
+            "doc_id": batch["doc_id"], "n_pieces": [len(x) for x in ids], "ids": ids,
             "text_sha256": [digest(t) for t in texts], "decoded_sha256": [digest(t) for t in back],
             "round_trip": [a == b for a, b in zip(texts, back, strict=True)]})
 
-    return map_frames(texts_of(docs), run, (
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, chars = [], 0
+        for batch in batches:
+            held.append(batch)
+            chars += int(batch["text"].str.len().sum())
+            if chars >= GROUP_CHARS:
+                yield finished(pd.concat(held, ignore_index=True))
+                held, chars = [], 0
+        if held:
+            yield finished(pd.concat(held, ignore_index=True))
+
+    ship_package(docs.sparkSession)
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return texts_of(docs).mapInPandas(run, (
         "doc_id long, n_pieces long, ids array<int>, text_sha256 string, decoded_sha256 string, round_trip boolean"))
