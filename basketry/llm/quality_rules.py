@@ -19,22 +19,25 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_frames, texts_of
+from .common import WORD, map_frames, texts_of
 
 # Fixed values of the base rule.
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
 
-#: Part of the words that the removed lines may hold.
-MAX_LOST = 0.3
-#: Parts of the words of a line above which it fails.
-MAX_SYMBOLS, MAX_SHOUTING, MAX_SEPARATORS = 0.2, 0.6, 0.2
+#: Percentage of the words that the removed lines may hold.
+MAX_LOST = 30
+#: Percentages of the words of a line above which it fails.
+MAX_SYMBOLS, MAX_SHOUTING, MAX_SEPARATORS, MAX_NAVIGATION = 20, 60, 20, 50
+#: Words of a line up to which a boilerplate phrase condemns it.
+BOILERPLATE_WORDS = 40
 #: Lines of at most so many words may lack any end punctuation (headings).
 HEADING_WORDS = 4
 #: Words of a line from which shouting and symbols are judged.
 MIN_JUDGED = 4
-ENDS = tuple(".!?:;\"')]}»”’…。！？")
+ENDS = ".!?:;\"')]}»”’…。！？"
+SEPARATORS = ("|", "›", "»", "•", "·", ">", "/")
 #: Fixed phrases, lower case.
 BOILERPLATE = (
     "all rights reserved", "cookie policy", "enable javascript", "javascript is disabled", "licensed under",
@@ -45,7 +48,8 @@ NAVIGATION = frozenset((
     "about", "account", "archive", "back", "blog", "cart", "categories", "contact", "faq", "forum", "help", "home",
     "login", "logout", "menu", "news", "next", "previous", "register", "rss", "search", "share", "shop", "sitemap", "top"))
 _SYMBOLS = re.compile("[" + re.escape(SYMBOLS) + "]")
-_TRIM = ".,:;!?()[]{}\"'|/>»<«-"
+TRIM = ".,:;!?()[]{}\"'|/>»<«-"
+_ENDS = tuple(ENDS)
 
 
 def base_counts(text: str) -> tuple[int, int, int, int, int]:
@@ -75,24 +79,23 @@ def base_counts(text: str) -> tuple[int, int, int, int, int]:
 
 def line_verdict(line: str) -> str | None:
     """The rule that a line with a word fails, or None."""
-    words = line.split()
+    words = WORD.findall(line)
     n = len(words)
     lower = line.lower()
-    if any(p in lower for p in BOILERPLATE) and n <= 40:
+    if n <= BOILERPLATE_WORDS and any(p in lower for p in BOILERPLATE):
         return "boilerplate"
-    separators = sum(w in ("|", "›", "»", "•", "·", ">", "/") for w in words)
-    if n >= 2 and separators > MAX_SEPARATORS * n:
-        return "navigation"
-    bare = [w.strip(_TRIM).lower() for w in words]
-    if n >= 2 and sum(w in NAVIGATION for w in bare) > 0.5 * n:
-        return "navigation"
+    if n >= 2:
+        if 100 * sum(w in SEPARATORS for w in words) > MAX_SEPARATORS * n:
+            return "navigation"
+        if 100 * sum(w.lower().strip(TRIM) in NAVIGATION for w in words) > MAX_NAVIGATION * n:
+            return "navigation"
     if n >= MIN_JUDGED:
-        if len(_SYMBOLS.findall(line)) > MAX_SYMBOLS * n or line.count("!!") > MAX_SYMBOLS * n:
+        if 100 * max(len(_SYMBOLS.findall(line)), line.count("!!")) > MAX_SYMBOLS * n:
             return "symbols"
         letters = [w for w in words if len(w) > 1 and w.lower() != w.upper()]
-        if len(letters) >= MIN_JUDGED and sum(w.isupper() for w in letters) > MAX_SHOUTING * len(letters):
+        if len(letters) >= MIN_JUDGED and 100 * sum(w == w.upper() for w in letters) > MAX_SHOUTING * len(letters):
             return "shouting"
-    if n > HEADING_WORDS and not any(w.endswith(ENDS) for w in reversed(words)):
+    if n > HEADING_WORDS and not any(w.endswith(_ENDS) for w in words):
         return "punctuation"
     return None
 
@@ -133,7 +136,7 @@ def base_failed() -> Column:
 
 
 def verdict() -> Column:
-    return ~base_failed() & (F.col("lost_words") <= MAX_LOST * F.col("n_words"))
+    return ~base_failed() & (100 * F.col("lost_words") <= MAX_LOST * F.col("n_words"))
 
 
 def keep_documents(docs: DataFrame) -> DataFrame:
@@ -151,7 +154,7 @@ def keep_documents(docs: DataFrame) -> DataFrame:
         for text in batch["text"]:
             n, _, _, _, repeated = base_counts(text)
             new, lost = clean_lines(text)
-            keep.append(n >= MIN_WORDS and 100 * repeated <= MAX_REPEAT_PERCENT * n and lost <= MAX_LOST * n)
+            keep.append(n >= MIN_WORDS and 100 * repeated <= MAX_REPEAT_PERCENT * n and 100 * lost <= MAX_LOST * n)
             cleaned.append(new)
         out = batch.copy()
         out["text"] = cleaned

@@ -28,7 +28,60 @@ def query(name: str, sql: str | None = None):
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 
-@query("op2_quality_rules")
+def _listed(values) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+def _class(chars: str) -> str:
+    """A character class for a SQL string."""
+    return "[" + "".join(f"\\{c}" if c.isascii() else c for c in chars).replace("'", "''") + "]"
+
+
+_Q = quality_rules
+_UPPER = "len(list_filter(letters, lambda w: w = upper(w)))"
+QUALITY_SQL = rf"""
+with docs as (
+  select row_number() over () as r, doc_id, coalesce(text, '') as text, {_WORDS} as words from documents
+), windows as (
+  select r, i, count(*) over (partition by r, a, b, c) as met from (
+    select r, i, words[i] as a, words[i + 1] as b, words[i + 2] as c
+    from (select r, words, unnest(range(1, len(words) - 1)) as i from docs))
+), repeats as (
+  select r, count(distinct i + k) as n from windows cross join (values (0), (1), (2)) t(k) where met > 1 group by r
+), lines as (
+  select r, line, len(words) as n, words,
+    list_filter(words, lambda w: length(w) > 1 and lower(w) <> upper(w)) as letters
+  from (select r, line, list_filter(regexp_split_to_array(line, '[ 	-
+]+'), lambda w: w <> '') as words
+    from (select r, unnest(string_split(text, chr(10))) as line from docs)) where len(words) > 0
+), judged as (
+  select *, (n <= {_Q.BOILERPLATE_WORDS} and len(list_filter({_listed(_Q.BOILERPLATE)}, lambda p: contains(lower(line), p))) > 0)
+    or (n >= 2 and (100 * len(list_filter(words, lambda w: list_contains({_listed(_Q.SEPARATORS)}, w))) > {_Q.MAX_SEPARATORS} * n
+      or 100 * len(list_filter(words, lambda w: list_contains({_listed(sorted(_Q.NAVIGATION))},
+        trim(lower(w), '{_Q.TRIM.replace("'", "''")}'))))
+        > {_Q.MAX_NAVIGATION} * n))
+    or (n >= {_Q.MIN_JUDGED} and (100 * greatest(length(line) - length(regexp_replace(line, '{_class(_Q.SYMBOLS)}', '', 'g')),
+        (length(line) - length(replace(line, '!!', ''))) // 2) > {_Q.MAX_SYMBOLS} * n
+      or (len(letters) >= {_Q.MIN_JUDGED} and 100 * {_UPPER} > {_Q.MAX_SHOUTING} * len(letters))))
+    or (n > {_Q.HEADING_WORDS} and len(list_filter(words, lambda w: regexp_matches(w, '{_class(_Q.ENDS)}$'))) = 0) as fails
+  from lines
+), by_line as (
+  select r, count(*) - count(distinct line) as n_dup_lines, coalesce(sum(n) filter (fails), 0) as lost_words from judged group by r
+), counted as (
+  select doc_id, len(words) as n_words, length(regexp_replace(text, '[ 	-
+]+', '', 'g')) as word_chars,
+    length(text) - length(regexp_replace(text, '{_class(_Q.SYMBOLS)}', '', 'g')) as n_symbols,
+    coalesce(n_dup_lines, 0) as n_dup_lines, coalesce(repeats.n, 0) as n_repeat_words, coalesce(lost_words, 0) as lost_words
+  from docs left join by_line using (r) left join repeats using (r)
+)
+select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols,
+  n_dup_lines::bigint as n_dup_lines, n_repeat_words::bigint as n_repeat_words, lost_words::bigint as lost_words, base_failed,
+  not base_failed and 100 * lost_words <= {_Q.MAX_LOST} * n_words as kept
+from (select *, n_words < {_Q.MIN_WORDS} or 100 * n_repeat_words > {_Q.MAX_REPEAT_PERCENT} * n_words as base_failed from counted)
+"""
+
+
+@query("op2_quality_rules", QUALITY_SQL)
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judge(table(spark, folder, "documents"))
 
