@@ -13,12 +13,21 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import u32
 
-# Release gates (metric, kind, low, high) and the text pattern of a class reference.
+# Release gates (metric, kind, low, high), those of style bands in the balanced
+# setting, and the text pattern of a class reference.
 GATES = (
     ("legality_rate", "hard", 1.0, None),
     ("evaluator_auroc", "hard", 0.80, None),
     ("held_out_nll", "hard", None, 4.5),
     ("diversity", "hard", 0.6, None),
+    ("curve_kl", "soft", None, 0.10),
+    ("flag_distance_pp", "soft", None, 5.0),
+    ("supply_demand", "soft", 0.90, None),
+    ("class_reference", "soft", 0.80, None),
+    ("calibrated_ece", "soft", None, 0.05),
+    ("coverage", "band", 0.35, None),
+    ("underplayed", "band", 0.15, None),
+    ("archetype_distance", "band", 0.15, 0.40),
 )
 CLASS_REFERENCE = r"(?i)your (\w+) characters"
 SMOOTHING = 0.5
