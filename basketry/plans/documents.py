@@ -110,16 +110,30 @@ def embedding_shape(spark, folder):
     return vectors.agg(F.count("*").alias("rows"), F.min("n").alias("narrowest"), F.max("n").alias("widest"))
 
 
-@query("fp32_sink")
-def fp32_sink(spark, folder):
+def _sunk(spark, folder, dtype):
+    """Vectors written as bytes, read back and unpacked to one row per number."""
     vectors = b.table(spark, folder, "embeddings").select(F.col("vec_id").alias("item_idx"), F.col("embedding").alias("vec"))
-    return A.packed_vectors(vectors, "float32").select("item_idx", F.hex("raw").alias("raw"))
+    target = scratch_folder(spark, "vectors")
+    A.packed_vectors(vectors, dtype).write.parquet(target)
+    back = A.unpacked_vectors(spark.read.parquet(target), dtype)
+    return back.select("item_idx", F.posexplode("vec").alias("position", "value"))
+
 
+_NUMBERS = """select vec_id as item_idx, (generate_subscripts(embedding, 1) - 1)::int as position,
+    unnest(embedding)::float::double as x from embeddings"""
 
-@query("fp16_sink")
+
+@query("fp32_sink", f"select item_idx, position, x as value from ({_NUMBERS})")
+def fp32_sink(spark, folder):
+    return _sunk(spark, folder, "float32")
+
+
+# A half has 11 significant bits and no exponent below -14; values round to even.
+@query("fp16_sink", f"""
+    select item_idx, position, case when x = 0 then 0 else round_even(x / step, 0) * step end as value from (
+      select *, pow(2.0, greatest(floor(log2(abs(x))), -14) - 10) as step from ({_NUMBERS}))""")
 def fp16_sink(spark, folder):
-    vectors = b.table(spark, folder, "embeddings").select(F.col("vec_id").alias("item_idx"), F.col("embedding").alias("vec"))
-    return A.packed_vectors(vectors, "float16").select("item_idx", F.hex("raw").alias("raw"))
+    return _sunk(spark, folder, "float16")
 
 
 _BRAND_FILES = """files as (select p_brand as name, string_agg(p_name, chr(10) order by p_partkey) || chr(10) as content

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions.vectors import round6
@@ -82,11 +83,19 @@ def bpe_learn(spark, folder):
     return _vocabulary(spark, folder, MERGED_VOCAB).table(spark)
 
 
-@query("bpe_encode")
+@query("bpe_encode", with_ctes("", """
+    select doc_id, md5(replace(text, ' ', '')) as letters, true as framed from clean where text <> ''""", _CLEAN))
 def bpe_encode(spark, folder):
+    """The ids of every text decoded again: its letters must come back, framed by the two markers."""
     vocabulary = _vocabulary(spark, folder, MERGED_VOCAB)
     coded = T.encode_texts(clean_docs(spark, folder), vocabulary, max_positions=None).filter(F.size("ids") > 2)
-    return coded.select("doc_id", F.size("ids").alias("n_ids"), F.array_join(F.transform("ids", lambda i: i.cast("string")), " ").alias("ids"))
+
+    @F.pandas_udf("string")
+    def read(ids: pd.Series) -> pd.Series:
+        return ids.map(lambda row: T.decode([int(i) for i in row], vocabulary).replace(" ", ""))
+
+    framed = (F.col("ids")[0] == T.CLS) & (F.element_at("ids", -1) == T.SEP)
+    return coded.select("doc_id", F.md5(read("ids")).alias("letters"), framed.alias("framed"))
 
 
 @query("pretrain_rows")

@@ -81,6 +81,19 @@ def packed_vectors(vectors: DataFrame, dtype: str = "float16", index: str = "ite
     return ordered.select(index, pack("vec").alias("raw"))
 
 
+def unpacked_vectors(packed: DataFrame, dtype: str = "float16", index: str = "item_idx") -> DataFrame:
+    """``(item_idx, vec)`` from the bytes of ``packed_vectors``."""
+    if dtype not in _DTYPES:
+        raise ValueError(f"unsupported type: {dtype}")
+    code = _DTYPES[dtype]
+
+    @F.pandas_udf("array<double>")
+    def unpack(raw: pd.Series) -> pd.Series:
+        return raw.map(lambda r: np.frombuffer(r, dtype=code).astype(np.float64))
+
+    return packed.select(index, unpack("raw").alias("vec"))
+
+
 def facet_masks(items: DataFrame, order: Sequence[str], item: str = "item_idx") -> DataFrame:
     """Mask per item plus the padding row (0, 0)."""
     pad = items.sparkSession.range(1).select(F.lit(0).cast("long").alias(item), F.lit(0).alias("mask"))
