@@ -8,14 +8,16 @@
    ``LIST_LIMIT`` members generate their pairs.
 3. Longer lists are not expanded. Values of a passage that many texts share fill such lists,
    but a text keeps other values, through which it meets its near copies. Texts for which
-   the long lists hold ``HOT_PART`` of the index or more go a second way: keys of one, two,
-   four and eight neighbouring sketch values, where gaps tell texts apart that miss the same parts; long
-   key lists link each member to two members (the smallest id, and one picked per key by hash),
-   so a cluster of near copies of any size costs a bounded number of candidates per text.
+   the long lists hold ``HOT_PART`` of the index or more are linked to the smallest id of each of
+   their lists, which settles a cluster of near copies of any size at a bounded cost per text.
 4. Bottom-k estimates from the union of two sketches filter the candidates, the best candidate
-   of each text is verified on full sets, texts joined so far form components, and only
-   candidates between different components are verified after that.
-5. Components come from repeated contraction; nothing is collected.
+   of each text is verified on full sets, and texts joined so far form components.
+5. Texts of step 3 meet once more, in lists of ``RUN`` neighbouring sketch values; gaps in the
+   order tell apart texts that miss the same parts. Only candidates between different
+   components count: all pairs in short lists, pairs with members of groups in medium ones, in
+   longer ones each member with the smallest id and with one picked per list by hash. These, and what step 4 left between components, are
+   estimated and verified.
+6. Components come from repeated contraction; nothing is collected.
 
 Null, empty and blank texts have no shingles, link to nothing and stay. Texts with fewer words
 than a shingle have their whole sequence as the only one. Rows that repeat a ``doc_id`` are
@@ -37,9 +39,11 @@ from .common import map_frames, stage, texts_of, unstage
 WIDTH = 5
 #: Likeness from which two sets are linked, in per cent.
 PERCENT = 80
-SKETCH, INDEX, LIST_LIMIT, HOT_PART = 64, 24, 32, 0.4
-#: Run lengths of the keys for texts that consist of common values.
-RUNS = (1, 2, 4, 8)
+SKETCH, INDEX, LIST_LIMIT, HOT_PART = 64, 24, 32, 0.6
+#: Neighbouring sketch values in a key of texts that consist of common values.
+RUN = 4
+#: Lists of such keys up to which the members of groups generate pairs with all others.
+GROUP_LIMIT = 256
 #: An estimate from 64 values has a standard error of 0.05 at 0.8; pairs five of them below go.
 ESTIMATE_FLOOR = 0.55
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -102,51 +106,64 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
         return pd.DataFrame({"doc_id": batch["doc_id"],
                              "packed": [shingle_set(shingle_words(t), width, codes).tobytes() for t in batch["text"]]})
 
-    few = texts_of(docs).join(wanted, "doc_id", "left_semi")
+    # The ids grow with the corpus: never a broadcast, whatever their planned size.
+    few = texts_of(docs).join(wanted.hint("merge"), "doc_id", "left_semi")
     return map_frames(few, run, "doc_id long, packed binary")
 
 
-def _list_pairs(lists: DataFrame) -> DataFrame:
-    """``a, b`` (a < b) of all lists ``m: array<struct<doc, n>>``, sizes within reach of the limit."""
+def _list_pairs(lists: DataFrame, apart: str = "true") -> DataFrame:
+    """``a, b`` (a < b) of all lists ``m: array<struct<doc, n, ...>>``, sizes within reach of the limit."""
     near = f"least(x.n, y.n) * 100 >= greatest(x.n, y.n) * {PERCENT}"
     pairs = F.expr(f"""flatten(transform(m, (x, i) -> transform(
-        filter(slice(m, i + 2, size(m)), y -> y.doc <> x.doc and {near}), y -> struct(x.doc as a, y.doc as b))))""")
+        filter(slice(m, i + 2, size(m)), y -> y.doc <> x.doc and {apart} and {near}), y -> struct(x.doc as a, y.doc as b))))""")
     return lists.select(F.explode(pairs).alias("p")).select("p.a", "p.b")
 
 
-def _collected(members: DataFrame, key: str) -> DataFrame:
-    return members.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("doc", "n"))).alias("m"))
+def _collected(members: DataFrame, key: str, *more: str) -> DataFrame:
+    return members.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("doc", "n", *more))).alias("m"))
 
 
-def candidate_pairs(reps: DataFrame) -> DataFrame:
-    """``a, b`` for the representatives ``doc, n, sketch``."""
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("doc", "c").alias("a"), F.greatest("doc", "c").alias("b"))
+
+
+def candidate_pairs(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``a, b`` for the representatives ``doc, n, sketch``, and the representatives of common values."""
     index = reps.select(F.explode(F.slice("sketch", 1, INDEX)).alias("value"), "doc", "n")
-    lengths = index.groupBy("value").agg(F.count("*").alias("length")).filter("length > 1")
+    lengths = index.groupBy("value").agg(F.count("*").alias("length"), F.min("doc").alias("first")).filter("length > 1")
     members = stage(index.join(lengths, "value"), "near-lists")
     short = _list_pairs(_collected(members.filter(F.col("length") <= LIST_LIMIT), "value"))
     # Sets of 24 values and more share at least two short lists unless their likeness is below 0.8.
     sizes = reps.select(F.col("doc").alias("a"), F.col("n").alias("n_a")).distinct()
     met = short.groupBy("a", "b").agg(F.count("*").alias("met"))
     met = met.join(sizes, "a").filter((F.col("met") > 1) | (F.col("n_a") < INDEX)).select("a", "b")
-
-    hot = members.filter(F.col("length") > LIST_LIMIT).groupBy("doc", "n").agg(F.count("*").alias("hot"))
+    long = members.filter(F.col("length") > LIST_LIMIT)
+    hot = long.groupBy("doc", "n").agg(F.count("*").alias("hot"))
     hot = hot.filter(F.col("hot") >= HOT_PART * F.least(F.col("n"), F.lit(INDEX))).select("doc")
-    common = reps.join(hot, "doc", "left_semi")
-    keys = [F.transform(F.sequence(F.lit(0), F.greatest(F.size("sketch") - r, F.lit(0))), _run_key(r)) for r in RUNS]
-    runs = stage(common.select(F.explode(F.array_distinct(F.flatten(F.array(*keys)))).alias("key"), "doc", "n"), "near-runs")
-    by_key = runs.groupBy("key").agg(
-        F.count("*").alias("length"), F.min("doc").alias("first"),
-        F.min(F.struct(F.xxhash64("doc", "key"), "doc"))["doc"].alias("other")).filter("length > 1")
-    runs = stage(runs.join(by_key, "key"), "near-run-lists")
-    few = _list_pairs(_collected(runs.filter(F.col("length") <= LIST_LIMIT), "key"))
-    centre = F.explode(F.array("first", "other")).alias("c")
-    stars = runs.filter(F.col("length") > LIST_LIMIT).select("doc", centre).filter("c <> doc").select(
-        F.least("c", "doc").alias("a"), F.greatest("c", "doc").alias("b"))
-    return met.unionByName(few).unionByName(stars).distinct()
-
-
-def _run_key(r: int):
-    return lambda i: F.xxhash64(F.lit(r), F.slice(F.col("sketch"), i + 1, r))
+    common = stage(reps.join(hot, "doc", "left_semi"), "near-common")
+    stars = long.join(common.select("doc").distinct(), "doc", "left_semi").select("doc", F.col("first").alias("c"))
+    return met.unionByName(_ordered(stars.filter("c <> doc"))).distinct(), common
+
+
+def run_pairs(common: DataFrame, joined: DataFrame) -> DataFrame:
+    """``a, b`` of texts of common values that lie in different components of ``node, component``."""
+    keys = F.transform(F.sequence(F.lit(0), F.greatest(F.size("sketch") - RUN, F.lit(0))),
+                       lambda i: F.xxhash64(F.slice(F.col("sketch"), i + 1, RUN)))
+    placed = common.join(joined, F.col("doc") == F.col("node"), "left").withColumn(
+        "at", F.coalesce("component", "doc")).withColumn("group", F.col("component").isNotNull())
+    runs = stage(placed.select(F.explode(F.array_distinct(keys)).alias("key"), "doc", "n", "at", "group"), "near-runs")
+    pick = lambda order: F.min(F.struct(*order, "doc", "at"))
+    lists = runs.groupBy("key").agg(
+        F.count("*").alias("length"), F.min("at").alias("low"), F.max("at").alias("high"),
+        pick([]).alias("first"), pick([F.xxhash64("doc", "key").alias("h")]).alias("other"))
+    # A list within one component has nothing to tell.
+    runs = stage(runs.join(lists.filter("low <> high"), "key"), "near-run-lists")
+    # In lists of medium length, single texts meet the members of groups, but not each other.
+    apart = f"x.at <> y.at and (size(m) <= {LIST_LIMIT} or x.group or y.group)"
+    few = _list_pairs(_collected(runs.filter(F.col("length") <= GROUP_LIMIT), "key", "at", "group"), apart)
+    long = runs.filter(F.col("length") > LIST_LIMIT)
+    stars = [_ordered(long.filter(F.col(f"{c}.at") != F.col("at")).select("doc", F.col(f"{c}.doc").alias("c"))) for c in ("first", "other")]
+    return few.unionByName(stars[0]).unionByName(stars[1]).distinct()
 
 
 def estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -216,16 +233,19 @@ def duplicate_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     classes = stage(signed.filter("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("rep")), "near-classes")
     reps = signed.join(classes, (signed["digest"] == classes["digest"]) & (signed["doc_id"] == classes["rep"]), "left_semi")
     reps = stage(reps.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "sketch"), "near-reps")
-    pairs = stage(estimated(candidate_pairs(reps), reps), "near-pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    candidates, common = candidate_pairs(reps)
+    pairs = stage(estimated(candidates, reps), "near-pairs")
+    ends = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).unionByName(
+        common.select(F.col("doc").alias("doc_id"))).distinct()
     sets = stage(full_sets(docs, ends, width), "near-sets")
     best = pairs.groupBy("b").agg(F.max(F.struct("estimate", (-F.col("a")).alias("minus"))).alias("m"))
     first = stage(verified(best.select((-F.col("m.minus")).alias("a"), "b"), sets), "near-first")
     joined = stage(components(first), "near-joined")
     place = lambda x: joined.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}"))
     open_pairs = pairs.join(place("a"), "a", "left").join(place("b"), "b", "left").filter(
-        F.coalesce("c_a", "a") != F.coalesce("c_b", "b"))
-    second = stage(verified(open_pairs, sets), "near-second")
+        F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
+    later = estimated(run_pairs(common, joined), reps).select("a", "b")
+    second = stage(verified(open_pairs.unionByName(later).distinct(), sets), "near-second")
     joined = stage(components(first.unionByName(second)), "near-components")
     named = stage(classes.join(joined, F.col("rep") == F.col("node"), "left").select(
         F.col("digest").alias("of"), F.coalesce("component", "rep").alias("component")), "near-named")
