@@ -15,8 +15,8 @@
 5. Texts of step 3 meet once more, in lists of ``RUN`` neighbouring sketch values; gaps in the
    order tell apart texts that miss the same parts. Only candidates between different
    components count: all pairs in short lists, pairs with members of groups in medium ones, in
-   longer ones each member with the smallest id and with one picked per list by hash. These, and what step 4 left between components, are
-   estimated and verified.
+   longer ones each member with the smallest id; two lists must agree unless sets are small.
+   These, and what step 4 left between components, are estimated and verified.
 6. Components come from repeated contraction; nothing is collected.
 
 Null, empty and blank texts have no shingles, link to nothing and stay. Texts with fewer words
@@ -152,18 +152,24 @@ def run_pairs(common: DataFrame, joined: DataFrame) -> DataFrame:
     placed = common.join(joined, F.col("doc") == F.col("node"), "left").withColumn(
         "at", F.coalesce("component", "doc")).withColumn("group", F.col("component").isNotNull())
     runs = stage(placed.select(F.explode(F.array_distinct(keys)).alias("key"), "doc", "n", "at", "group"), "near-runs")
-    pick = lambda order: F.min(F.struct(*order, "doc", "at"))
     lists = runs.groupBy("key").agg(
         F.count("*").alias("length"), F.min("at").alias("low"), F.max("at").alias("high"),
-        pick([]).alias("first"), pick([F.xxhash64("doc", "key").alias("h")]).alias("other"))
+        F.min(F.struct("doc", "at")).alias("first"))
     # A list within one component has nothing to tell.
     runs = stage(runs.join(lists.filter("low <> high"), "key"), "near-run-lists")
     # In lists of medium length, single texts meet the members of groups, but not each other.
     apart = f"x.at <> y.at and (size(m) <= {LIST_LIMIT} or x.group or y.group)"
-    few = _list_pairs(_collected(runs.filter(F.col("length") <= GROUP_LIMIT), "key", "at", "group"), apart)
-    long = runs.filter(F.col("length") > LIST_LIMIT)
-    stars = [_ordered(long.filter(F.col(f"{c}.at") != F.col("at")).select("doc", F.col(f"{c}.doc").alias("c"))) for c in ("first", "other")]
-    return few.unionByName(stars[0]).unionByName(stars[1]).distinct()
+
+
+    def met(of: DataFrame) -> DataFrame:
+        few = _list_pairs(_collected(of.filter(F.col("length") <= GROUP_LIMIT), "key", "at", "group"), apart)
+        long = of.filter(F.col("length") > LIST_LIMIT).filter("first.at <> at")
+        stars = _ordered(long.select("doc", F.col("first.doc").alias("c")))
+        return few.unionByName(stars).groupBy("a", "b").agg(F.count("*").alias("met"))
+
+    # Similar texts share many runs of values; only sets with few runs may share just one.
+    often = met(runs).filter("met > 1").select("a", "b")
+    return often.unionByName(met(runs.filter(F.col("n") < 4 * RUN)).select("a", "b")).distinct()
 
 
 def estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
