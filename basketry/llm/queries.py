@@ -168,7 +168,29 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 CONTRACT_WIDTH = 4
 
 
-@query("op7_near_dedup")
+#: Every pair that shares a shingle, and all that is reachable over links.
+NEAR_SQL = r"""
+with recursive words as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w from documents
+), shingles as (
+  select distinct doc_id, unnest(list_transform(range(1, greatest(len(w) - 2, 2)), lambda i: array_to_string(w[i:i + 3], ' '))) as s
+  from words where len(w) > 0
+), sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+met as (
+  select a.doc_id as x, b.doc_id as y, count(*) as c from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by all
+), links as (
+  select x, y from met join sizes p on p.doc_id = x join sizes q on q.doc_id = y where 100 * c >= 80 * (p.n + q.n - c)
+), sides as (select x, y from links union all select y, x from links),
+reach(doc_id, other) as (
+  select doc_id, doc_id from documents union select y, other from reach join sides on x = doc_id
+)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, min(other) as component_id, min(other) = doc_id as kept
+from reach left join sizes using (doc_id) group by doc_id, n
+"""
+
+
+@query("op7_near_dedup", NEAR_SQL)
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.duplicate_components(table(spark, folder, "documents"), CONTRACT_WIDTH)
 
