@@ -55,7 +55,7 @@ class WordCodes(dict):
 
     def __missing__(self, word: bytes) -> int:
         code = xxhash.xxh64_intdigest(word)
-        if len(self) < 500_000:
+        if len(self) < 150_000:
             self[word] = code
         return code
 

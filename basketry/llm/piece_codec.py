@@ -40,7 +40,7 @@ from .common import BATCH_ROWS, texts_of
 #: Where the public model lies on this box; a parameter of every function.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-INDEX_CHARS, CACHE_CHUNKS, LONGEST_CHUNK, GROUP_CHARS = 500_000, 600_000, 2000, 8_000_000
+INDEX_CHARS, CACHE_CHUNKS, LONGEST_CHUNK, GROUP_CHARS = 500_000, 450_000, 2000, 5_000_000
 _CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
