@@ -6,17 +6,17 @@
 2. The ``INDEX`` smallest values are inverted lists. Two sets with a Jaccard likeness of 0.8
    miss each other in all lists with probability ``0.2 ** INDEX``. Lists of up to
    ``LIST_LIMIT`` members generate their pairs.
-3. Longer lists are not expanded. Values of a passage that many texts share fill such lists,
-   but a text keeps other values, through which it meets its near copies. Texts for which
-   the long lists hold ``HOT_PART`` of the index or more are linked to the smallest id of each of
-   their lists, which settles a cluster of near copies of any size at a bounded cost per text.
+3. Longer lists are not expanded at first. Texts for which the long lists hold ``HOT_PART`` of
+   the index or more are linked to the smallest id of each of their lists, which settles most of
+   a cluster of near copies of any size at a bounded cost per text.
 4. Bottom-k estimates from the union of two sketches filter the candidates, the best candidate
    of each text is verified on full sets, and texts joined so far form components.
-5. Texts of step 3 meet once more, in lists of ``RUN`` neighbouring sketch values; gaps in the
-   order tell apart texts that miss the same parts. Only candidates between different
-   components count: all pairs in short lists, pairs with members of groups in medium ones, in
-   longer ones each member with the smallest id; two lists must agree unless sets are small.
-   These, and what step 4 left between components, are estimated and verified.
+5. What long lists leave is compared in full. Near copies share ``NEED`` index values (or all but
+   a fifth of a small set) but with probability 1e-7, so they share one of the rarest long values
+   of both. Lists of those values, cut by classes of size, are dealt into blocks, and every
+   block meets every other: all pairs of different components are estimated and verified, as are
+   those that step 4 left. Lists within one component are skipped; others cost the square of
+   their length, spread over blocks.
 6. Components come from repeated contraction; nothing is collected.
 
 Null, empty and blank texts have no shingles, link to nothing and stay. Texts with fewer words
@@ -27,6 +27,7 @@ judged by their own text. Columns other than ``doc_id`` and ``text`` are not rea
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pandas as pd
@@ -34,20 +35,24 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from .common import map_frames, stage, texts_of, unstage
 
 WIDTH = 5
 #: Likeness from which two sets are linked, in per cent.
 PERCENT = 80
 SKETCH, INDEX, LIST_LIMIT, HOT_PART = 64, 24, 32, 0.6
-#: Neighbouring sketch values in a key of texts that consist of common values.
-RUN = 4
-#: Lists of such keys up to which the members of groups generate pairs with all others.
-GROUP_LIMIT = 256
+#: Index values that two texts share, at a likeness of 0.8, but with probability 1e-7.
+NEED = 8
+#: Members of a block of a long list; all pairs of blocks are compared, each in a group of its own.
+BLOCK = 512
+#: Pairs of a block whose sketches are compared at once.
+PAIRS_AT_ONCE = 4096
 #: An estimate from 64 values has a standard error of 0.05 at 0.8; pairs five of them below go.
 ESTIMATE_FLOOR = 0.55
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _ODD = 0x9E3779B97F4A7C15
+_PAD = np.iinfo(np.int64).max
 
 
 class WordCodes(dict):
@@ -111,16 +116,16 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return map_frames(few, run, "doc_id long, packed binary")
 
 
-def _list_pairs(lists: DataFrame, apart: str = "true") -> DataFrame:
-    """``a, b`` (a < b) of all lists ``m: array<struct<doc, n, ...>>``, sizes within reach of the limit."""
+def _list_pairs(lists: DataFrame) -> DataFrame:
+    """``a, b`` (a < b) of all lists ``m: array<struct<doc, n>>``, sizes within reach of the limit."""
     near = f"least(x.n, y.n) * 100 >= greatest(x.n, y.n) * {PERCENT}"
     pairs = F.expr(f"""flatten(transform(m, (x, i) -> transform(
-        filter(slice(m, i + 2, size(m)), y -> y.doc <> x.doc and {apart} and {near}), y -> struct(x.doc as a, y.doc as b))))""")
+        filter(slice(m, i + 2, size(m)), y -> y.doc <> x.doc and {near}), y -> struct(x.doc as a, y.doc as b))))""")
     return lists.select(F.explode(pairs).alias("p")).select("p.a", "p.b")
 
 
-def _collected(members: DataFrame, key: str, *more: str) -> DataFrame:
-    return members.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("doc", "n", *more))).alias("m"))
+def _collected(members: DataFrame, key: str) -> DataFrame:
+    return members.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("doc", "n"))).alias("m"))
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -138,38 +143,110 @@ def candidate_pairs(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
     met = short.groupBy("a", "b").agg(F.count("*").alias("met"))
     met = met.join(sizes, "a").filter((F.col("met") > 1) | (F.col("n_a") < INDEX)).select("a", "b")
     long = members.filter(F.col("length") > LIST_LIMIT)
-    hot = long.groupBy("doc", "n").agg(F.count("*").alias("hot"))
-    hot = hot.filter(F.col("hot") >= HOT_PART * F.least(F.col("n"), F.lit(INDEX))).select("doc")
-    common = stage(reps.join(hot, "doc", "left_semi"), "near-common")
+    held = long.groupBy("doc", "n").agg(F.transform(F.array_sort(F.collect_list(F.struct("length", "value"))),
+                                                    lambda x: x["value"]).alias("long"))
+    hot = held.filter(F.size("long") >= HOT_PART * F.least(F.col("n"), F.lit(INDEX)))
+    common = stage(reps.join(hot, ["doc", "n"]), "near-common")
     stars = long.join(common.select("doc").distinct(), "doc", "left_semi").select("doc", F.col("first").alias("c"))
     return met.unionByName(_ordered(stars.filter("c <> doc"))).distinct(), common
 
 
-def run_pairs(common: DataFrame, joined: DataFrame) -> DataFrame:
-    """``a, b`` of texts of common values that lie in different components of ``node, component``."""
-    keys = F.transform(F.sequence(F.lit(0), F.greatest(F.size("sketch") - RUN, F.lit(0))),
-                       lambda i: F.xxhash64(F.slice(F.col("sketch"), i + 1, RUN)))
-    placed = common.join(joined, F.col("doc") == F.col("node"), "left").withColumn(
-        "at", F.coalesce("component", "doc")).withColumn("group", F.col("component").isNotNull())
-    runs = stage(placed.select(F.explode(F.array_distinct(keys)).alias("key"), "doc", "n", "at", "group"), "near-runs")
-    lists = runs.groupBy("key").agg(
-        F.count("*").alias("length"), F.min("at").alias("low"), F.max("at").alias("high"),
-        F.min(F.struct("doc", "at")).alias("first"))
-    # A list within one component has nothing to tell.
-    runs = stage(runs.join(lists.filter("low <> high"), "key"), "near-run-lists")
-    # In lists of medium length, single texts meet the members of groups, but not each other.
-    apart = f"x.at <> y.at and (size(m) <= {LIST_LIMIT} or x.group or y.group)"
-
-
-    def met(of: DataFrame) -> DataFrame:
-        few = _list_pairs(_collected(of.filter(F.col("length") <= GROUP_LIMIT), "key", "at", "group"), apart)
-        long = of.filter(F.col("length") > LIST_LIMIT).filter("first.at <> at")
-        stars = _ordered(long.select("doc", F.col("first.doc").alias("c")))
-        return few.unionByName(stars).groupBy("a", "b").agg(F.count("*").alias("met"))
-
-    # Similar texts share many runs of values; only sets with few runs may share just one.
-    often = met(runs).filter("met > 1").select("a", "b")
-    return often.unionByName(met(runs.filter(F.col("n") < 4 * RUN)).select("a", "b")).distinct()
+def _estimates(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Likeness of pairs of sketches (rows, padded with ``_PAD``) from the smallest values of each union."""
+    both = np.sort(np.concatenate([x, y], axis=1), axis=1)
+    again = np.zeros(both.shape, dtype=bool)
+    again[:, 1:] = both[:, 1:] == both[:, :-1]
+    again &= both != _PAD
+    new = ~again & (both != _PAD)
+    place = np.cumsum(new, axis=1)
+    within = place <= SKETCH
+    return (again & within).sum(axis=1) / np.maximum(1, np.minimum(place[:, -1], SKETCH))
+
+
+def _padded(rows: list, width: int) -> np.ndarray:
+    out = np.full((len(rows), width), _PAD, dtype=np.int64)
+    for i, row in enumerate(rows):
+        out[i, :len(row)] = row
+    return out
+
+
+def _met_in_cell(value: int, cell: int, low: pd.DataFrame, high: pd.DataFrame, same: bool) -> pd.DataFrame:
+    """``a, b, estimate`` of the pairs between two blocks of a cell that this cell has to tell."""
+    sketches = [_padded(list(f["sketch"]), SKETCH) for f in (low, high)]
+    known, at = np.unique(np.concatenate([s[:, :INDEX] for s in sketches]), return_inverse=True)
+    at = at.reshape(-1, INDEX)
+    used = np.full(len(known), -1, dtype=np.int64)
+    in_low, in_high = np.unique(at[:len(low)]), np.unique(at[len(low):])
+    both = np.intersect1d(in_low, in_high)
+    both = both[known[both] != _PAD]
+    used[both] = np.arange(len(both))
+    marks = np.zeros((len(at), len(both) + 1), dtype=np.float32)
+    marks[np.arange(len(at))[:, None], used[at]] = 1
+    shared = marks[:len(low), :-1] @ marks[len(low):, :-1].T
+    n_x, n_y = low["n"].to_numpy()[:, None], high["n"].to_numpy()[None, :]
+    most = np.maximum(n_x, n_y)
+    keep = (np.minimum(n_x, n_y) * 100 >= most * PERCENT) & (shared >= np.minimum(NEED, -(-most * PERCENT // 100)))
+    keep &= low["at"].to_numpy()[:, None] != high["at"].to_numpy()[None, :]
+    # Two texts of the lower class of sizes meet in the cell of that class.
+    keep &= (low["class"].to_numpy()[:, None] == cell) | (high["class"].to_numpy()[None, :] == cell)
+    if same:
+        keep = np.triu(keep, 1)
+    i, j = np.nonzero(keep)
+    parts = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+    width = max(1, *(len(r) for f in (low, high) for r in f["rare"]))
+    rare = [_padded(list(f["rare"]), width) for f in (low, high)]
+    docs = [f["doc"].to_numpy() for f in (low, high)]
+    for start in range(0, len(i), PAIRS_AT_ONCE):
+        x, y = i[start:start + PAIRS_AT_ONCE], j[start:start + PAIRS_AT_ONCE]
+        # Of several cells, the one of the first value in common tells the pair.
+        left, right = rare[0][x], rare[1][y]
+        first = np.full(len(x), _PAD)
+        for k in reversed(range(width)):
+            hit = (left[:, k:k + 1] == right).any(axis=1) & (left[:, k] != _PAD)
+            first[hit] = left[hit, k]
+        x, y = x[first == value], y[first == value]
+        estimate = _estimates(sketches[0][x], sketches[1][y])
+        good = estimate >= ESTIMATE_FLOOR
+        u, v = docs[0][x[good]], docs[1][y[good]]
+        parts.append((np.minimum(u, v), np.maximum(u, v), estimate[good]))
+    a, b, estimate = (np.concatenate(p) for p in zip(*parts, strict=True))
+    out = pd.DataFrame({"a": a, "b": b, "estimate": estimate})
+    return out[out["a"] != out["b"]]
+
+
+def block_pairs(common: DataFrame, joined: DataFrame) -> DataFrame:
+    """``a, b, estimate`` of all texts of common values that lie in different components of ``node, component``.
+
+    ``common`` has the values of long lists, the shortest list first, in ``long``.
+    """
+    ship_package(common.sparkSession)
+    whole = F.ceil(F.col("n") * PERCENT / 100).cast("int")
+    # Texts that share ``least`` of their long values share one of the rare ones.
+    least = F.greatest(F.lit(1), F.least(F.lit(NEED), whole) - 1)
+    rare = F.expr("slice(long, 1, greatest(size(long) - least + 1, 0))")
+    placed = common.join(joined, F.col("doc") == F.col("node"), "left").withColumn("least", least).select(
+        "doc", "n", rare.alias("rare"), "sketch", F.coalesce("component", "doc").alias("at"),
+        F.floor(F.log("n") / math.log(100 / PERCENT) * (1 - 1e-9)).cast("int").alias("class"))
+    placed = stage(placed.filter(F.size("rare") > 0), "near-placed")
+    cells = placed.select("doc", "n", "at", F.explode("rare").alias("value"), "class").withColumn(
+        "cell", F.explode(F.array(F.col("class"), F.col("class") + 1)))
+    cells = stage(cells, "near-cells")
+    lists = cells.groupBy("value", "cell").agg(
+        F.count("*").alias("length"), F.min("at").alias("low"), F.max("at").alias("high"), F.max("class").alias("top"))
+    # A cell within one component, or without texts of its own class, has nothing to tell.
+    lists = lists.filter("low <> high and top = cell").select("value", "cell", F.ceil(F.col("length") / BLOCK).cast("int").alias("blocks"))
+    dealt = cells.join(lists, ["value", "cell"]).withColumn("block", F.pmod(F.xxhash64("doc", "n"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("value", "cell", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "doc", "n")
+    dealt = dealt.join(placed, ["doc", "n"])
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        value, cell, x, y = (int(k) for k in key)
+        low = rows[rows["block"] == x]
+        return _met_in_cell(value, cell, low, low if x == y else rows[rows["block"] == y], x == y)
+
+    met = dealt.groupBy("value", "cell", "x", "y").applyInPandas(run, "a long, b long, estimate double")
+    return met.groupBy("a", "b").agg(F.max("estimate").alias("estimate"))
 
 
 def estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -250,7 +327,7 @@ def duplicate_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     place = lambda x: joined.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}"))
     open_pairs = pairs.join(place("a"), "a", "left").join(place("b"), "b", "left").filter(
         F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
-    later = estimated(run_pairs(common, joined), reps).select("a", "b")
+    later = block_pairs(common, joined).select("a", "b")
     second = stage(verified(open_pairs.unionByName(later).distinct(), sets), "near-second")
     joined = stage(components(first.unionByName(second)), "near-components")
     named = stage(classes.join(joined, F.col("rep") == F.col("node"), "left").select(

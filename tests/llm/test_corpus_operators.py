@@ -425,6 +425,19 @@ def test_components_against_all_pairs(spark):
         assert got == plain_components(rows, width)
 
 
+def test_long_lists_are_compared_in_full(spark):
+    rnd = random.Random(11)
+    base, passage = [f"b{i}" for i in range(300)], [f"p{i}" for i in range(200)]
+    rows = []
+    for i in range(300):
+        words = rnd.sample(base, 300 - rnd.randrange(10, 70)) + [f"o{i}x{j}" for j in range(rnd.randrange(25))]
+        rows.append((1000 + i, " ".join(words), "s"))
+        # All hold the passage, but only the last two are near copies.
+        rows.append((2000 + i, " ".join(passage + [f"q{i}x{j}" for j in range(60 if i < 298 else 20)]), "s"))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.duplicate_components(table(spark, rows), 1).collect()}
+    assert got == plain_components(rows, 1) and got[2299][1] == 2298
+
+
 def test_near_duplicates_on_odd_rows(spark, odd, none):
     rows = near_dedup.duplicate_components(odd).collect()
     assert len(rows) == len(ODD)
