@@ -1,7 +1,9 @@
 """Secret scans: fixed patterns plus a battery of randomness tests on other long tokens.
 
-A token of ``[A-Za-z0-9+/_=-]`` outside the base spans is a candidate if its characters fit an
-encoding (hex, base 32, base 64) and mix at least two of upper case, lower case and digits.
+A token of ``[A-Za-z0-9+/_-]``, with ``=`` only as padding at its end, outside the base spans is a
+candidate if its characters fit an encoding (hex, base 32, base 64) and mix at least two of upper
+case, lower case and digits. Name and value of ``NAME=VALUE`` are tokens of their own; a token with
+signs of both alphabets of base 64 is cut, and its parts in either are tested (they may overlap).
 Its symbols, as numbers of that alphabet, are tested for
 
 * uniform use of the alphabet (chi-squared over equal classes of symbols),
@@ -42,7 +44,10 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 #: Candidates of the test battery.
-TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
+TOKEN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}(?:=*(?![A-Za-z0-9+/_=-]))?")
+#: Parts of a token that no single alphabet holds, cut where those of base 64 differ.
+PLAIN = re.compile(r"[A-Za-z0-9+/]{16,}(?:=*$)?")
+SAFE = re.compile(r"[A-Za-z0-9_-]{16,}(?:=*$)?")
 MIN_SYMBOLS = 16
 #: Upper ends of the length classes but the last.
 CLASSES = (24, 40, 80)
@@ -147,12 +152,20 @@ def candidates(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, i
             i += 1
         if any(s[0] < b and s[1] > a for s in base[max(0, i - 4):] if s[0] < b):
             continue
-        what = infer(m[0])
-        if what:
-            out.append((a, b, what[0], length_class(len(what[1])), battery(what[1], what[2])))
+        for x, y in parts(m[0]):
+            what = infer(m[0][x:y])
+            if what:
+                out.append((a + x, a + y, what[0], length_class(len(what[1])), battery(what[1], what[2])))
     return out
 
 
+def parts(token: str) -> list[tuple[int, int]]:
+    """The token, or its parts in either alphabet of base 64 if it has signs of both."""
+    if not (("+" in token or "/" in token) and ("-" in token or "_" in token)):
+        return [(0, len(token))]
+    return sorted({m.span() for e in (PLAIN, SAFE) for m in e.finditer(token)})
+
+
 def examine(docs: DataFrame) -> DataFrame:
     """One row per document: base spans and tested candidates, before the discovery control."""
 

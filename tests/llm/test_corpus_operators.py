@@ -500,6 +500,20 @@ def test_secrets_on_odd_rows(spark, odd, none):
     assert secret_scan.mask_secrets(df).columns == df.columns
 
 
+def test_keys_in_assignments_urls_and_paths(spark):
+    rnd = random.Random(5)
+    letters = secret_scan.ALPHABETS[3][1][:62]
+    keys = ["".join(rnd.choices(letters, k=44)) for _ in range(40)]
+    keys = [k for k in keys if secret_scan.battery(*secret_scan.infer(k)[1:]) > 0.3][:5]
+    texts = [f"AWS_SECRET_ACCESS_KEY={keys[0]}", f"GET https://host.example/a?x=1&sig={keys[1]}&auth={keys[2]} now",
+             f"pad={keys[3]}== end", f"some-long-path_name/{keys[4]}"]
+    spans = [secret_scan.candidates(t, secret_scan.base_spans(t)) for t in texts]
+    told = [[t[a:b] for a, b, *_ in s] for t, s in zip(texts, spans, strict=True)]
+    assert told[:3] == [[keys[0]], keys[1:3], [keys[3] + "=="]] and keys[4] in told[3]
+    masked = {r.doc_id: r.text for r in secret_scan.mask_secrets(table(spark, [(i, t, "s") for i, t in enumerate(texts)])).collect()}
+    assert masked[0] == "AWS_SECRET_ACCESS_KEY=[secret]" and not any(k in t for k in keys for t in masked.values())
+
+
 # -- 10 archives -----------------------------------------------------------------------------------------------
 
 
