@@ -12,10 +12,11 @@
 4. Bottom-k estimates from the union of two sketches filter the candidates, the best candidate
    of each text is verified on full sets, and texts joined so far form components.
 5. What long lists leave is compared in full. Near copies share ``NEED`` index values (or all but
-   a fifth of a small set) but with probability 1e-7, so they share one of the rarest long values
-   of both. Lists of those values, cut by classes of size, are dealt into blocks, and every
-   block meets every other: all pairs of different components are estimated and verified, as are
-   those that step 4 left. Lists within one component are skipped; others cost the square of
+   a fifth of a small set) but with probability 1e-7. Those that are not told by two short lists
+   share all but one of these in long lists, and so one of the rarest long values of both; every
+   text with that many long values takes part, however many own values it has. Lists of those values, cut by classes of size, are dealt into blocks, and every
+   block meets every other with its full sets: all pairs of different components that share enough
+   of the index are verified there. So are, by themselves, the pairs that step 4 left. Lists within one component are skipped; others cost the square of
    their length, spread over blocks.
 6. Components come from repeated contraction; nothing is collected.
 
@@ -46,7 +47,7 @@ SKETCH, INDEX, LIST_LIMIT, HOT_PART = 64, 24, 32, 0.6
 NEED = 8
 #: Members of a block of a long list; all pairs of blocks are compared, each in a group of its own.
 BLOCK = 512
-#: Pairs of a block whose sketches are compared at once.
+#: Pairs of a block whose rare values are compared at once.
 PAIRS_AT_ONCE = 4096
 #: An estimate from 64 values has a standard error of 0.05 at 0.8; pairs five of them below go.
 ESTIMATE_FLOOR = 0.55
@@ -132,37 +133,31 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("doc", "c").alias("a"), F.greatest("doc", "c").alias("b"))
 
 
+def _least_long(n: str) -> F.Column:
+    """Values of long lists that two near copies share which share at most one of short lists (none if small)."""
+    return F.greatest(F.lit(1), F.least(F.lit(NEED), F.ceil(F.col(n) * PERCENT / 100).cast("int")) - 1)
+
+
 def candidate_pairs(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``a, b`` for the representatives ``doc, n, sketch``, and the representatives of common values."""
+    """``a, b`` for the representatives ``doc, n, sketch``, and those with values of long lists to compare (``long``)."""
     index = reps.select(F.explode(F.slice("sketch", 1, INDEX)).alias("value"), "doc", "n")
     lengths = index.groupBy("value").agg(F.count("*").alias("length"), F.min("doc").alias("first")).filter("length > 1")
     members = stage(index.join(lengths, "value"), "near-lists")
     short = _list_pairs(_collected(members.filter(F.col("length") <= LIST_LIMIT), "value"))
-    # Sets of 24 values and more share at least two short lists unless their likeness is below 0.8.
+    # Larger sets that share fewer than two short lists share long ones, which are compared below.
     sizes = reps.select(F.col("doc").alias("a"), F.col("n").alias("n_a")).distinct()
     met = short.groupBy("a", "b").agg(F.count("*").alias("met"))
     met = met.join(sizes, "a").filter((F.col("met") > 1) | (F.col("n_a") < INDEX)).select("a", "b")
     long = members.filter(F.col("length") > LIST_LIMIT)
     held = long.groupBy("doc", "n").agg(F.transform(F.array_sort(F.collect_list(F.struct("length", "value"))),
                                                     lambda x: x["value"]).alias("long"))
-    hot = held.filter(F.size("long") >= HOT_PART * F.least(F.col("n"), F.lit(INDEX)))
-    common = stage(reps.join(hot, ["doc", "n"]), "near-common")
-    stars = long.join(common.select("doc").distinct(), "doc", "left_semi").select("doc", F.col("first").alias("c"))
+    # Pairs that miss the rule of short lists share at least so many values of long ones.
+    common = stage(reps.join(held.filter(F.size("long") >= _least_long("n")), ["doc", "n"]), "near-common")
+    hot = common.filter(F.size("long") >= HOT_PART * F.least(F.col("n"), F.lit(INDEX))).select("doc").distinct()
+    stars = long.join(hot, "doc", "left_semi").select("doc", F.col("first").alias("c"))
     return met.unionByName(_ordered(stars.filter("c <> doc"))).distinct(), common
 
 
-def _estimates(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Likeness of pairs of sketches (rows, padded with ``_PAD``) from the smallest values of each union."""
-    both = np.sort(np.concatenate([x, y], axis=1), axis=1)
-    again = np.zeros(both.shape, dtype=bool)
-    again[:, 1:] = both[:, 1:] == both[:, :-1]
-    again &= both != _PAD
-    new = ~again & (both != _PAD)
-    place = np.cumsum(new, axis=1)
-    within = place <= SKETCH
-    return (again & within).sum(axis=1) / np.maximum(1, np.minimum(place[:, -1], SKETCH))
-
-
 def _padded(rows: list, width: int) -> np.ndarray:
     out = np.full((len(rows), width), _PAD, dtype=np.int64)
     for i, row in enumerate(rows):
@@ -170,18 +165,19 @@ def _padded(rows: list, width: int) -> np.ndarray:
     return out
 
 
-def _met_in_cell(value: int, cell: int, low: pd.DataFrame, high: pd.DataFrame, same: bool) -> pd.DataFrame:
-    """``a, b, estimate`` of the pairs between two blocks of a cell that this cell has to tell."""
-    sketches = [_padded(list(f["sketch"]), SKETCH) for f in (low, high)]
-    known, at = np.unique(np.concatenate([s[:, :INDEX] for s in sketches]), return_inverse=True)
-    at = at.reshape(-1, INDEX)
-    used = np.full(len(known), -1, dtype=np.int64)
-    in_low, in_high = np.unique(at[:len(low)]), np.unique(at[len(low):])
-    both = np.intersect1d(in_low, in_high)
-    both = both[known[both] != _PAD]
-    used[both] = np.arange(len(both))
-    marks = np.zeros((len(at), len(both) + 1), dtype=np.float32)
-    marks[np.arange(len(at))[:, None], used[at]] = 1
+def _linked_in_cell(value: int, cell: int, low: pd.DataFrame, high: pd.DataFrame, same: bool) -> pd.DataFrame:
+    """``a, b`` of the near copies between two blocks of a cell that this cell has to tell."""
+    sets = [[np.frombuffer(p, dtype=np.int64) for p in f["packed"]] for f in (low, high)]
+    codes, known = pd.factorize(np.concatenate([_padded([s[:INDEX] for s in side], INDEX) for side in sets]).ravel())
+    codes = codes.reshape(-1, INDEX)
+    use = np.zeros((2, len(known)), dtype=bool)
+    use[0, codes[:len(low)]] = True
+    use[1, codes[len(low):]] = True
+    both = np.flatnonzero(use.all(axis=0) & (known != _PAD))
+    column = np.full(len(known), len(both))
+    column[both] = np.arange(len(both))
+    marks = np.zeros((len(codes), len(both) + 1), dtype=np.float32)
+    marks[np.arange(len(codes))[:, None], column[codes]] = 1
     shared = marks[:len(low), :-1] @ marks[len(low):, :-1].T
     n_x, n_y = low["n"].to_numpy()[:, None], high["n"].to_numpy()[None, :]
     most = np.maximum(n_x, n_y)
@@ -189,43 +185,51 @@ def _met_in_cell(value: int, cell: int, low: pd.DataFrame, high: pd.DataFrame, s
     keep &= low["at"].to_numpy()[:, None] != high["at"].to_numpy()[None, :]
     # Two texts of the lower class of sizes meet in the cell of that class.
     keep &= (low["class"].to_numpy()[:, None] == cell) | (high["class"].to_numpy()[None, :] == cell)
-    if same:
-        keep = np.triu(keep, 1)
-    i, j = np.nonzero(keep)
-    parts = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+    i, j = np.nonzero(np.triu(keep, 1) if same else keep)
+    # Of several cells, the one of the first value in common tells the pair.
     width = max(1, *(len(r) for f in (low, high) for r in f["rare"]))
     rare = [_padded(list(f["rare"]), width) for f in (low, high)]
-    docs = [f["doc"].to_numpy() for f in (low, high)]
+    tell = np.zeros(len(i), dtype=bool)
     for start in range(0, len(i), PAIRS_AT_ONCE):
-        x, y = i[start:start + PAIRS_AT_ONCE], j[start:start + PAIRS_AT_ONCE]
-        # Of several cells, the one of the first value in common tells the pair.
-        left, right = rare[0][x], rare[1][y]
-        first = np.full(len(x), _PAD)
+        left, right = rare[0][i[start:start + PAIRS_AT_ONCE]], rare[1][j[start:start + PAIRS_AT_ONCE]]
+        first = np.full(len(left), _PAD)
         for k in reversed(range(width)):
             hit = (left[:, k:k + 1] == right).any(axis=1) & (left[:, k] != _PAD)
             first[hit] = left[hit, k]
-        x, y = x[first == value], y[first == value]
-        estimate = _estimates(sketches[0][x], sketches[1][y])
-        good = estimate >= ESTIMATE_FLOOR
-        u, v = docs[0][x[good]], docs[1][y[good]]
-        parts.append((np.minimum(u, v), np.maximum(u, v), estimate[good]))
-    a, b, estimate = (np.concatenate(p) for p in zip(*parts, strict=True))
-    out = pd.DataFrame({"a": a, "b": b, "estimate": estimate})
+        tell[start:start + PAIRS_AT_ONCE] = first == value
+    i, j = i[tell], j[tell]
+    a, b = [], []
+    if len(i):
+        docs = [f["doc"].to_numpy() for f in (low, high)]
+        whole, known = pd.factorize(np.concatenate(sets[0] + sets[1]))
+        cut = np.split(whole, np.cumsum([len(s) for s in sets[0] + sets[1]])[:-1])
+        held = np.zeros(len(known), dtype=bool)
+        for x in np.unique(i):
+            others = j[i == x]
+            held[cut[x]] = True
+            far = [cut[len(low) + y] for y in others]
+            sizes = np.array([len(c) for c in far])
+            common = np.add.reduceat(held[np.concatenate(far)].astype(np.int64), np.cumsum(sizes) - sizes)
+            held[cut[x]] = False
+            for y in others[100 * common >= PERCENT * (len(cut[x]) + sizes - common)]:
+                a.append(min(docs[0][x], docs[1][y]))
+                b.append(max(docs[0][x], docs[1][y]))
+    out = pd.DataFrame({"a": np.array(a, dtype=np.int64), "b": np.array(b, dtype=np.int64)})
     return out[out["a"] != out["b"]]
 
 
-def block_pairs(common: DataFrame, joined: DataFrame) -> DataFrame:
-    """``a, b, estimate`` of all texts of common values that lie in different components of ``node, component``.
+def block_links(common: DataFrame, joined: DataFrame, sets: DataFrame) -> DataFrame:
+    """``a, b`` of all near copies of ``common`` that lie in different components of ``node, component``.
 
-    ``common`` has the values of long lists, the shortest list first, in ``long``.
+    ``common`` has the values of long lists, the shortest list first, in ``long``; whole sets go
+    with the blocks, so that pairs are verified where they meet and only links leave a block.
     """
     ship_package(common.sparkSession)
-    whole = F.ceil(F.col("n") * PERCENT / 100).cast("int")
     # Texts that share ``least`` of their long values share one of the rare ones.
-    least = F.greatest(F.lit(1), F.least(F.lit(NEED), whole) - 1)
+    least = _least_long("n")
     rare = F.expr("slice(long, 1, greatest(size(long) - least + 1, 0))")
     placed = common.join(joined, F.col("doc") == F.col("node"), "left").withColumn("least", least).select(
-        "doc", "n", rare.alias("rare"), "sketch", F.coalesce("component", "doc").alias("at"),
+        "doc", "n", rare.alias("rare"), F.coalesce("component", "doc").alias("at"),
         F.floor(F.log("n") / math.log(100 / PERCENT) * (1 - 1e-9)).cast("int").alias("class"))
     placed = stage(placed.filter(F.size("rare") > 0), "near-placed")
     cells = placed.select("doc", "n", "at", F.explode("rare").alias("value"), "class").withColumn(
@@ -238,15 +242,15 @@ def block_pairs(common: DataFrame, joined: DataFrame) -> DataFrame:
     dealt = cells.join(lists, ["value", "cell"]).withColumn("block", F.pmod(F.xxhash64("doc", "n"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("value", "cell", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "doc", "n")
-    dealt = dealt.join(placed, ["doc", "n"])
+    dealt = dealt.join(placed, ["doc", "n"]).join(
+        sets.select(F.col("doc_id").alias("doc"), (F.length("packed") / 8).cast("long").alias("n"), "packed").distinct(), ["doc", "n"])
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         value, cell, x, y = (int(k) for k in key)
         low = rows[rows["block"] == x]
-        return _met_in_cell(value, cell, low, low if x == y else rows[rows["block"] == y], x == y)
+        return _linked_in_cell(value, cell, low, low if x == y else rows[rows["block"] == y], x == y)
 
-    met = dealt.groupBy("value", "cell", "x", "y").applyInPandas(run, "a long, b long, estimate double")
-    return met.groupBy("a", "b").agg(F.max("estimate").alias("estimate"))
+    return dealt.groupBy("value", "cell", "x", "y").applyInPandas(run, "a long, b long").distinct()
 
 
 def estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -327,8 +331,7 @@ def duplicate_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     place = lambda x: joined.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}"))
     open_pairs = pairs.join(place("a"), "a", "left").join(place("b"), "b", "left").filter(
         F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
-    later = block_pairs(common, joined).select("a", "b")
-    second = stage(verified(open_pairs.unionByName(later).distinct(), sets), "near-second")
+    second = stage(verified(open_pairs, sets).unionByName(block_links(common, joined, sets)), "near-second")
     joined = stage(components(first.unionByName(second)), "near-components")
     named = stage(classes.join(joined, F.col("rep") == F.col("node"), "left").select(
         F.col("digest").alias("of"), F.coalesce("component", "rep").alias("component")), "near-named")

@@ -432,12 +432,29 @@ def test_long_lists_are_compared_in_full(spark):
     for i in range(300):
         words = rnd.sample(base, 300 - rnd.randrange(10, 70)) + [f"o{i}x{j}" for j in range(rnd.randrange(25))]
         rows.append((1000 + i, " ".join(words), "s"))
-        # All hold the passage, but only the last two are near copies.
-        rows.append((2000 + i, " ".join(passage + [f"q{i}x{j}" for j in range(60 if i < 298 else 20)]), "s"))
+        # All hold much of the passage, but only the last two, which hold it whole, are near copies.
+        words = rnd.sample(passage, 140) if i < 298 else passage + [f"q{i}x{j}" for j in range(20)]
+        rows.append((2000 + i, " ".join(words), "s"))
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.duplicate_components(table(spark, rows), 1).collect()}
     assert got == plain_components(rows, 1) and got[2299][1] == 2298
 
 
+def test_longer_text_meets_a_large_group(spark):
+    rnd = random.Random(12)
+    base = [f"b{i}" for i in range(200)]
+    codes = near_dedup.WordCodes()
+    common = set(near_dedup.shingle_set(near_dedup.shingle_words(" ".join(base)), 1, codes).tolist())
+    rows = [(1000, " ".join(base), "s")]
+    rows += [(1001 + i, " ".join(rnd.sample(base, 196) + [f"o{i}x{j}" for j in range(4)]), "s") for i in range(270)]
+    while len(rows) < 274:  # a likeness of exactly 0.8 to the first, and few of its values in the index
+        text = " ".join(base + [f"s{rnd.randrange(10**9)}" for _ in range(50)])
+        index = near_dedup.shingle_set(near_dedup.shingle_words(text), 1, codes)[:near_dedup.INDEX].tolist()
+        if 9 <= len(common.intersection(index)) <= 14:
+            rows.append((3000 + len(rows), text, "s"))
+    got = {r.doc_id: r.component_id for r in near_dedup.duplicate_components(table(spark, rows), 1).collect()}
+    assert got == {i: 1000 for i, _, _ in rows}
+
+
 def test_near_duplicates_on_odd_rows(spark, odd, none):
     rows = near_dedup.duplicate_components(odd).collect()
     assert len(rows) == len(ODD)
