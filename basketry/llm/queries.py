@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, near_dedup, paragraph_sketch, piece_codec, quality_pu, quality_rules, secret_scan, source_mix, toxicity, warc_zip
+from . import (
+    chat_format,
+    near_dedup,
+    paragraph_sketch,
+    piece_codec,
+    quality_pu,
+    quality_rules,
+    ranked_search,
+    secret_scan,
+    source_mix,
+    token_counts,
+    toxicity,
+    warc_zip,
+    whitening_charpoly,
+)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -214,3 +228,44 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_paragraph_sketch")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return paragraph_sketch.report(table(spark, folder, "documents"))
+
+
+@query("op11_whitening")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening_charpoly.whiten(table(spark, folder, "embeddings"))
+
+
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+
+@query("op12_ranked_search", rf"""
+with doc_terms as (
+  select row_number() over () as r, doc_id, {_TERMS} as t from documents
+), totals as (
+  select count(*)::bigint as big_n, sum(len(t))::bigint as big_l from doc_terms where len(t) > 0
+), sized as (
+  select r, doc_id, 75 + (25 * len(t)::bigint * big_n) // big_l as m from doc_terms, totals where len(t) > 0
+), tf as (
+  select r, term, count(*)::bigint as tf from (select r, unnest(t) as term from doc_terms) group by all
+), asked as (
+  select i, item_id, term, count(*)::bigint as times from (
+    select row_number() over () as i, item_id, unnest({_TERMS}) as term from benchmark) group by all
+), weights as (
+  select term, floor(1000 * ln((2 * any_value(big_n) + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+  from tf, totals where term in (select term from asked) group by term
+), scores as (
+  select i, item_id, r, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::bigint as score
+  from asked join weights using (term) join tf using (term) join sized using (r) group by all
+)
+select item_id, rank::int as rank, doc_id, score from (
+  select *, row_number() over (partition by i order by score desc, doc_id nulls last) as rank from scores where score > 0)
+where rank <= {ranked_search.TOP}
+""")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op13_token_counts")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, folder, "documents"))
