@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import u32
+from ..session import ship_package
+from .names import find_names, write_names
 
 # Release gates (metric, kind, low, high), those of style bands in the balanced
 # setting, and the text pattern of a class reference.
@@ -121,24 +123,44 @@ def flag_share(sample: DataFrame, corpus: DataFrame, flag: str = "flag") -> Data
         "distance_pp", F.abs(F.col("share") - F.col("corpus_share")) * 100)
 
 
-def reference_compliance(lines: DataFrame, items: DataFrame, needed: int = 1, pattern: str = CLASS_REFERENCE) -> DataFrame:
-    """Cases and compliant cases over (basket, item, referenced class).
+def compliance(lines: DataFrame, named: DataFrame, carried: DataFrame, needed: int = 1) -> DataFrame:
+    """Cases and compliant cases over (basket, item, what its text names).
 
-    A case is compliant when at least ``needed`` *other* items of the basket carry the class
-    (case-insensitive). Members are counted per (basket, class); items are never paired up.
+    ``named`` has ``(item_idx, ref)`` that texts name, ``carried`` has ``(item_idx, ref)`` that items
+    are or carry. A case is compliant when at least ``needed`` *other* items of the basket carry the
+    reference. Members are counted per (basket, reference); items are never paired up.
     """
-    named = items.select("item_idx", F.explode(F.array_distinct(F.transform(
-        F.regexp_extract_all("text", F.lit(pattern), F.lit(1)), F.lower))).alias("class"))
-    carried = items.select("item_idx", F.explode(F.array_distinct(F.transform("classes", F.lower))).alias("class"))
     held = lines.select("basket", "item_idx")
-    members = held.join(carried, "item_idx").groupBy("basket", "class").agg(F.count("*").alias("members"))
+    members = held.join(carried, "item_idx").groupBy("basket", "ref").agg(F.count("*").alias("members"))
     self_in = carried.withColumn("own", F.lit(1))
-    cases = held.join(named, "item_idx").join(self_in, ["item_idx", "class"], "left").join(members, ["basket", "class"], "left")
+    cases = held.join(named, "item_idx").join(self_in, ["item_idx", "ref"], "left").join(members, ["basket", "ref"], "left")
     others = F.coalesce("members", F.lit(0)) - F.coalesce("own", F.lit(0))
     return cases.agg(F.count("*").alias("cases"), F.count_if(others >= needed).alias("compliant")).withColumn(
         "rate", F.col("compliant") / F.nullif(F.col("cases"), F.lit(0)))
 
 
+def reference_compliance(lines: DataFrame, items: DataFrame, needed: int = 1, pattern: str = CLASS_REFERENCE) -> DataFrame:
+    """Compliance with the classes that texts name by a phrase (case-insensitive)."""
+    named = items.select("item_idx", F.explode(F.array_distinct(F.transform(
+        F.regexp_extract_all("text", F.lit(pattern), F.lit(1)), F.lower))).alias("ref"))
+    carried = items.select("item_idx", F.explode(F.array_distinct(F.transform("classes", F.lower))).alias("ref"))
+    return compliance(lines, named, carried, needed)
+
+
+def base_references(items: DataFrame, texts: DataFrame, name: str = "name") -> DataFrame:
+    """``(item_idx, ref)``: names of other items that a text of ``(item_idx, text)`` holds, the longest at each place."""
+    table = write_names(items.select(name, "item_idx"), name, "item_idx")
+    found = texts.select("item_idx", F.explode(F.array_distinct(find_names(F.col("text"), table))).alias("ref"))
+    own = items.select("item_idx", F.col(name).alias("ref"))
+    return found.join(own, ["item_idx", "ref"], "left_anti")
+
+
+def base_compliance(lines: DataFrame, items: DataFrame, texts: DataFrame, needed: int = 1, name: str = "name") -> DataFrame:
+    """Compliance with the base items that texts name: any item of that name in the basket counts."""
+    ship_package(lines.sparkSession)
+    return compliance(lines, base_references(items, texts, name), items.select("item_idx", F.col(name).alias("ref")), needed)
+
+
 def supply_demand(lines: DataFrame, supply: Column, demand: Column, level: str = "bucket") -> DataFrame:
     """``(basket, covered)``: at every level, supply at or above it covers the demand at or above it."""
     sums = lines.groupBy("basket", level).agg(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import re
+import heapq
+from collections import defaultdict
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -11,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import SPACE
-from ..session import cut_lineage
+from ..session import cut_lineage, ship_package
+from .names import CUT, HELD, NameTable, load, marked, write_names
 from .ranking import rank_by_range
 
 # Special tokens in id order, glyphs, stat modifiers, the byte-level word
@@ -27,8 +29,12 @@ MIN_FREQUENCY = 2
 MAX_POSITIONS = 256
 PAD, UNK, CLS, SEP, MASK = range(5)
 
-# Cut marks are Unicode noncharacters, which text never contains.
-_CUT, _HELD = "﷐", "﷑"
+# Merge learning: leading pairs looked at in a pass, pairs of one count taken together at most, and
+# distinct fragments of them that the driver holds at once.
+WINDOW_PAIRS, LEVEL_PAIRS, WINDOW_FRAGMENTS = 4096, 65536, 50_000
+# Words of up to so many symbols are merged by rescanning, longer ones by a heap.
+SCANNED = 32
+NEVER = 1 << 62
 
 
 def reserved_tokens(items: DataFrame, name: str = "name", classes: str = "classes",
@@ -56,24 +62,38 @@ def reserved_tokens(items: DataFrame, name: str = "name", classes: str = "classe
         "token", (F.col("no") + len(SPECIALS) - 1).alias("token_id"))
 
 
-def pretokens(text: Column, reserved: Sequence[str] = ()) -> Column:
-    """Array of pre-tokens of a text. Reserved tokens are cut out first, longest first, with
-    the white space on their left; the rest is split byte-level style."""
-    if not reserved:
-        return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    choice = "|".join(re.escape(t).replace("&", r"\&") for t in sorted(set(reserved), key=lambda t: (-len(t), t)))
-    marked = F.regexp_replace(text, SPACE + f"*({choice})", f"{_CUT}{_HELD}$1{_CUT}")
-    pieces = F.filter(F.split(marked, _CUT), lambda p: F.length(p) > 0)
-    return F.flatten(F.transform(pieces, lambda p: F.when(
-        F.startswith(p, F.lit(_HELD)), F.array(F.substring(p, 2, 2147483647))
-    ).otherwise(F.regexp_extract_all(p, F.lit(WORD), F.lit(0)))))
-
-
-def pretoken_counts(texts: DataFrame, text: str = "text", reserved: Sequence[str] = ()) -> DataFrame:
-    """Words that merges may be learnt from, counted map side first."""
-    words = texts.select(F.explode(pretokens(F.col(text), reserved)).alias("pretoken"))
-    if reserved:
-        words = words.filter(~F.col("pretoken").isin(*reserved))
+def written_names(reserved: DataFrame) -> NameTable:
+    """Reserved tokens for the workers, from ``(token, token_id)``."""
+    return write_names(reserved, "token", "token_id")
+
+
+def _cut_pieces(text: Column, reserved: NameTable | None) -> Column:
+    """Array of the pieces of a text: reserved tokens behind a mark, and what lies between them.
+
+    A reserved token takes the white space on its left with it.
+    """
+    if reserved is None:
+        return F.array(text)
+    return F.filter(F.split(marked(text, reserved), CUT), lambda p: F.length(p) > 0)
+
+
+def _words(piece: Column) -> Column:
+    return F.regexp_extract_all(piece, F.lit(WORD), F.lit(0))
+
+
+def pretokens(text: Column, reserved: NameTable | None = None) -> Column:
+    """Array of pre-tokens of a text, split byte-level style once reserved tokens are cut out whole."""
+    if reserved is None:
+        return _words(text)
+    return F.flatten(F.transform(_cut_pieces(text, reserved), lambda p: F.when(
+        F.startswith(p, F.lit(HELD)), F.array(F.substring(p, 2, 2147483647))).otherwise(_words(p))))
+
+
+def pretoken_counts(texts: DataFrame, text: str = "text", reserved: NameTable | None = None) -> DataFrame:
+    """Words that merges may be learnt from, without reserved tokens, counted map side first."""
+    ship_package(texts.sparkSession)
+    free = F.filter(_cut_pieces(F.col(text), reserved), lambda p: ~F.startswith(p, F.lit(HELD)))
+    words = texts.select(F.explode(F.flatten(F.transform(free, _words))).alias("pretoken"))
     return words.groupBy("pretoken").agg(F.count("*").alias("n"))
 
 
@@ -121,48 +141,216 @@ def _independent(ranked: Sequence[tuple[str, str, int]], known: set[str], comple
     return [(a, b) for a, b, _ in (head or taken[:1])]
 
 
-def _merge_udf(pairs: list[tuple[str, str]]):
-    wanted = set(pairs)
+def apply_merges(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
+    """The symbols of a word after all merges, the lowest rank first and the leftmost of equals."""
+    if len(symbols) > SCANNED:
+        return _apply_by_heap(symbols, ranks)
+    get = ranks.get
+    out = list(symbols)
+    found = [get(p, NEVER) for p in zip(out, out[1:])]
+    while found and (least := min(found)) != NEVER:
+        i = found.index(least)
+        out[i:i + 2] = [out[i] + out[i + 1]]
+        del found[i]
+        if i:
+            found[i - 1] = get((out[i - 1], out[i]), NEVER)
+        if i < len(found):
+            found[i] = get((out[i], out[i + 1]), NEVER)
+    return out
+
+
+def _apply_by_heap(symbols: Sequence[str], ranks: dict[tuple[str, str], int]) -> list[str]:
+    """The same for long words: possible merges wait in a heap by (rank, place)."""
+    out: list[str | None] = list(symbols)
+    end = len(out)
+    after, before = list(range(1, end + 1)), list(range(-1, end - 1))
+    heap: list[tuple[int, int, str, str]] = []
+
+    def offer(i: int) -> None:
+        j = after[i]
+        if j < end and (rank := ranks.get((out[i], out[j]))) is not None:
+            heapq.heappush(heap, (rank, i, out[i], out[j]))
+
+    for i in range(end - 1):
+        offer(i)
+    while heap:
+        _, i, lhs, rhs = heapq.heappop(heap)
+        j = after[i] if out[i] == lhs else end
+        if j >= end or out[j] != rhs:
+            continue  # one of the two has been merged meanwhile
+        out[i], out[j] = lhs + rhs, None
+        after[i] = after[j]
+        if after[i] < end:
+            before[after[i]] = i
+        offer(i)
+        if before[i] >= 0:
+            offer(before[i])
+    return [x for x in out if x is not None]
+
+
+def _with_merged(symbols: list[str], pair: tuple[str, str]) -> list[str]:
+    out: list[str] = []
+    for x in symbols:
+        if out and x == pair[1] and out[-1] == pair[0]:
+            out[-1] += x
+        else:
+            out.append(x)
+    return out
+
+
+def merge_window(fragments: Sequence[tuple[list[str], int]], floor: int, known: set[str], room: int) -> list[tuple[str, str]]:
+    """Merges, most frequent pair first and ties by symbols, while the best pair counts more than ``floor``.
+
+    Pair counts and the index from pairs to fragments are kept by difference: a merge touches the
+    fragments that hold its pair. Ends after a merge that makes an already known symbol, as that
+    adds to pairs outside the fragments.
+    """
+    words, weight = [list(f) for f, _ in fragments], [n for _, n in fragments]
+    counts: dict[tuple[str, str], int] = defaultdict(int)
+    where: dict[tuple[str, str], set[int]] = defaultdict(set)
+    for i, word in enumerate(words):
+        for pair in zip(word, word[1:]):
+            counts[pair] += weight[i]
+            where[pair].add(i)
+    heap = [(-n, pair) for pair, n in counts.items() if n > floor]
+    heapq.heapify(heap)
+    merges: list[tuple[str, str]] = []
+    made: set[str] = set()
+    while heap and len(made) < room:
+        n, best = heapq.heappop(heap)
+        if -n != counts[best]:
+            continue  # counted anew meanwhile, and offered with that count
+        merges.append(best)
+        symbol = best[0] + best[1]
+        if symbol in known or symbol in made:
+            break
+        made.add(symbol)
+        changed: set[tuple[str, str]] = set()
+        for i in where.pop(best):
+            old = words[i]
+            new = words[i] = _with_merged(old, best)
+            if len(new) == len(old):
+                continue  # the pair has gone from this fragment before
+            for pair in zip(old, old[1:]):
+                counts[pair] -= weight[i]
+                changed.add(pair)
+            for pair in zip(new, new[1:]):
+                counts[pair] += weight[i]
+                where[pair].add(i)
+                changed.add(pair)
+        for pair in changed:
+            if counts[pair] > floor:
+                heapq.heappush(heap, (-counts[pair], pair))
+    return merges
 
-    @F.pandas_udf("array<string>")
-    def merge(symbols: pd.Series) -> pd.Series:
-        out = []
-        for word in symbols:
-            done: list[str] = []
-            for s in word:
-                if done and (done[-1], s) in wanted:
-                    done[-1] += s
-                else:
-                    done.append(s)
-            out.append(done)
-        return pd.Series(out)
 
-    return merge
+def _fragments(words: DataFrame, window: set[tuple[str, str]]) -> DataFrame:
+    """``(fragment, n)``: the longest runs of symbols whose neighbours are all pairs of the window."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found: dict[tuple[str, ...], int] = defaultdict(int)
+            for symbols, n in zip(batch["symbols"], batch["n"]):
+                symbols, start = list(symbols), 0
+                for i in range(1, len(symbols) + 1):
+                    if i == len(symbols) or (symbols[i - 1], symbols[i]) not in window:
+                        if i - start > 1:
+                            found[tuple(symbols[start:i])] += n
+                        start = i
+            if found:
+                yield pd.DataFrame({"fragment": [" ".join(f) for f in found], "n": list(found.values())})
+
+    return words.select("symbols", "n").mapInPandas(run, "fragment string, n long").groupBy("fragment").agg(F.sum("n").alias("n"))
+
+
+def _merged_words(words: DataFrame, merges: Sequence[tuple[str, str]]) -> DataFrame:
+    """``words`` after merges, and in ``pair`` ("lhs rhs") and ``change`` how pair counts change (null: untouched)."""
+    ranks = {pair: i for i, pair in reversed(list(enumerate(merges)))}
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            after, pairs, changes = [], [], []
+            for symbols, n in zip(batch["symbols"], batch["n"]):
+                new = apply_merges(list(symbols), ranks)
+                after.append(new)
+                if len(new) == len(symbols):
+                    pairs.append(None)
+                    changes.append(None)
+                    continue
+                delta: dict[tuple[str, str], int] = defaultdict(int)
+                for pair in zip(symbols, symbols[1:]):
+                    delta[pair] -= n
+                for pair in zip(new, new[1:]):
+                    delta[pair] += n
+                pairs.append([" ".join(pair) for pair in delta])
+                changes.append(list(delta.values()))
+            if after:
+                yield pd.DataFrame({"symbols": after, "n": batch["n"], "pair": pairs, "change": changes})
+
+    return words.select("symbols", "n").mapInPandas(run, "symbols array<string>, n long, pair array<string>, change array<long>")
+
+
+class _Window:
+    """Which pairs a pass looks at: all that count more than a floor, as many as the driver's share allows.
+
+    A pair made by merging has no more occurrences than the pair at the same place before, so pairs
+    outside the window stay at the floor or below, and all that counts more is seen in the window's
+    fragments. The width follows what the last passes could hold.
+    """
+
+    def __init__(self) -> None:
+        self.width = WINDOW_PAIRS
+
+    def next_merges(self, words: DataFrame, pairs: DataFrame, known: set[str], room: int, min_frequency: int) -> list[tuple[str, str]]:
+        """The next merges of one-by-one merging, as many as one window shows."""
+        ranked = pairs.filter(F.col("n") >= min_frequency).orderBy(F.desc("n"), "lhs", "rhs")
+        top = [(r["lhs"], r["rhs"], r["n"]) for r in ranked.limit(self.width + 1).collect()]
+        while top:
+            complete = len(top) <= self.width
+            floor = min_frequency - 1 if complete else top[self.width][2]
+            window = [t for t in top if t[2] > floor]
+            if not window:  # more pairs of the highest count than the window holds: all of that count at once
+                floor = top[0][2] - 1
+                window = [(r["lhs"], r["rhs"], r["n"]) for r in ranked.filter(F.col("n") > floor).limit(LEVEL_PAIRS + 1).collect()]
+            rows = None
+            if len(window) <= LEVEL_PAIRS:
+                rows = _fragments(words, {(a, b) for a, b, _ in window}).limit(WINDOW_FRAGMENTS + 1).collect()
+            if rows is not None and len(rows) <= WINDOW_FRAGMENTS:
+                self.width = min(WINDOW_PAIRS, self.width * 2)
+                return merge_window([(r["fragment"].split(" "), r["n"]) for r in rows], floor, known, room)
+            if self.width == 1 or floor == top[0][2] - 1:
+                return _independent(top, known, complete)[:room]
+            self.width = max(1, min(self.width, len(top)) // 2)
+        return []
 
 
 def learn_merges(counts: DataFrame, vocab_size: int = VOCAB_SIZE, reserved: int = 0,
-                 min_frequency: int = MIN_FREQUENCY, batch: int = 512) -> list[tuple[str, str]]:
+                 min_frequency: int = MIN_FREQUENCY) -> list[tuple[str, str]]:
     """Merges in order, most frequent pair first, ties by hex.
 
-    Words and pair counts stay distributed; a pass brings at most ``batch`` leading pairs
-    to the driver and applies as many of them as cannot influence each other.
+    Words and pair counts stay distributed. A pass brings the fragments of the leading pairs to the
+    driver (``WINDOW_FRAGMENTS`` distinct ones at most), where the order of merges is settled; words
+    are merged and pair counts changed by difference in tasks.
     """
     room = vocab_size - len(SPECIALS) - reserved - 256
+    ship_package(counts.sparkSession)
     words = cut_lineage(counts.filter(F.length("pretoken") > 0).select(byte_symbols(F.col("pretoken")).alias("symbols"), "n"))
+    if words.isEmpty():
+        raise ValueError("no training texts")
+    pairs = cut_lineage(pair_counts(words))
     merges: list[tuple[str, str]] = []
-    known: set[str] = set()
-    while len(known) < room:
-        top = pair_counts(words).filter(F.col("n") >= min_frequency).orderBy(
-            F.desc("n"), "lhs", "rhs").limit(batch + 1).collect()
-        if not top:
-            if not merges and words.isEmpty():
-                raise ValueError("no training texts")
+    known = {f"{b:02X}" for b in range(256)}
+    window = _Window()
+    while len(known) - 256 < room:
+        found = window.next_merges(words, pairs, known, room - len(known) + 256, min_frequency)
+        if not found:
             break
-        pairs = _independent([(r["lhs"], r["rhs"], r["n"]) for r in top], known, len(top) <= batch)
-        pairs = pairs[: room - len(known)]
-        merges += pairs
-        known |= {a + b for a, b in pairs}
-        words = cut_lineage(words.select(_merge_udf(pairs)("symbols").alias("symbols"), "n"))
+        merges += found
+        known |= {a + b for a, b in found}
+        words = cut_lineage(_merged_words(words, found))
+        delta = words.select(F.explode(F.arrays_zip("pair", "change")).alias("d")).select(
+            F.split("d.pair", " ")[0].alias("lhs"), F.split("d.pair", " ")[1].alias("rhs"), F.col("d.change").alias("n"))
+        pairs = cut_lineage(pairs.unionByName(delta).groupBy("lhs", "rhs").agg(F.sum("n").alias("n")).filter("n > 0"))
     return merges
 
 
@@ -170,53 +358,49 @@ def learn_merges(counts: DataFrame, vocab_size: int = VOCAB_SIZE, reserved: int
 class Vocabulary:
     """Ids: specials, reserved tokens, the 256 bytes, then merged symbols."""
 
-    reserved: tuple[str, ...]
+    reserved: NameTable | None
     merges: tuple[tuple[str, str], ...]
 
+    @property
+    def first_byte(self) -> int:
+        return len(SPECIALS) + (self.reserved.size if self.reserved else 0)
+
     def ids(self) -> dict[str, int]:
         names = [f"{b:02X}" for b in range(256)] + [a + b for a, b in self.merges]
         table: dict[str, int] = {}
         for name in names:
-            table.setdefault(name, len(SPECIALS) + len(self.reserved) + len(table))
+            table.setdefault(name, self.first_byte + len(table))
         return table
 
     @property
     def size(self) -> int:
-        return len(SPECIALS) + len(self.reserved) + len(self.ids())
+        return self.first_byte + len(self.ids())
+
+    def held(self) -> dict[str, int]:
+        """Ids of reserved tokens, read in a worker."""
+        return load(self.reserved).ident if self.reserved else {}
 
     def table(self, spark) -> DataFrame:
         """``(token_id, symbol, kind)``."""
         rows = [(i, t, "special") for i, t in enumerate(SPECIALS)]
-        rows += [(i + len(SPECIALS), t, "reserved") for i, t in enumerate(self.reserved)]
         rows += [(i, t, "bytes") for t, i in self.ids().items()]
-        return spark.createDataFrame(rows, "token_id int, symbol string, kind string")
+        out = spark.createDataFrame(rows, "token_id int, symbol string, kind string")
+        if self.reserved is None:
+            return out
+        return out.unionByName(self.reserved.frame(spark).select(
+            F.col("ident").cast("int").alias("token_id"), F.col("name").alias("symbol"), F.lit("reserved").alias("kind")))
 
 
 def _encode_udf(vocabulary: Vocabulary, cache_size: int = 1 << 16):
-    rank: dict[tuple[str, str], int] = {}
+    ranks: dict[tuple[str, str], int] = {}
     for no, pair in enumerate(vocabulary.merges):
-        rank.setdefault(pair, no)
+        ranks.setdefault(pair, no)
     ids = vocabulary.ids()
-    held = {t: i + len(SPECIALS) for i, t in enumerate(vocabulary.reserved)}
-
-    def encode(word: str) -> list[int]:
-        parts = [f"{b:02X}" for b in word.encode("utf-8")]
-        while len(parts) > 1:
-            best = min(((rank.get(p, len(rank)), p) for p in zip(parts, parts[1:])))
-            if best[0] == len(rank):
-                break
-            merged: list[str] = []
-            for s in parts:
-                if merged and (merged[-1], s) == best[1]:
-                    merged[-1] += s
-                else:
-                    merged.append(s)
-            parts = merged
-        return [ids[p] for p in parts]
 
     @F.pandas_udf("array<int>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         cache: dict[str, list[int]] = {}
+        held = vocabulary.held()
         for series in batches:
             out = []
             for words in series:
@@ -227,7 +411,7 @@ def _encode_udf(vocabulary: Vocabulary, cache_size: int = 1 << 16):
                         continue
                     code = cache.get(w)
                     if code is None:
-                        code = encode(w)
+                        code = [ids[p] for p in apply_merges([f"{b:02X}" for b in w.encode("utf-8")], ranks)]
                         if len(cache) < cache_size:
                             cache[w] = code
                     row.extend(code)
@@ -254,14 +438,6 @@ def encode_texts(texts: DataFrame, vocabulary: Vocabulary, text: str = "text",
     return out.drop("_raw")
 
 
-def collect_reserved(table: DataFrame, limit: int = VOCAB_SIZE) -> list[str]:
-    """Reserved tokens in id order; they are part of a vocabulary of bounded size."""
-    rows = table.orderBy("token_id").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} reserved tokens do not fit the vocabulary")
-    return [r["token"] for r in rows]
-
-
 def pretrain_rows(items: DataFrame, features: DataFrame, vocabulary: Vocabulary, seed, ratio: float,
                   text: str = "text", ident: str = "item_id") -> DataFrame:
     """``(item_idx, ids, features, heldout)`` for masked training."""
@@ -272,9 +448,10 @@ def pretrain_rows(items: DataFrame, features: DataFrame, vocabulary: Vocabulary,
         "item_idx", "ids", "features", hash_split(seed, F.col(ident), ratio).alias("heldout"))
 
 
-def decode(ids: Iterable[int], vocabulary: Vocabulary) -> str:
-    """Text of encoded ids without specials."""
+def decode(ids: Iterable[int], vocabulary: Vocabulary, held: dict[int, str] | None = None) -> str:
+    """Text of encoded ids without specials; ``held`` names reserved tokens by id."""
     names = {i: t for t, i in vocabulary.ids().items()}
+    held = {i: t for t, i in vocabulary.held().items()} if held is None else held
     out, raw = [], b""
     for i in ids:
         if i in names:
@@ -283,6 +460,6 @@ def decode(ids: Iterable[int], vocabulary: Vocabulary) -> str:
         out.append(raw.decode("utf-8", "replace"))
         raw = b""
         if i >= len(SPECIALS):
-            out.append(vocabulary.reserved[i - len(SPECIALS)])
+            out.append(held[i])
     out.append(raw.decode("utf-8", "replace"))
     return "".join(out)

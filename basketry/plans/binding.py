@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import max_copies
+from ..functions.text import max_copies, normalise_text
 from ..operators import baskets as B
 from ..operators import catalog as C
 from ..operators import splits as S
@@ -139,6 +139,17 @@ def item_vectors(spark: SparkSession, folder: str, index: DataFrame) -> DataFram
         "item_idx", "facets", "bucket", "vec")
 
 
+def item_texts(spark: SparkSession, folder: str, index: DataFrame) -> DataFrame:
+    """(item_idx, text): names the item seven times further on, then a whole document, normalised."""
+    docs = table(spark, folder, "documents").select(F.col("doc_id").alias("_doc"), F.coalesce("text", F.lit("")).alias("_body"))
+    n, n_docs = index.agg(F.count("*")).scalar(), docs.agg(F.count("*")).scalar()
+    base = index.select(F.col("item_idx").alias("_base"), F.col("name").alias("_name"))
+    return index.select(
+        "item_idx", (F.pmod(F.col("item_idx") * 7, n) + 1).alias("_base"), F.pmod(F.col("item_idx"), n_docs).alias("_doc")
+    ).join(base, "_base").join(docs, "_doc").select(
+        "item_idx", normalise_text(F.concat(F.lit("Shift onto "), "_name", F.lit(". "), "_body")).alias("text"))
+
+
 _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "variants": ((), f"""
         select p_partkey as id, p_name as name, p_type as version,
@@ -195,6 +206,11 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
             count(*) over (partition by facet_key, month) as stratum_size
           from (select *, date_trunc('month', date)::date as month,
               ('0x' || substr(sha1('{SEED}:' || basket), 1, 8))::bigint as h from accepted))"""),
+    "item_texts": (("items",), r"""
+        select i.item_idx, trim(regexp_replace(regexp_replace(regexp_replace('Shift onto ' || b.name || '. ' || coalesce(d.text, ''),
+          '[\t-\r\x1c-\x1f\x{85}\p{Z}]*\([^)]*\)', '', 'g'), '[‘’]', '''', 'g'), '[\t-\r\x1c-\x1f\x{85}\p{Z}]+', ' ', 'g')) as text
+        from items i join items b on b.item_idx = (i.item_idx * 7) % (select count(*) from items) + 1
+        join documents d on d.doc_id = i.item_idx % (select count(*) from documents)"""),
     "item_vectors": (("items",), """
         select item_idx, facet, bucket, e.embedding::double[] as vec
         from items join embeddings e on e.vec_id = item_idx % (select count(*) from embeddings)"""),

@@ -108,6 +108,22 @@ def reference_compliance(spark, folder):
     return E.reference_compliance(lines, texts).withColumn("rate", round6(F.col("rate")))
 
 
+@query("base_compliance", with_ctes("lines items item_texts", f"""
+    , names as (select string_agg(distinct regexp_escape(name), '|') as p from items),
+    named as (select item_idx, unnest(list_distinct(regexp_extract_all(text, p))) as ref from item_texts, names),
+    cases as (select l.basket, l.item_idx, count(m.item_idx) as others
+      from lines l join named r using (item_idx) join items i using (item_idx)
+      left join (select basket, item_idx, name from lines join items using (item_idx)) m
+        on m.basket = l.basket and m.name = r.ref and m.item_idx <> l.item_idx
+      where r.ref <> i.name group by l.basket, l.item_idx, r.ref)
+    select cases, compliant, {r6('compliant / cases')} as rate from (
+      select count(*) as cases, count(*) filter (others >= 1) as compliant from cases)"""))
+def base_compliance(spark, folder):
+    """Baskets that hold an item whose text names a base item, and those among them that hold the base too."""
+    index, lines, _ = b.stored(spark, folder)
+    return E.base_compliance(lines, index, b.item_texts(spark, folder, index)).withColumn("rate", round6(F.col("rate")))
+
+
 _COVERED = """select basket, bool_and(s >= d) as covered from (
       select basket, sum(s) over w as s, sum(d) over w as d from (
         select basket, bucket, sum(case when facet = 'LARGE' then qty else 0 end) as s,

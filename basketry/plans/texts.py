@@ -11,12 +11,12 @@ from ..operators import masking as MK
 from ..operators import metrics as M
 from ..operators import models as MO
 from ..operators import tokens as T
+from ..session import cut_lineage
 from . import binding as b
 from .binding import r6, u32_sql, with_ctes
 from .catalogue import item_spec
 from .registry import query
 
-MERGED_VOCAB = 512
 _CONSTANTS = ", ".join(f"({i}, '{t}')" for i, t in enumerate(T.GLYPHS + T.MODIFIERS))
 
 
@@ -64,63 +64,103 @@ def bpe_pair_counts(spark, folder):
     return T.pair_counts(words.select(T.byte_symbols(F.col("pretoken")).alias("symbols"), "n"))
 
 
-@query("reserved_pretokens")
+# Reserved tokens as one pattern, the longest first, and the texts cut at them.
+_HELD = f"""held as (select distinct token from (
+      select t as token from (values {_CONSTANTS}) c(n, t) union all select name from items
+      union all select unnest(classes) from items union all select facet from items union all select lower(facet) from items)),
+    pattern as (select '[\\t-\\r\\x1c-\\x1f\\x{{85}}\\p{{Z}}]*(' || string_agg(regexp_escape(token), '|' order by length(token) desc, token) || ')' as p from held),
+    pieces as (select item_idx, unnest(string_split(regexp_replace(text, p, '{T.CUT}{T.HELD}\\1{T.CUT}', 'g'), '{T.CUT}')) as piece
+      from item_texts, pattern)"""
+
+
+def _held(spark, folder, index):
+    return T.written_names(T.reserved_tokens(index, keywords="facets"))
+
+
+@query("reserved_pretokens", with_ctes("items item_texts", f"""
+    select pretoken, count(*) as n from (select unnest(regexp_extract_all(piece, '{_WORD}')) as pretoken
+      from pieces where not starts_with(piece, '{T.HELD}')) group by pretoken""", _HELD))
 def reserved_pretokens(spark, folder):
     """Pre-tokens of item texts once names, classes and keywords are cut out."""
-    index = b.items(spark, folder)
-    held = T.collect_reserved(T.reserved_tokens(index, keywords="facets"))
-    return T.pretoken_counts(b.variants(spark, folder), "text", held)
+    index = cut_lineage(b.items(spark, folder))
+    return T.pretoken_counts(b.item_texts(spark, folder, index), "text", _held(spark, folder, index))
+
 
+def _vocabulary(texts, held):
+    counts = T.pretoken_counts(texts, "text", held)
+    return T.Vocabulary(held, tuple(T.learn_merges(counts, T.VOCAB_SIZE, held.size)))
 
-def _vocabulary(spark, folder, size):
-    held = T.collect_reserved(T.reserved_tokens(b.items(spark, folder), keywords="facets"))
-    counts = T.pretoken_counts(clean_docs(spark, folder), "text", held)
-    return T.Vocabulary(tuple(held), tuple(T.learn_merges(counts, size, len(held))))
+
+def _document_vocabulary(spark, folder):
+    return _vocabulary(clean_docs(spark, folder), _held(spark, folder, cut_lineage(b.items(spark, folder))))
 
 
 @query("bpe_learn")
 def bpe_learn(spark, folder):
-    return _vocabulary(spark, folder, MERGED_VOCAB).table(spark)
+    """A vocabulary of the default size from all documents."""
+    return _document_vocabulary(spark, folder).table(spark)
 
 
 @query("bpe_encode", with_ctes("", """
     select doc_id, md5(replace(text, ' ', '')) as letters, true as framed from clean where text <> ''""", _CLEAN))
 def bpe_encode(spark, folder):
-    """The ids of every text decoded again: its letters must come back, framed by the two markers."""
-    vocabulary = _vocabulary(spark, folder, MERGED_VOCAB)
+    """The ids of every text, in a learnt vocabulary, decoded again: its letters must come back, framed by the two markers."""
+    vocabulary = _document_vocabulary(spark, folder)
     coded = T.encode_texts(clean_docs(spark, folder), vocabulary, max_positions=None).filter(F.size("ids") > 2)
 
     @F.pandas_udf("string")
     def read(ids: pd.Series) -> pd.Series:
-        return ids.map(lambda row: T.decode([int(i) for i in row], vocabulary).replace(" ", ""))
+        held = {i: t for t, i in vocabulary.held().items()}
+        return ids.map(lambda row: T.decode([int(i) for i in row], vocabulary, held).replace(" ", ""))
 
     framed = (F.col("ids")[0] == T.CLS) & (F.element_at("ids", -1) == T.SEP)
     return coded.select("doc_id", F.md5(read("ids")).alias("letters"), framed.alias("framed"))
 
 
+# A small vocabulary for the twin of encoding: merges of common letters, in order.
+GIVEN_MERGES = (("20", "74"), ("68", "65"), ("69", "6E"), ("65", "72"), ("61", "6E"), ("2074", "6865"), ("6F", "6E"), ("65", "6E"), ("20", "61"),
+                ("2061", "6E64"), ("616E", "64"), ("69", "74"), ("6F", "75"), ("65", "65"), ("616E", "616E"), ("73", "68"), ("726F", "6E"), ("72", "65"))
+
+
+def _given_sql() -> str:
+    word = r"regexp_replace(hex(encode(w)), '(..)', '<\1>', 'g')"
+    for lhs, rhs in GIVEN_MERGES:
+        word = f"replace({word}, '<{lhs}><{rhs}>', '<{lhs + rhs}>')"
+    names = ", ".join(f"'{n}'" for n in T.Vocabulary(None, GIVEN_MERGES).ids())
+    return f"""select doc_id, len(ids) as n_ids, md5(array_to_string(ids, ' ')) as ids from (
+        select doc_id, (list_concat(list_concat([{T.CLS}], list_transform(regexp_extract_all(array_to_string(
+          list_transform(regexp_extract_all(text, '{_WORD}'), lambda w: {word}), ''), '<([0-9A-F]+)>', 1),
+          lambda x: list_position([{names}], x) + {len(T.SPECIALS) - 1})), [{T.SEP}]))[:{T.MAX_POSITIONS}] as ids from clean)"""
+
+
+@query("bpe_encode_ids", with_ctes("", _given_sql(), _CLEAN))
+def bpe_encode_ids(spark, folder):
+    """The ids of every text in a given vocabulary, framed and cut to the default number of positions."""
+    coded = T.encode_texts(clean_docs(spark, folder), T.Vocabulary(None, GIVEN_MERGES))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.md5(F.array_join("ids", " ")).alias("ids"))
+
+
 @query("pretrain_rows")
 def pretrain_rows(spark, folder):
-    index = b.items(spark, folder)
-    held = T.collect_reserved(T.reserved_tokens(index, keywords="facets"))
-    counts = T.pretoken_counts(b.variants(spark, folder), "text", held)
-    vocabulary = T.Vocabulary(tuple(held), tuple(T.learn_merges(counts, MERGED_VOCAB, len(held))))
-    features = L.feature_rows(index, item_spec(index))
-    return T.pretrain_rows(index, features, vocabulary, "pretrain-encoder", 0.1)
+    """Token ids and features of every item, with its side of the split."""
+    index = cut_lineage(b.items(spark, folder))
+    texts = cut_lineage(b.item_texts(spark, folder, index))
+    vocabulary = _vocabulary(texts, _held(spark, folder, index))
+    rows = index.select("item_idx", "item_id").join(texts, "item_idx")
+    return T.pretrain_rows(rows, L.feature_rows(index, item_spec(index)), vocabulary, "pretrain-encoder", 0.1)
 
 
-@query("item_embedding")
-def item_embedding(spark, folder):
-    index = b.items(spark, folder)
-    return MO.item_embeddings(_item_rows(spark, folder, index), 32)
-
+EMBEDDING_DIM = 256
 
-def _item_rows(spark, folder, index):
-    """Word ids by hash stand in for learnt ones."""
-    from ..functions.hashing import u32
 
+@query("item_embedding")
+def item_embedding(spark, folder):
+    """Unit vectors of the default width from the ids and features of every item, and the padding row."""
+    index = cut_lineage(b.items(spark, folder))
+    texts = cut_lineage(b.item_texts(spark, folder, index))
+    coded = T.encode_texts(texts, _vocabulary(texts, _held(spark, folder, index)))
     features = L.feature_rows(index, item_spec(index))
-    ids = F.transform(T.pretokens(F.col("text")), lambda w: (F.pmod(u32("word", w), F.lit(4096)) + 5).cast("int"))
-    return index.select("item_idx", ids.alias("ids")).join(features, "item_idx")
+    return MO.item_embeddings(coded.select("item_idx", "ids").join(features, "item_idx"), EMBEDDING_DIM)
 
 
 # Word ids by hash, framed like an encoded text; id 2 and 3 are specials.

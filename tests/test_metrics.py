@@ -108,6 +108,14 @@ def test_compliance_supply_and_gates(spark):
     lines = spark.createDataFrame([(1, 1, 1), (1, 2, 1), (2, 1, 4), (2, 3, 1)], "basket long, item_idx long, qty long")
     row = E.reference_compliance(lines, items).first()
     assert (row["cases"], row["compliant"]) == (2, 1)
+    named = spark.createDataFrame([(1, "Elsa"), (2, "Elsa"), (3, "Anna"), (4, "Elsa Spirit")], "item_idx long, name string")
+    texts = spark.createDataFrame([(1, "Shift onto Elsa."), (2, None), (3, "Elsa Spirit, Elsa"), (4, "")], "item_idx long, text string")
+    assert sorted(map(tuple, E.base_references(named, texts).collect())) == [(3, "Elsa"), (3, "Elsa Spirit")]
+    played = spark.createDataFrame([(1, 3, 1), (1, 1, 1), (2, 3, 1), (2, 2, 2), (2, 1, 1), (3, 3, 9)], "basket long, item_idx long, qty long")
+    row = E.base_compliance(played, named, texts).first()
+    assert (row["cases"], row["compliant"]) == (6, 2)
+    row = E.base_compliance(played, named, texts, needed=2).first()
+    assert (row["cases"], row["compliant"]) == (6, 1)
     songs = spark.createDataFrame([(1, 3, "singer", 1), (1, 2, "song", 1), (2, 5, "song", 1), (2, 4, "singer", 9)],
                                   "basket long, bucket int, kind string, qty long")
     covered = {r["basket"]: r["covered"] for r in E.supply_demand(songs, F.col("kind") == "singer", F.col("kind") == "song").collect()}

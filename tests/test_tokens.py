@@ -1,9 +1,13 @@
+import random
+import re
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from basketry.operators import masking as MK
+from basketry.operators import models as MO
+from basketry.operators import names as N
 from basketry.operators import tokens as T
 
 TEXTS = [
@@ -45,12 +49,59 @@ def corpus(spark):
 def test_merges_equal_one_by_one_merging(spark, corpus):
     counts = T.pretoken_counts(corpus)
     plain = {r["pretoken"]: r["n"] for r in counts.collect()}
-    for batch in (512, 7):
-        assert T.learn_merges(counts, vocab_size=5 + 256 + 60, batch=batch) == sequential_merges(plain, 60)
+    assert T.learn_merges(counts, vocab_size=5 + 256 + 60) == sequential_merges(plain, 60)
     with pytest.raises(ValueError):
         T.learn_merges(counts.limit(0))
 
 
+@pytest.mark.parametrize("pairs,level,fragments", [(4096, 65536, 50_000), (7, 65536, 40), (3, 2, 5), (1, 1, 1)])
+def test_windows_change_nothing(spark, monkeypatch, pairs, level, fragments):
+    """Passes of any size give the merges of one-by-one merging, down to the tail of equal counts."""
+    monkeypatch.setattr(T, "WINDOW_PAIRS", pairs)
+    monkeypatch.setattr(T, "LEVEL_PAIRS", level)
+    monkeypatch.setattr(T, "WINDOW_FRAGMENTS", fragments)
+    draw = random.Random(pairs)
+    plain = Counter("".join(draw.choice("abbcé") for _ in range(draw.randrange(1, 9))) for _ in range(60 if pairs < 7 else 500))
+    counts = spark.createDataFrame(list(plain.items()), "pretoken string, n long")
+    room = 25 if pairs < 7 else 4000
+    assert T.learn_merges(counts, vocab_size=5 + 256 + room) == sequential_merges(plain, room)
+
+
+def test_a_window_ends_at_a_known_symbol():
+    """'ab' + 'c' after 'a' + 'bc' makes a symbol that exists: its pairs outside the fragments are not known."""
+    fragments = [(["61", "6263"], 9), (["6162", "63"], 8), (["64", "65"], 7)]
+    assert T.merge_window(fragments, 1, set(), 99) == [("61", "6263"), ("6162", "63")]
+
+
+def test_long_words_merge_as_short_ones():
+    draw = random.Random(3)
+    for _ in range(200):
+        ranks = {(draw.choice("abc"), draw.choice("abc")): i for i in range(4)}
+        ranks |= {(a + b, draw.choice("abc")): 10 + i for i, (a, b) in enumerate(list(ranks))}
+        word = [draw.choice("abc") for _ in range(draw.randrange(1, T.SCANNED))]
+        assert T.apply_merges(word, ranks) == T._apply_by_heap(word, ranks)
+    long = T.apply_merges(["61"] * 100_000, {("61", "61"): 0, ("6161", "6161"): 1})
+    assert long == ["61616161"] * 25_000
+
+
+def test_names_equal_a_pattern(spark):
+    draw = random.Random(2)
+    for _ in range(500):
+        listed = {"".join(draw.choice("ab c") for _ in range(draw.randrange(1, 5))).strip() for _ in range(6)} - {""}
+        text = "".join(draw.choice("ab c ") for _ in range(40))
+        pattern = "|".join(re.escape(n) for n in sorted(listed, key=lambda n: (-len(n), n)))
+        found = N.Names(dict.fromkeys(listed, 1))
+        assert list(found.matches(text)) == [(m.start(), m.group()) for m in re.finditer(pattern, text)]
+        assert found.mark(text) == re.sub(rf"\s*({pattern})", rf"{N.CUT}{N.HELD}\1{N.CUT}", text)
+    rows = spark.createDataFrame([("ab", 3), ("ab", 2), ("", 5), (None, 6), ("abc", 7)], "name string, ident long")
+    table = N.write_names(rows, "name", "ident")
+    assert table.size == 2 and sorted(map(tuple, table.frame(spark).collect())) == [("ab", 2), ("abc", 7)]
+    texts = spark.createDataFrame([(None,), ("",), ("abcab xab",)], "t string")
+    assert [r[0] for r in texts.select(N.find_names(F.col("t"), table)).collect()] == [[], [], ["abc", "ab", "ab"]]
+    empty = N.write_names(rows.limit(0), "name", "ident")
+    assert texts.select(N.marked(F.col("t"), empty)).collect()[2][0] == "abcab xab"
+
+
 def test_words_are_split_byte_level(spark):
     df = spark.createDataFrame([("It's  +1, naïve 42!\n",)], "t string")
     assert df.select(T.pretokens(F.col("t"))).first()[0] == ["It", "'s", " ", " +", "1", ",", " naïve", " 42", "!", "\n"]
@@ -60,19 +111,23 @@ def test_reserved_tokens_are_whole(spark, corpus):
     items = spark.createDataFrame(
         [(1, "Tinker Bell", ["Hero", "Hero"], ["Shift", "Rush"]), (2, "Elsa", ["[PAD]", "Hero"], ["Rush"])],
         "item_idx long, name string, classes array<string>, keywords array<string>")
-    held = T.collect_reserved(T.reserved_tokens(items))
-    assert held[:8] == list(T.GLYPHS) and held[8:28] == list(T.MODIFIERS)
-    assert held[28:] == ["Tinker Bell", "Hero", "Shift", "shift", "Rush", "rush", "Elsa"]
+    tokens = T.reserved_tokens(items)
+    listed = [r["token"] for r in tokens.orderBy("token_id").collect()]
+    assert listed[:8] == list(T.GLYPHS) and listed[8:28] == list(T.MODIFIERS)
+    assert listed[28:] == ["Tinker Bell", "Hero", "Shift", "shift", "Rush", "rush", "Elsa"]
+    held = T.written_names(tokens)
     counts = T.pretoken_counts(corpus, "text", held)
-    vocabulary = T.Vocabulary(tuple(held), tuple(T.learn_merges(counts, 600, len(held))))
+    vocabulary = T.Vocabulary(held, tuple(T.learn_merges(counts, 600, held.size)))
     texts = spark.createDataFrame(
         [("Resist +1",), ("Resist +2",), ("Challenger +2",), ("Resist -1",), ("Tinker Bell",), ("{I}",), ("Zürich 😀",)], "text string")
     coded = {r["text"]: r["ids"] for r in T.encode_texts(texts, vocabulary).collect()}
     assert all(ids[0] == T.CLS and ids[-1] == T.SEP and T.UNK not in ids for ids in coded.values())
     plus = [coded[t][-2] for t in ("Resist +2", "Challenger +2")]
-    assert plus[0] == plus[1] == 5 + held.index("+2")
+    assert plus[0] == plus[1] == 5 + listed.index("+2")
     assert coded["Tinker Bell"] == [2, 5 + 28, 3] and len(coded["{I}"]) == 3
     assert all(T.decode(ids, vocabulary).replace(" ", "") == t.replace(" ", "") for t, ids in coded.items())
+    symbols = {r["token_id"]: r["symbol"] for r in vocabulary.table(spark).collect()}
+    assert len(symbols) == vocabulary.size == max(symbols) + 1 and symbols[5 + 28] == "Tinker Bell"
     cut = {len(r["ids"]) for r in T.encode_texts(texts, vocabulary, max_positions=4, pad=True).collect()}
     assert cut == {4}
 
@@ -101,3 +156,23 @@ def test_block_masking(spark):
         dropped = MK.dropped_blocks(F.col("row"), "s", [n for n, _, _ in blocks], prob)
         row = df.select(dropped.alias("d"), MK.mask_blocks(F.col("f"), dropped, blocks).alias("m")).first()
         assert row["m"] == want and row["d"] == names
+
+
+def test_pretrain_rows_and_embeddings(spark):
+    items = spark.createDataFrame([(i, f"n{i}|v", t) for i, t in enumerate(TEXTS, 1)] + [(10, "n10|v", "")], "item_idx long, item_id string, text string")
+    features = items.select("item_idx", F.array(F.lit(1.0), (F.col("item_idx") % 3).cast("double"), F.lit(0.5)).alias("features"))
+    vocabulary = T.Vocabulary(None, tuple(T.learn_merges(T.pretoken_counts(items), 400)))
+    rows = T.pretrain_rows(items, features, vocabulary, "seed", 0.3).collect()
+    assert len(rows) == 10 and all(len(r["ids"]) == T.MAX_POSITIONS and r["ids"][0] == T.CLS for r in rows)
+    by = {r["item_idx"]: [i for i in r["ids"] if i != T.PAD] for r in rows}
+    assert by[10] == [T.CLS, T.SEP] and T.decode(by[2], vocabulary) == TEXTS[1]
+    from hashlib import sha1
+
+    for r in rows:
+        digest = sha1(f"seed:n{r['item_idx']}|v".encode()).hexdigest()
+        assert r["heldout"] == (int(digest[:8], 16) < int(0.3 * 2 ** 32))
+    vectors = MO.item_embeddings(T.encode_texts(items, vocabulary).select("item_idx", "ids").join(features, "item_idx"), 4, hashed=64).collect()
+    assert sorted(r["item_idx"] for r in vectors) == list(range(11))
+    for r in vectors:
+        norm = sum(x * x for x in r["vec"])
+        assert len(r["vec"]) == 4 and (norm == 0 if r["item_idx"] == 0 else abs(norm - 1) < 1e-9)
