@@ -229,7 +229,8 @@ def whole_tokens(spark: SparkSession, merges: Merges) -> DataFrame:
     def prove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             alone = [len(_ALL_WORDS.findall(t)) == 1 and merge_count(t.encode("utf-8"), merges) == 1 for t in batch["token"]]
-            yield batch[alone]
+            if any(alone):
+                yield batch[alone]
 
     strings = pd.DataFrame({"token": list(merges.strings)})
     return spark.createDataFrame(strings, "token string").repartition(8).mapInPandas(prove, "token string")
