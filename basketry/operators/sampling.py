@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.facets import facet_key, facet_multihot
 from ..functions.hashing import u32
 from ..session import cut_lineage
+from .lookup import lookup
 from .ranking import rank_by_dense_id, rank_by_hash, rank_by_range
 
 # Draws per basket, peers tried for a local swap, the padding item, and the
@@ -28,8 +29,11 @@ SAMPLES_PER_BASKET = 12
 MAX_PEERS = 12
 PAD = 0
 LAST_RESORT = 1
-WILDCARD = "*"
+# Consecutive items that a facet set without a match meets at once.
+POOL_BLOCK = 4096
 PHASES = ("random", "bucket", "swap")
+# Consecutive ranks of peers that lie together.
+BAND = 64
 
 
 def with_spans(lines: DataFrame) -> DataFrame:
@@ -105,19 +109,20 @@ def dense_target(sparse: DataFrame, vocabulary: int, keys: Sequence[str] = ("bas
 def pools(baskets: DataFrame, items: DataFrame) -> DataFrame:
     """``(facet_key, item_idx, bucket, rank_all, rank_bucket)``, ranks from 0.
 
-    One pool per distinct facet set, not per basket: the items that share a facet with the
-    set, or all items when none does.
+    One pool per distinct facet set, not per basket: the items that share a facet with the set, or
+    all items when none does. Sets without a match meet the items by blocks of consecutive items.
     """
-    sets = baskets.select(facet_key(F.col("facets")).alias("facet_key"), "facets").dropDuplicates(["facet_key"])
+    sets = cut_lineage(baskets.select(facet_key(F.col("facets")).alias("facet_key"), "facets").dropDuplicates(["facet_key"]))
     wanted = sets.select("facet_key", F.explode("facets").alias("facet")).withColumn("facet", F.lower("facet"))
     index = items.select("item_idx", "bucket", F.explode("facets").alias("facet")).withColumn("facet", F.lower("facet"))
     known = wanted.join(index, "facet").select("facet_key", "item_idx", "bucket").distinct()
-    unmatched = sets.join(known.select("facet_key").distinct(), "facet_key", "left_anti").select(
-        "facet_key", F.lit(WILDCARD).alias("facet"))
-    whole = items.select("item_idx", "bucket", F.lit(WILDCARD).alias("facet"))
-    every = unmatched.join(whole, "facet").select("facet_key", "item_idx", "bucket")
-    found = known.unionByName(every)
-    ranked = rank_by_dense_id(found, ["facet_key"], "item_idx", "rank_all")
+    matched = wanted.join(index.select("facet").distinct(), "facet", "left_semi").select("facet_key").distinct()
+    block = (F.col("item_idx") / POOL_BLOCK).cast("long")
+    last = items.agg(F.max(block)).first()[0]
+    spread = F.sequence(F.lit(0).cast("long"), F.lit(0 if last is None else last).cast("long"))
+    unmatched = sets.join(matched, "facet_key", "left_anti").select("facet_key", F.explode(spread).alias("block"))
+    every = unmatched.join(items.select("item_idx", "bucket", block.alias("block")), "block").select("facet_key", "item_idx", "bucket")
+    ranked = rank_by_dense_id(known.unionByName(every), ["facet_key"], "item_idx", "rank_all")
     ranked = rank_by_dense_id(ranked, ["facet_key", "bucket"], "item_idx", "rank_bucket")
     return ranked.withColumn("rank_all", F.col("rank_all") - 1).withColumn("rank_bucket", F.col("rank_bucket") - 1)
 
@@ -132,18 +137,18 @@ def pool_sizes(pool: DataFrame) -> DataFrame:
 def open_counts(lines: DataFrame, baskets: DataFrame, pool: DataFrame) -> DataFrame:
     """Per basket: size of its pool and how much of it is left without its own items."""
     keys = baskets.select("basket", facet_key(F.col("facets")).alias("facet_key"))
-    own = lines.join(keys, "basket").join(pool, ["facet_key", "item_idx"], "left_semi").groupBy("basket").agg(
+    members = pool.select("facet_key", "item_idx")
+    own = lookup(lines.select("basket", "item_idx").join(keys, "basket"), members, ["facet_key", "item_idx"], "inner").groupBy("basket").agg(
         F.count("*").alias("own"))
     sizes = pool_sizes(pool).filter("bucket = -1").select("facet_key", "pool_size")
-    return keys.join(sizes, "facet_key").join(own, "basket", "left").select(
+    return lookup(keys, sizes, ["facet_key"], "inner").join(own, "basket", "left").select(
         "basket", "facet_key", "pool_size",
         (F.col("pool_size") - F.coalesce("own", F.lit(0))).alias("open_size"))
 
 
 def _own_ranks(lines: DataFrame, keys: DataFrame, pool: DataFrame) -> DataFrame:
-    held = lines.select("basket", "item_idx").join(keys, "basket").join(
-        pool.select("facet_key", "item_idx", "bucket", "rank_all", "rank_bucket"),
-        ["facet_key", "item_idx"], "left")
+    ranks = pool.select("facet_key", "item_idx", "bucket", "rank_all", "rank_bucket")
+    held = lookup(lines.select("basket", "item_idx").join(keys, "basket"), ranks, ["facet_key", "item_idx"])
     return held.groupBy("basket").agg(
         F.array_sort(F.collect_list(F.col("item_idx") - 1)).alias("own_items"),
         F.array_sort(F.collect_list("rank_all")).alias("own_all"),
@@ -167,14 +172,13 @@ def pool_negatives(requests: DataFrame, lines: DataFrame, baskets: DataFrame, po
     items; then any pool member; then the last resort.
     """
     keys = baskets.select("basket", facet_key(F.col("facets")).alias("facet_key"))
-    sizes = pool_sizes(pool)
+    sizes = cut_lineage(pool_sizes(pool))
     whole = sizes.filter("bucket = -1").select("facet_key", F.col("pool_size").alias("n_all"))
     cells = sizes.filter("bucket <> -1").select("facet_key", "bucket", F.col("pool_size").alias("n_bucket"))
     empty = F.array().cast("array<long>")
-    rows = (
-        requests.join(keys, "basket").join(whole, "facet_key", "left").join(cells, ["facet_key", "bucket"], "left")
-        .join(_own_ranks(lines, keys, pool), "basket", "left")
-    )
+    # What a basket brings to its draws is made once per basket, before draws multiply it.
+    own = keys.join(_own_ranks(lines, keys, pool), "basket", "left")
+    rows = lookup(requests.join(lookup(own, whole, ["facet_key"]), "basket"), cells, ["facet_key", "bucket"])
     in_bucket = F.transform(
         F.filter("own_buckets", lambda s: s["bucket"] == F.col("bucket")), lambda s: s["rank_bucket"])
     from_bucket = _skip_own(F.col("h"), F.col("n_bucket"), F.coalesce(in_bucket, empty))
@@ -188,12 +192,13 @@ def pool_negatives(requests: DataFrame, lines: DataFrame, baskets: DataFrame, po
     total = F.lit(n_items).cast("long")
     beyond = F.coalesce(
         _skip_own(F.col("h"), total, F.coalesce("own_items", empty)), F.pmod("h", F.nullif(total, F.lit(0)))) + 1
-    lookup = pool.select("facet_key", F.col("bucket").alias("cell"), F.col("rank_bucket").alias("rank"),
+    places = pool.select("facet_key", F.col("bucket").alias("cell"), F.col("rank_bucket").alias("rank"),
                          F.col("item_idx").alias("drawn")).unionByName(
         pool.select("facet_key", F.lit(-1).alias("cell"), F.col("rank_all").alias("rank"),
                     F.col("item_idx").alias("drawn")))
-    return rows.join(lookup, ["facet_key", "cell", "rank"], "left").select(
-        *requests.columns, F.coalesce("drawn", beyond, F.lit(LAST_RESORT)).alias("negative"))
+    slim = rows.withColumn("_beyond", beyond).select(*requests.columns, "_beyond", "facet_key", "cell", "rank")
+    return lookup(slim, places, ["facet_key", "cell", "rank"]).select(
+        *requests.columns, F.coalesce("drawn", "_beyond", F.lit(LAST_RESORT)).alias("negative"))
 
 
 # --- peers -------------------------------------------------------------------------------
@@ -206,40 +211,62 @@ def peer_ranks(baskets: DataFrame, seed) -> DataFrame:
     return ranked.select("facet_key", "basket", (F.col("peer_rank") - 1).alias("peer_rank"))
 
 
-def peer_items(requests: DataFrame, lines: DataFrame, baskets: DataFrame, items: DataFrame,
+def _peer_bands(ranks: DataFrame, sizes: DataFrame, lines: DataFrame, items: DataFrame, max_peers: int) -> DataFrame:
+    """``(facet_key, band, bucket, slots)``: what the peers of ``BAND`` consecutive ranks hold, by bucket.
+
+    A band goes on for as many ranks as a walk may take beyond it, around the end of the key's order
+    if need be, so that a walk lies in the band it starts in. Slots are (rank, peer, item).
+    """
+    held = lines.select("basket", "item_idx").join(items.select("item_idx", "bucket"), "item_idx").join(
+        lookup(ranks, sizes, ["facet_key"], "inner").filter("n >= 2"), "basket")
+    reach = max_peers - 1
+    turns = F.when(F.col("peer_rank") < reach, F.array(F.col("peer_rank"), F.col("peer_rank") + F.col("n"))).otherwise(F.array("peer_rank"))
+    at = held.withColumn("rank", F.explode(turns))
+    home = F.floor(F.col("rank") / BAND)
+    bands = F.when(F.col("rank") % BAND < reach, F.array(home, home - 1)).otherwise(F.array(home))
+    return at.withColumn("band", F.explode(bands)).filter((F.col("band") >= 0) & (F.col("band") * BAND < F.col("n"))).groupBy(
+        "facet_key", "band", "bucket").agg(F.collect_list(F.struct("rank", F.col("basket").alias("peer"), "item_idx")).alias("slots"))
+
+
+def peer_slots(requests: DataFrame, lines: DataFrame, baskets: DataFrame, items: DataFrame,
                seed, max_peers: int = MAX_PEERS) -> DataFrame:
-    """``(basket, draw, attempt, peer, item_idx)``: same-bucket items of the tried peers.
+    """``(basket, draw, start, slots)``: per request the same-bucket items of its peers, without own items.
 
-    A request walks ``max_peers`` neighbours in the hash order of its facet key from a
-    random start, i.e. distinct peers in random order, found by rank: the fan-out is
-    ``max_peers`` per request however many baskets share the key. Own items are left out.
+    A request walks ``max_peers`` neighbours in the hash order of its facet key from a random start,
+    i.e. distinct peers in random order. It meets one band, so it stays one row however many peers it
+    walks and however many baskets share its key.
     """
-    ranks = peer_ranks(baskets, seed)
-    sizes = ranks.groupBy("facet_key").agg(F.count("*").alias("n"))
-    keys = baskets.select("basket", facet_key(F.col("facets")).alias("facet_key"))
+    if max_peers > BAND:
+        raise ValueError(f"a walk of {max_peers} peers does not fit a band of {BAND}")
+    ranks = cut_lineage(peer_ranks(baskets, seed))
+    sizes = cut_lineage(ranks.groupBy("facet_key").agg(F.count("*").alias("n")))
+    own = lines.groupBy("basket").agg(F.collect_list("item_idx").alias("own"))
+    keyed = lookup(ranks.select("basket", "facet_key"), sizes, ["facet_key"], "inner").filter("n >= 2").join(own, "basket", "left")
     start = F.pmod(u32(seed, "start", F.col("basket"), F.col("draw")), F.col("n"))
-    tries = (
-        requests.select("basket", "draw", "bucket").join(keys, "basket").join(sizes, "facet_key")
-        .filter("n >= 2")
-        .withColumn("attempt", F.explode(F.sequence(
-            F.lit(0).cast("long"), F.least(F.col("n"), F.lit(max_peers)) - 1)))
-        .withColumn("peer_rank", F.pmod(start + F.col("attempt"), F.col("n")))
-    )
-    # Slots carry the rank of their basket, so a try meets peer and items in one join.
-    slots = lines.select("basket", "item_idx").join(items.select("item_idx", "bucket"), "item_idx").join(
-        ranks, "basket").withColumnRenamed("basket", "peer")
-    found = tries.select("basket", "draw", "attempt", "facet_key", "peer_rank", "bucket").join(
-        slots, ["facet_key", "peer_rank", "bucket"]).select("basket", "draw", "attempt", "peer", "item_idx")
-    return found.join(lines.select("basket", "item_idx"), ["basket", "item_idx"], "left_anti").select(
-        "basket", "draw", "attempt", "peer", "item_idx")
-
-
-def swap_negatives(candidates: DataFrame, seed) -> DataFrame:
-    """First peer with a candidate, then a uniform one of its items."""
-    h = u32(seed, "swap", F.col("basket"), F.col("draw"), F.col("item_idx"))
-    best = F.min(F.struct("attempt", h.alias("h"), "item_idx"))
-    return candidates.groupBy("basket", "draw").agg(best.alias("best")).select(
-        "basket", "draw", F.col("best.item_idx").alias("swap"))
+    asked = requests.select("basket", "draw", "bucket").join(keyed, "basket").withColumn("start", start).withColumn(
+        "band", F.floor(F.col("start") / BAND))
+    met = asked.join(_peer_bands(ranks, sizes, lines, items, max_peers), ["facet_key", "band", "bucket"])
+    last = F.col("start") + F.least(F.col("n"), F.lit(max_peers))
+    inside = F.filter("slots", lambda s: (s["rank"] >= F.col("start")) & (s["rank"] < last) & ~F.array_contains("own", s["item_idx"]))
+    return met.select("basket", "draw", "start", inside.alias("slots"))
+
+
+def peer_items(requests: DataFrame, lines: DataFrame, baskets: DataFrame, items: DataFrame,
+               seed, max_peers: int = MAX_PEERS) -> DataFrame:
+    """``(basket, draw, attempt, peer, item_idx)``: same-bucket items of the tried peers, own items left out."""
+    slots = peer_slots(requests, lines, baskets, items, seed, max_peers)
+    return slots.select("basket", "draw", "start", F.explode("slots").alias("s")).select(
+        "basket", "draw", (F.col("s.rank") - F.col("start")).alias("attempt"), "s.peer", "s.item_idx")
+
+
+def swap_negatives(slots: DataFrame, seed) -> DataFrame:
+    """``(basket, draw, swap)``: a uniform item of the first peer that has one; no row where none has."""
+    first = F.array_min(F.transform("slots", lambda s: s["rank"]))
+    nearest = slots.filter(F.size("slots") > 0).withColumn("_first", first)
+    of_first = F.filter("slots", lambda s: s["rank"] == F.col("_first"))
+    best = F.array_min(F.transform(of_first, lambda s: F.struct(
+        u32(seed, "swap", F.col("basket"), F.col("draw"), s["item_idx"]).alias("h"), s["item_idx"].alias("item_idx"))))
+    return nearest.select("basket", "draw", best["item_idx"].alias("swap"))
 
 
 def negatives(removed: DataFrame, lines: DataFrame, baskets: DataFrame, items: DataFrame,
@@ -254,7 +281,7 @@ def negatives(removed: DataFrame, lines: DataFrame, baskets: DataFrame, items: D
     pool, requests = cut_lineage(pools(baskets, items)), cut_lineage(requests)
     drawn = pool_negatives(requests, lines, baskets, pool, n_items, phase != "random")
     if phase == "swap":
-        swapped = swap_negatives(peer_items(requests, lines, baskets, items, seed, max_peers), seed)
+        swapped = swap_negatives(peer_slots(requests, lines, baskets, items, seed, max_peers), seed)
         drawn = drawn.join(swapped, ["basket", "draw"], "left").withColumn(
             "negative", F.coalesce("swap", "negative"))
     return drawn.select("basket", "draw", "removed", "bucket", "negative")

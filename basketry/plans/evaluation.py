@@ -18,7 +18,7 @@ from ..operators import vectors as V
 from ..session import cut_lineage
 from . import binding as b
 from .binding import r6, with_ctes
-from .examples import _CENTRES, _POOLED, DIM, _points
+from .examples import _CENTRES, _DRAWN, _POOLED, DIM, K_DRAWS, _points
 from .metrics import _AUC, _LOGITS, _SCORED, _logits, _scored
 from .registry import query
 
@@ -260,28 +260,32 @@ def quality_gates(spark, folder):
 
 # --- proposals and scores ----------------------------------------------------------------
 
-def _scene(spark, folder):
-    """Baskets, candidates and priors for scoring."""
+def _scene(spark, folder, archetypes=None):
+    """Index, lines, headers, keys of baskets, item vectors, priors and the written candidates."""
     index, lines, heads = b.stored(spark, folder)
     keys = cut_lineage(heads.select("basket", facet_key(F.col("facets")).alias("facet_key")))
-    keyed = lines.join(keys, "basket")
-    distinct_keys = keys.select("facet_key").distinct()
-    priors = cut_lineage(SC.item_priors(keyed, index, distinct_keys))
-    vectors = b.item_vectors(spark, folder, index).join(index.select("item_idx", "cap"), "item_idx")
+    priors = SC.item_priors(lines.join(keys, "basket"), index)
+    vectors = cut_lineage(b.item_vectors(spark, folder, index).join(index.select("item_idx", "cap"), "item_idx"))
     allowed = index.filter("legality <> 'banned'").select("item_idx")
     pool = SA.pools(heads, index).join(allowed, "item_idx", "left_semi")
-    candidates = cut_lineage(SC.candidate_table(vectors, priors, pool))
-    return index, lines, heads, keys, priors, candidates, distinct_keys.count()
+    return index, lines, heads, keys, vectors, priors, SC.candidate_table(vectors, priors, pool, DIM, archetypes)
 
 
-_PRIORS = """kf as (select facet_key, item_idx, sum(qty) as n from lines join played using (basket) group by all),
+def _top(spark, folder, scorer, k, archetypes=None):
+    """The k best candidates of all baskets."""
+    _, lines, _, keys, vectors, priors, candidates = _scene(spark, folder, archetypes)
+    return SC.top_candidates(SC.partial_baskets(lines, vectors, keys, priors, DIM), candidates, scorer, k)
+
+
+_PRIORS_OF_ITEMS = """kf as (select facet_key, item_idx, sum(qty) as n from lines join played using (basket) group by all),
     kt as (select facet_key, sum(n) as total from kf group by facet_key),
     af as (select item_idx, sum(n) as n from kf group by item_idx),
     priors as (select t.facet_key, i.item_idx,
         ln((coalesce(kf.n, 0) + 100 * (coalesce(af.n, 0) + 1) / ((select sum(n) from af) + (select count(*) from items)))
           / (t.total + 100)) as lp,
         coalesce(kf.n / t.total, af.n / (select sum(n) from af), 0) as meta
-      from kt t cross join items i left join af using (item_idx) left join kf on kf.facet_key = t.facet_key and kf.item_idx = i.item_idx),
+      from kt t cross join items i left join af using (item_idx) left join kf on kf.facet_key = t.facet_key and kf.item_idx = i.item_idx)"""
+_PRIORS = _PRIORS_OF_ITEMS + """,
     means as (select basket, list(a order by dim) as mean, sqrt(sum(a * a)) as len from cells group by basket),
     pairs as (select m.basket, v.item_idx, lp, meta, lp + list_inner_product(mean, vec) / len as logit,
         list_inner_product(mean, vec) / len as cos, list_distance(mean, vec) as dist,
@@ -298,9 +302,37 @@ _PRIOR_NEEDS = "lines played items item_vectors"
       select *, row_number() over (partition by basket order by logit desc, item_idx) as position from open)
     join lse using (basket) where position <= 5""", _POOLED + ", " + _PRIORS))
 def proposal_topk(spark, folder):
-    _, lines, _, keys, _, candidates, n_keys = _scene(spark, folder)
-    baskets = SC.partial_baskets(lines, candidates, keys, DIM)
-    top = SC.top_candidates(baskets, candidates, SC.Scorer(), 5, DIM, n_keys)
+    top = _top(spark, folder, SC.Scorer(), 5)
+    return top.select("basket", "position", "item_idx", round6(F.col("score")).alias("log_p"))
+
+
+# Partial baskets: one copy drawn out of each; of an item at its cap no more may be proposed.
+_PARTIAL = _DRAWN.replace(f"range({K_DRAWS})", "range(1)") + """,
+    left_lines as (select l.basket, l.item_idx, qty - (l.item_idx = removed)::int as qty from removed r join lines l using (basket)
+      where qty - (l.item_idx = removed)::int > 0),
+    left_cells as (select basket, dim, sum(qty * v) / sum(qty) as a from (
+      select basket, qty, unnest(vec) as v, generate_subscripts(vec, 1) - 1 as dim from left_lines join item_vectors using (item_idx)) group by all)"""
+
+
+@query("proposal_partial_topk", with_ctes(_PRIOR_NEEDS, f"""
+    , left_means as (select basket, list(a order by dim) as mean, sqrt(sum(a * a)) as len from left_cells group by basket),
+    left_pairs as (select m.basket, v.item_idx, lp, lp + list_inner_product(mean, vec) / len as logit,
+        v.facet is distinct from p.barred and v.legality <> 'banned' and coalesce(o.qty < v.cap, true) as open
+      from left_means m join played p using (basket)
+      cross join (select * from item_vectors join (select item_idx, legality, cap from items) using (item_idx)) v
+      join priors on priors.facet_key = p.facet_key and priors.item_idx = v.item_idx
+      left join left_lines o on o.basket = m.basket and o.item_idx = v.item_idx),
+    left_lse as (select basket, ln(sum(exp(logit))) as lse from left_pairs group by basket)
+    select basket, position, item_idx, {r6('logit - lse')} as log_p from (
+      select *, row_number() over (partition by basket order by logit desc, item_idx) as position from left_pairs where open)
+    join left_lse using (basket) where position <= 5""",
+    ", ".join((_PARTIAL, _PRIORS_OF_ITEMS))))
+def proposal_partial_topk(spark, folder):
+    """The next item of baskets that one drawn copy was taken from, own items allowed up to their cap."""
+    _, lines, _, keys, vectors, priors, candidates = _scene(spark, folder)
+    partials = SA.partial_lines(lines, SA.leave_one_out(lines, 1, b.SEED)).drop("draw")
+    baskets = SC.partial_baskets(partials, vectors, keys, priors, DIM)
+    top = SC.top_candidates(baskets, candidates, SC.Scorer(), 5, exclude_own=False)
     return top.select("basket", "position", "item_idx", round6(F.col("score")).alias("log_p"))
 
 
@@ -312,13 +344,24 @@ _BLEND = "logit - lse + 1.5 / (1 + exp(-cos)) + 0.5 * dist - 2.0 * meta"
       select *, row_number() over (partition by basket order by score desc, item_idx) as position
       from (select basket, item_idx, {_BLEND} as score from open join lse using (basket))) where position <= 5""", _POOLED + ", " + _PRIORS))
 def blended_topk(spark, folder):
-    _, lines, _, keys, _, candidates, n_keys = _scene(spark, folder)
-    scorer = SC.Scorer(presets=(SC.Preset("blend", 1.5, 0.5, 2.0),))
-    baskets = SC.partial_baskets(lines, candidates, keys, DIM)
-    top = SC.top_candidates(baskets, candidates, scorer, 5, DIM, n_keys)
+    top = _top(spark, folder, SC.Scorer(presets=(SC.Preset("blend", 1.5, 0.5, 2.0),)), 5)
     return top.select("basket", "position", "item_idx", round6(F.col("score")).alias("score"))
 
 
+@query("archetype_topk", with_ctes(_PRIOR_NEEDS, f"""
+    , far as (select item_idx, min(list_distance(vec, centroid)) as away from item_vectors cross join centres group by item_idx)
+    select basket, position, item_idx, {r6('score')} as score, {r6('away')} as novelty from (
+      select *, row_number() over (partition by basket order by score desc, item_idx) as position from (
+        select basket, item_idx, away, logit - lse + 1.5 / (1 + exp(-cos)) + 0.5 * away - 2.0 * meta as score
+        from open join lse using (basket) join far using (item_idx))) where position <= 5""", _POOLED + ", " + _CENTRES.replace("means", "label_means") + ", " + _PRIORS))
+def archetype_topk(spark, folder):
+    """The blend with novelty as the distance of an item to its nearest archetype."""
+    centres = K.label_centroids(_points(spark, folder), "label", DIM)
+    scorer = SC.Scorer(presets=(SC.Preset("blend", 1.5, 0.5, 2.0),), novelty="archetype")
+    return _top(spark, folder, scorer, 5, centres).select(
+        "basket", "position", "item_idx", round6(F.col("score")).alias("score"), round6(F.col("novelty")).alias("novelty"))
+
+
 # Slider stops with their (alpha, gamma, lambda); the quarter points are means of neighbours.
 STYLES = (("safe", 2.0, 0.0, 2.0), ("safe_balanced", 1.5, 1.0, 1.5), ("balanced", 1.0, 2.0, 1.0),
           ("balanced_brew", 0.75, 4.0, 0.5), ("brew", 0.5, 6.0, 0.0))
@@ -334,33 +377,30 @@ STYLES = (("safe", 2.0, 0.0, 2.0), ("safe_balanced", 1.5, 1.0, 1.5), ("balanced"
       novelty between least(lag(novelty) over w, lead(novelty) over w) and greatest(lag(novelty) over w, lead(novelty) over w) end as between_neighbours
     from s window w as (order by no)""", _POOLED + ", " + _PRIORS))
 def style_interpolation(spark, folder):
-    _, lines, _, keys, _, candidates, n_keys = _scene(spark, folder)
-    scorer = SC.Scorer(presets=tuple(SC.Preset(*s) for s in STYLES))
-    baskets = SC.partial_baskets(lines, candidates, keys, DIM)
-    picks = SC.top_candidates(baskets, candidates, scorer, 1, DIM, n_keys)
+    picks = _top(spark, folder, SC.Scorer(presets=tuple(SC.Preset(*s) for s in STYLES)), 1)
     return E.style_report(picks, [s[0] for s in STYLES]).select(
         "preset", round6(F.col("novelty")).alias("novelty"), F.col("between").alias("between_neighbours"))
 
 
 def _training_pairs(spark, folder, phases):
     """Labelled pair features per phase, one draw per basket."""
-    index, lines, heads, keys, priors, candidates, n_keys = _scene(spark, folder)
+    index, lines, heads, keys, vectors, priors, _ = _scene(spark, folder)
     n = index.count()
     removed = cut_lineage(SA.leave_one_out(lines, 1, b.SEED))
-    partials = SC.partial_baskets(SA.partial_lines(lines, removed), candidates, keys, DIM, ("basket", "draw"))
+    partials = SC.partial_baskets(SA.partial_lines(lines, removed), vectors, keys, priors, DIM, ("basket", "draw"))
     out = None
     for phase in phases:
         drawn = SA.negatives(removed, lines, heads, index, phase, b.SEED, n)
-        pairs = SC.pair_features(SA.evaluator_examples(drawn), partials, candidates, priors, ("basket", "draw"))
+        pairs = SC.pair_features(SA.evaluator_examples(drawn), partials, vectors, priors, ("basket", "draw"))
         pairs = pairs.withColumn("phase", F.lit(phase))
         out = pairs if out is None else out.unionByName(pairs)
-    return cut_lineage(out), lines, keys, candidates, n_keys
+    return cut_lineage(out)
 
 
 @query("plausibility_model")
 def plausibility_model(spark, folder):
     """Weights fitted on random negatives, judged per negative type."""
-    pairs, *_ = _training_pairs(spark, folder, SA.PHASES)
+    pairs = _training_pairs(spark, folder, SA.PHASES)
     weights = MO.fit_plausibility(pairs.filter("phase = 'random'"))
     scored = MO.apply_plausibility(pairs, weights)
     auc = M.roc_auc(scored, "logit", "label", ["phase"])
@@ -368,10 +408,16 @@ def plausibility_model(spark, folder):
         "distance", F.lit(weights.distance)).withColumn("prior", F.lit(weights.prior))
 
 
-@query("batch_scores")
+# Given weights of the plausibility logit; fitted ones are judged by ``plausibility_model``.
+GIVEN = SC.Weights(-0.5, 2.0, -0.7, 0.3)
+
+
+@query("batch_scores", with_ctes(_PRIOR_NEEDS, f"""
+    select basket, position, item_idx, {r6('v')} as value from (
+      select *, row_number() over (partition by basket order by v desc, item_idx) as position from (
+        select basket, item_idx, 1 / (1 + exp(-({GIVEN.bias} + {GIVEN.cosine} * cos + {GIVEN.distance} * dist + {GIVEN.prior} * lp))) as v
+        from open)) where position <= 3""", _POOLED + ", " + _PRIORS))
 def batch_scores(spark, folder):
-    """Best three legal candidates of every basket by the fitted plausibility."""
-    pairs, lines, keys, candidates, n_keys = _training_pairs(spark, folder, ("random",))
-    scorer = SC.Scorer(weights=MO.fit_plausibility(pairs), presets=(SC.Preset("value", alpha=1.0),), use_log_p=False)
-    baskets = SC.partial_baskets(lines, candidates, keys, DIM)
-    return SC.top_candidates(baskets, candidates, scorer, 3, DIM, n_keys).select("basket", "position", "item_idx", "value")
+    """Best three legal candidates of every basket by plausibility under given weights."""
+    scorer = SC.Scorer(weights=GIVEN, presets=(SC.Preset("value", alpha=1.0),), use_log_p=False)
+    return _top(spark, folder, scorer, 3).select("basket", "position", "item_idx", round6(F.col("value")).alias("value"))

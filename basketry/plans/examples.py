@@ -13,7 +13,7 @@ from .binding import r6, with_ctes
 from .registry import query
 
 DIM = 64
-K_DRAWS = 2
+K_DRAWS = SA.SAMPLES_PER_BASKET
 
 
 def _long(df, vec, *keys):

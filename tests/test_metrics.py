@@ -1,6 +1,7 @@
 import itertools
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -12,6 +13,7 @@ from basketry.operators import metrics as M
 from basketry.operators import models as MO
 from basketry.operators import scoring as SC
 from basketry.operators import vectors as V
+from basketry.operators.lookup import lookup
 
 # Held-out losses of a run that stopped after 28 epochs with its best at 22.
 CURVE = [26.8717, 16.2280, 13.1910, 11.5126, 9.8579, 9.7779, 8.4620, 8.1324, 7.4953, 7.4950, 6.6832, 6.6248, 6.2616, 6.5211,
@@ -138,24 +140,80 @@ def test_chi_square_p_value(spark):
     assert abs(E.type_chi2_pvalue(sample, corpus) - math.erfc(math.sqrt(2.0))) < 1e-9
 
 
-def test_top_candidates_do_not_depend_on_blocks(spark, monkeypatch):
+def scene(spark, n=23, dim=4, baskets=9):
     rng = np.random.default_rng(2)
-    n, dim = 23, 4
-    cells = [{"facet_key": "k", "log_prior": float(-i / 7), "meta": i / 50, "legal": i % 5 != 0} for i in range(n)]
-    rows = [(i + 1, rng.normal(size=dim).tolist(), 2.0, [cells[i]]) for i in range(n)]
-    cand = spark.createDataFrame(rows, "item_idx long, vec array<double>, cap double, cells array<struct<facet_key:string,log_prior:double,meta:double,legal:boolean>>")
-    baskets = spark.createDataFrame([(b, "k", rng.normal(size=dim).tolist(), [2, 4], [1.0, 2.0]) for b in range(5)],
-                                    "basket long, facet_key string, mean array<double>, own_items array<long>, own_qty array<double>")
-    scorer = SC.Scorer(presets=(SC.Preset("p", 1.0, 0.5, 2.0),))
-    results = []
-    for block in (1 << 21, 21):
+    items = [(i + 1, rng.normal(size=dim).tolist(), None if i % 4 else 2.0) for i in range(n)]
+    items[7] = (8, items[6][1], items[6][2])  # equal scores but for the prior
+    counts = [(k, i + 1, float((i * j) % 7)) for j, k in enumerate("xy", 2) for i in range(n) if (i * j) % 7]
+    legal = [(k, i + 1) for j, k in enumerate("xy", 2) for i in range(n) if i % 5 != j]
+    people = [(b, "xyz"[b % 3], rng.normal(size=dim).tolist(), [2, 5, 9], [1.0, 2.0, 1.0]) for b in range(baskets)]
+    overall = {i: sum(q for _, j, q in counts if j == i) for i in range(1, n + 1)}
+    total = sum(overall.values())
+    base = [(i, (overall[i] + 1) / (total + n), overall[i] / total) for i in overall]
+    totals = {k: sum((q for key, _, q in counts if key == k), 0.0) for k in "xyz"}
+    priors = SC.Priors(
+        spark.createDataFrame(base, "item_idx long, q double, all_p double"),
+        spark.createDataFrame([(k, i, q, q / totals[k]) for k, i, q in counts], "facet_key string, item_idx long, qty double, p double"),
+        spark.createDataFrame([(k, t) for k, t in totals.items() if t], "facet_key string, key_total double"))
+    vectors = spark.createDataFrame(items, "item_idx long, vec array<double>, cap double")
+    centres = spark.createDataFrame([(0, [1.0] * dim), (1, [-1.0] * dim)], "cluster int, centroid array<double>")
+    table = SC.candidate_table(vectors, priors, spark.createDataFrame(legal, "facet_key string, item_idx long"), dim, centres)
+    frame = spark.createDataFrame([(b, k, totals[k], m, o, q) for b, k, m, o, q in people],
+                                  "basket long, facet_key string, key_total double, mean array<double>, own_items array<long>, own_qty array<double>")
+    return items, dict(((k, i), q) for k, i, q in counts), set(legal), people, {i: (q, p) for i, q, p in base}, totals, table, frame
+
+
+@pytest.mark.parametrize("exclude_own,novelty,use_log_p", [(True, "basket", True), (False, "archetype", True), (False, "basket", False)])
+def test_candidates_equal_plain_scores(spark, monkeypatch, exclude_own, novelty, use_log_p):
+    """Every block size gives the scores of a plain double loop, in order, ties by item."""
+    items, counts, legal, people, base, totals, table, frame = scene(spark)
+    scorer = SC.Scorer(0.7, SC.Weights(0.1, 1.5, -0.4, 0.2), (SC.Preset("p", 1.0, 0.5, 2.0), SC.Preset("q")), use_log_p, novelty)
+    expected = []
+    for b, key, mean, own, qty in people:
+        mean = np.array(mean)
+        logits, scores = [], {"p": [], "q": []}
+        for i, vec, cap in items:
+            vec = np.array(vec)
+            q, all_p = base[i]
+            count = counts.get((key, i), 0.0)
+            prior = math.log((count + 100 * q) / (totals[key] + 100))
+            cosine, distance = vec @ mean / np.linalg.norm(mean), np.linalg.norm(vec - mean)
+            far = min(np.linalg.norm(vec - 1), np.linalg.norm(vec + 1)) if novelty == "archetype" else distance
+            logits.append(prior + 0.7 * cosine)
+            value = 1 / (1 + math.exp(-(0.1 + 1.5 * cosine - 0.4 * distance + 0.2 * prior)))
+            meta = count / totals[key] if count else all_p
+            held = dict(zip(own, qty)).get(i, 0)
+            if (key, i) in legal and not (held if exclude_own else held >= (math.inf if cap is None else cap)):
+                part = logits[-1] if use_log_p else 0.0
+                scores["p"].append((-(part + value + 0.5 * far - 2 * meta), i))
+                scores["q"].append((-part, i))
+        lse = math.log(sum(map(math.exp, logits))) if use_log_p else 0.0
+        for name, found in scores.items():
+            expected += [(b, name, n, i, round(-s - lse, 9)) for n, (s, i) in enumerate(sorted(found)[:4], 1)]
+    for block in (1 << 21, 50, 8):
         monkeypatch.setattr(SC, "BLOCK_NUMBERS", block)
-        monkeypatch.setattr(SC, "PART_BASKETS", 2)
-        out = SC.top_candidates(baskets, cand, scorer, 4, dim, 1, exclude_own=False).collect()
-        results.append(sorted((r["basket"], r["position"], r["item_idx"], round(r["score"], 9)) for r in out))
-    assert results[0] == results[1] and len(results[0]) == 20
-    picked = {i for _, _, i, _ in results[0]}
-    assert 4 not in picked and not picked & {1, 6, 11, 16, 21}
+        SC._SINGLE.clear()
+        out = SC.top_candidates(frame, table, scorer, 4, exclude_own).collect()
+        assert sorted((r["basket"], r["preset"], r["position"], r["item_idx"], round(r["score"], 9)) for r in out) == sorted(expected)
+
+
+def test_best_columns_break_ties_by_place():
+    rng = np.random.default_rng(1)
+    total = rng.integers(0, 4, size=(200, 9)).astype(float)
+    total[total == 0] = -np.inf
+    for k in (1, 4, 9, 20):
+        got = SC.best_columns(total, k)
+        plain = np.sort(np.argsort(-total, axis=1, kind="stable")[:, :k], axis=1)
+        assert (got == plain).all()
+
+
+def test_lookup_is_the_same_for_small_and_large_tables(spark):
+    rows = spark.createDataFrame([(i, None if i % 9 == 0 else "hot" if i % 3 else f"k{i}") for i in range(60)], "i long, key string")
+    table = spark.createDataFrame([("hot", 1), ("hot", 2), ("k3", 3), ("none", 4)], "key string, v int")
+    for how in ("left", "inner"):
+        small = lookup(rows, table, ["key"], how)
+        large = lookup(rows, table, ["key"], how, small=2, salts=3)
+        assert Counter(map(tuple, small.collect())) == Counter(map(tuple, large.collect())) and small.columns == large.columns
 
 
 def test_isotonic_is_monotone(spark):
