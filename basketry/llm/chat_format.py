@@ -14,8 +14,9 @@ spans of assistant texts.
 
 Defined cases: null texts and roles are empty; an empty record list gives no turns; a record
 whose fingerprint has no mapping, or that is no JSON object, is returned with
-``mapping`` null, no turns and an empty text. Optional fields change the fingerprint, so
-every mapping lists the layouts it serves.
+``mapping`` null, no turns and an empty text; ``unmapped_layouts`` counts those. Optional fields
+change the fingerprint, so a mapping serves one fingerprint for each choice of them. Speakers are
+renamed only where their mapping says so; roles of other layouts stay as they are written.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ import hashlib
 import json
 import re
 from dataclasses import dataclass
+from itertools import combinations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -36,27 +38,36 @@ OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 _CONTROL = re.compile(r"<(\\*)\|")
 _ESCAPED = re.compile(r"<\\(\\*)\|")
 _TURN = re.compile(r"<\|im_start\|>([^\n]*)\n(.*?)<\|im_end\|>\n", re.S)
-#: Names of speakers as other layouts write them.
-ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "prompter": "user", "model": "assistant"}
+#: Names of speakers in lists of turns that do not use the canonical ones.
+SPEAKERS = (("human", "user"), ("gpt", "assistant"), ("bot", "assistant"), ("prompter", "user"), ("model", "assistant"))
 
 
 @dataclass(frozen=True)
 class Mapping:
-    """How a layout becomes turns: ``turns`` with ``role`` and ``text``, or ``fields``."""
+    """How a layout becomes turns: ``turns`` with ``role`` and ``text``, or ``fields``.
+
+    ``fields`` are (role, path, more paths): texts of several paths, where not empty, are joined by
+    an empty line. ``roles`` renames speakers; without it they stay as they are written. Each of the
+    ``optional`` paths may be there or not.
+    """
 
     name: str
     paths: tuple[str, ...]
     turns: str = ""
     role: str = ""
     text: str = ""
-    fields: tuple[tuple[str, str], ...] = ()
+    fields: tuple[tuple[str, ...], ...] = ()
+    roles: tuple[tuple[str, str], ...] = ()
+    optional: tuple[str, ...] = ("id", "name", "source")
 
 
 MAPPINGS = (
     Mapping("messages", ("messages[].content", "messages[].role"), "messages", "role", "content"),
-    Mapping("turn list", ("conversations[].from", "conversations[].value"), "conversations", "from", "value"),
+    Mapping("turn list", ("conversations[].from", "conversations[].value"), "conversations", "from", "value", roles=SPEAKERS),
     Mapping("nested turns", ("data.turns[].speaker.role", "data.turns[].utterance.text"), "data.turns", "speaker.role", "utterance.text"),
     Mapping("instruction", ("instruction", "output"), fields=(("user", "instruction"), ("assistant", "output"))),
+    Mapping("instruction with input", ("input", "instruction", "output"),
+            fields=(("user", "instruction", "input"), ("assistant", "output"))),
     Mapping("instruction with system", ("instruction", "output", "system"),
             fields=(("system", "system"), ("user", "instruction"), ("assistant", "output"))),
     Mapping("prompt", ("completion", "prompt"), fields=(("user", "prompt"), ("assistant", "completion"))),
@@ -80,7 +91,9 @@ def fingerprint(paths) -> str:
 
 
 def mapping_table(mappings=MAPPINGS) -> dict[str, Mapping]:
-    return {fingerprint(m.paths): m for m in mappings}
+    """Mappings by fingerprint, one for every choice of their optional paths."""
+    return {fingerprint((*m.paths, *more)): m for m in mappings
+            for n in range(len(m.optional) + 1) for more in combinations(m.optional, n)}
 
 
 def _at(value, path: str):
@@ -97,8 +110,10 @@ def canonical_turns(record: dict, how: Mapping) -> list[tuple[str, str]]:
     if how.turns:
         raw = [(_text(_at(t, how.role)), _text(_at(t, how.text))) for t in _at(record, how.turns) or []]
     else:
-        raw = [(role, _text(_at(record, path))) for role, path in how.fields]
-    return [(ROLES.get(role, role), text) for role, text in raw]
+        raw = [(role, "\n\n".join([_text(_at(record, first)), *filter(None, (_text(_at(record, p)) for p in more))]))
+               for role, first, *more in how.fields]
+    names = dict(how.roles)
+    return [(names.get(role, role), text) for role, text in raw]
 
 
 def escape(text: str) -> str:
@@ -158,12 +173,18 @@ def format_records(records: DataFrame, key: str, record: str, mappings=MAPPINGS)
     )).withColumnRenamed("key", key)
 
 
+def unmapped_layouts(formatted: DataFrame) -> DataFrame:
+    """``fingerprint, records``: layouts without a mapping, whose records have no turns (null: no JSON object)."""
+    return formatted.filter(F.col("mapping").isNull()).groupBy("fingerprint").agg(F.count("*").alias("records"))
+
+
 def conversation_records(turns: DataFrame) -> DataFrame:
     """``conv_id`` and one JSON record per conversation from rows of (conv_id, turn, role, text).
 
     Layouts follow the shape: a single question and answer, with or without a system turn, is
     written as prompt or instruction fields, others as one of three turn lists, picked by the
-    hash of the id. Equal turn numbers are ordered by role, then text; null turns come last.
+    hash of the id. A list with speakers renamed is only used where all roles have a name there.
+    Equal turn numbers are ordered by role, then text; null turns come last.
     """
     one = F.struct(F.col("turn").isNull().alias("n"), F.col("turn").alias("t"),
                    F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
@@ -173,6 +194,9 @@ def conversation_records(turns: DataFrame) -> DataFrame:
     pick = F.pmod(F.xxhash64("conv_id"), F.lit(3))
     as_list = lambda *names: F.transform("m", lambda x: F.struct(x["role"].alias(names[0]), x["text"].alias(names[1])))
     nested = F.transform("m", lambda x: F.struct(F.struct(x["role"].alias("role")).alias("speaker"), F.struct(x["text"].alias("text")).alias("utterance")))
+    known = F.forall("m", lambda x: x["role"].isin("system", "user", "assistant"))
+    named = F.transform("m", lambda x: F.struct(
+        F.when(x["role"] == "user", "human").when(x["role"] == "assistant", "gpt").otherwise(x["role"]).alias("from"), x["text"].alias("value")))
     js = lambda *fields: F.to_json(F.struct(*fields))
     is_roles = lambda *names: roles == F.array(*[F.lit(n) for n in names])
     record = (
@@ -181,7 +205,7 @@ def conversation_records(turns: DataFrame) -> DataFrame:
         .when(is_roles("user", "assistant"), js(F.struct(text(0).alias("text")).alias("prompt"), F.struct(text(1).alias("text")).alias("response")))
         .when(is_roles("system", "user", "assistant"), js(text(0).alias("system"), text(1).alias("instruction"), text(2).alias("output")))
         .when(pick == 0, js(as_list("role", "content").alias("messages")))
-        .when(pick == 1, js(as_list("from", "value").alias("conversations")))
+        .when((pick == 1) & known, js(named.alias("conversations")))
         .otherwise(js(F.struct(nested.alias("turns")).alias("data"))))
     return listed.select("conv_id", record.alias("record"))
 
@@ -201,13 +225,14 @@ def read_back(formatted: DataFrame, key: str = "conv_id") -> DataFrame:
 
     def run(batch: pd.DataFrame) -> pd.DataFrame:
         rows = []
-        for k, text, spans in zip(batch["key"], batch["formatted"], batch["loss_spans"], strict=True):
+        for text, spans in zip(batch["formatted"], batch["loss_spans"], strict=True):
             turns = read_turns(text)
             loss = "".join(unescape(text[s["start"]:s["end"]]) for s in spans)
             digest = hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode("utf-8", "surrogatepass")).hexdigest()
-            rows.append((k, len(turns), digest, len(loss),
+            rows.append((len(turns), digest, len(loss),
                          hashlib.sha256(loss.encode("utf-8", "surrogatepass")).hexdigest(), len(text)))
-        return pd.DataFrame(rows, columns=["key", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+        out = pd.DataFrame(rows, columns=["n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+        return out.assign(key=batch["key"].to_numpy())  # as it came: a null would make integers doubles
 
     kind = formatted.schema[key].dataType.simpleString()
     return map_frames(formatted.select(F.col(key).alias("key"), "formatted", "loss_spans"), run, (

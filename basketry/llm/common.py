@@ -6,8 +6,11 @@ import re
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ..session import scratch_folder, ship_package
 
@@ -27,17 +30,57 @@ def texts_of(docs: DataFrame, *more: str) -> DataFrame:
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *more)
 
 
-def map_frames(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    """``fn`` over small pandas batches, inside Spark's own partitions."""
+def map_stream(df: DataFrame, fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
+    """``fn`` over the small pandas frames of each partition.
+
+    Frames come and go through Arrow here, so that integers beside nulls stay integers: pandas would
+    make them doubles, which hold ids above 2**53 only roughly.
+    """
     ship_package(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    target = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in fn(batch.to_pandas(integer_object_nulls=True) for batch in batches if batch.num_rows):
+            if len(out):
+                yield from pa.Table.from_pandas(out, schema=target, preserve_index=False).combine_chunks().to_batches()
+
+    return df.mapInArrow(run, schema)
+
+
+def map_frames(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """``fn`` over small pandas frames, inside Spark's own partitions."""
+    return map_stream(df, lambda frames: map(fn, frames), schema)
+
+
+def map_texts(docs: DataFrame, fn: Callable[[list[str | None]], tuple[list[str | None], list[bool] | None]]) -> DataFrame:
+    """The documents with new texts; ``fn`` gives the texts and which rows stay (None: all).
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    All other columns go through as they are, whatever their types. ``n_chars``, where there is such
+    a column, is counted anew.
+    """
+    ship_package(docs.sparkSession)
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    rows = docs.withColumn("text", F.col("text").cast("string"))
+    place = rows.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if len(batch):
-                yield fn(batch)
+            texts, keep = fn(batch.column(place).to_pylist())
+            out = batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))
+            yield out if keep is None else out.filter(pa.array(keep, pa.bool_()))
+
+    out = rows.mapInArrow(run, rows.schema)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
+
 
-    return df.mapInPandas(run, schema)
+def fresh_name(wanted: str, taken: Sequence[str]) -> str:
+    """``wanted``, with as many underscores in front as keep it apart from the columns there are."""
+    while wanted.lower() in {c.lower() for c in taken}:
+        wanted = "_" + wanted
+    return wanted
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -34,8 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship_package
-from .common import BATCH_ROWS, texts_of
+from .common import map_stream, texts_of
 
 #: Where the public model lies on this box; a parameter of every function.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -409,7 +408,5 @@ def encode_documents(docs: DataFrame, model: str = MODEL) -> DataFrame:
         if held:
             yield finished(pd.concat(held, ignore_index=True))
 
-    ship_package(docs.sparkSession)
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return texts_of(docs).mapInPandas(run, (
+    return map_stream(texts_of(docs), run, (
         "doc_id long, n_pieces long, ids array<int>, text_sha256 string, decoded_sha256 string, round_trip boolean"))

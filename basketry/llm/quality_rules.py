@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, map_frames, texts_of
+from .common import WORD, map_frames, map_texts, texts_of
 
 # Fixed values of the base rule.
 MIN_WORDS = 50
@@ -142,25 +142,16 @@ def verdict() -> Column:
 def keep_documents(docs: DataFrame) -> DataFrame:
     """The documents that pass, in their own columns, with failing lines removed from ``text``.
 
-    All in one pass and without a shuffle: the judge sees whole rows. ``n_chars``, where there
-    is such a column, is counted anew.
+    All in one pass and without a shuffle; columns other than ``text`` and ``n_chars`` are not touched.
     """
-    names = docs.columns
-    row = docs.withColumn("text", F.coalesce(F.col("text"), F.lit("")))
-    fields = {f.name: f.dataType.simpleString() for f in row.schema.fields}
 
-    def run(batch: pd.DataFrame) -> pd.DataFrame:
+    def judged(texts: list[str | None]) -> tuple[list[str | None], list[bool] | None]:
         keep, cleaned = [], []
-        for text in batch["text"]:
-            n, _, _, _, repeated = base_counts(text)
-            new, lost = clean_lines(text)
+        for text in texts:
+            n, _, _, _, repeated = base_counts(text or "")
+            new, lost = clean_lines(text or "")
             keep.append(n >= MIN_WORDS and 100 * repeated <= MAX_REPEAT_PERCENT * n and 100 * lost <= MAX_LOST * n)
             cleaned.append(new)
-        out = batch.copy()
-        out["text"] = cleaned
-        return out[keep]
-
-    out = map_frames(row, run, ", ".join(f"`{n}` {fields[n]}" for n in names))
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*names)
+        return cleaned, keep
+
+    return map_texts(docs, judged)

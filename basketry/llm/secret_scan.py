@@ -10,11 +10,14 @@ Its symbols, as numbers of that alphabet, are tested for
 * the number of runs above and below the middle of the alphabet,
 * serial correlation at lag one,
 
-each giving a p-value under "random"; Stouffer's sum joins them. Ordinary words, paths and
-names fail, random keys do not. A candidate is dropped when Benjamini-Hochberg, run over all
-candidates of its length class, rejects its randomness at ``ALPHA``: at most that part of the
-dropped ones is expected to be real keys. Long tokens have the power to fail, so classes are
-kept apart, and the shortest class must in addition reach ``MIN_P_SHORT``.
+each giving a p-value under "random"; Stouffer's sum joins them. What a short token cannot disprove
+is not yet a finding, so a second null is tested: "made of language". Pairs of letters and digits are
+counted in all texts, the log-likelihood of a token's pairs under these counts is scaled by that of
+long ordinary words, and its lower tail is the p-value. Both are controlled per length class over all
+candidates by Benjamini-Hochberg: a candidate is a finding if language is rejected at ``DOUBT_ALPHA`` (at
+most that part of the findings is expected to be made of words), and is dropped if its randomness is
+rejected at ``ALPHA``. Long tokens have the power to fail, so classes are kept apart, and the shortest
+class must in addition reach ``MIN_P_SHORT``.
 
 Null texts are empty and have no spans. Positions are code points, ends exclusive. Repeated
 rows are scanned one by one. Length classes and bins of p-values have a fixed number, so what
@@ -26,12 +29,15 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections.abc import Iterator
+from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_frames, stage, texts_of, unstage
+from .common import map_frames, map_stream, map_texts, stage, texts_of, unstage
 
 # The base patterns and their least lengths.
 KINDS = ("assign", "access", "hex", "random")
@@ -51,10 +57,24 @@ SAFE = re.compile(r"[A-Za-z0-9_-]{16,}(?:=*$)?")
 MIN_SYMBOLS = 16
 #: Upper ends of the length classes but the last.
 CLASSES = (24, 40, 80)
-ALPHA = 0.05
+#: Part of the dropped ones that may be random, and part of the findings that may be language.
+ALPHA, DOUBT_ALPHA = 0.05, 0.01
 MIN_P_SHORT = 0.02
-#: p-values are counted in so many equal bins per length class.
+#: p-values of randomness are counted in so many equal bins per length class, those of language in
+#: steps of a factor down to the last.
 BINS = 10_000
+DOUBT_STEPS, DOUBT_BINS = 20, 600
+#: Symbols of the table of pairs: A-Z, a-z, 0-9, and one for all else.
+SYMBOLS, OTHER = 63, 62
+#: What pairs of letters are before any text is counted: some ordinary words, for tables of few.
+PRIOR = """The manual says how to find the keys that people leave in their notes by mistake. Most of what they write is made
+of plain words, names and numbers, with a date or a price here and there; some of it is a list of files, a piece of a program
+or an address. Only a few strings have no meaning for the reader, because a machine has drawn every one of their letters by
+chance, and these should be covered before anybody else can see or use them. Questions, figures, examples and jokes of 2019,
+quite as much as long quotations, must stay exactly as their author wished."""
+PRIOR_WEIGHT = 20
+#: Ordinary words that the score of language is scaled by.
+LONG_WORD = re.compile(r"(?<![A-Za-z0-9])[A-Za-z]{12,32}(?![A-Za-z0-9])")
 #: What a masked secret is replaced by.
 MARK = "[secret]"
 ALPHABETS = (
@@ -143,8 +163,96 @@ def length_class(n: int) -> int:
     return sum(n > c for c in CLASSES)
 
 
-def candidates(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str, int, float]]:
-    """``(start, end, encoding, length class, p)`` of tokens that meet no base span."""
+def _symbol_codes() -> np.ndarray:
+    codes = np.full(256, OTHER, dtype=np.int64)
+    for start, first, n in ((0, "A", 26), (26, "a", 26), (52, "0", 10)):
+        codes[ord(first):ord(first) + n] = np.arange(start, start + n)
+    return codes
+
+
+_CODES = _symbol_codes()
+
+
+def codes_of(text: str) -> np.ndarray:
+    return _CODES[np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)]
+
+
+def count_pairs(text: str) -> np.ndarray:
+    codes = codes_of(text)
+    return np.bincount(codes[:-1] * SYMBOLS + codes[1:], minlength=SYMBOLS * SYMBOLS)
+
+
+class Language:
+    """Log-likelihoods of pairs of letters and digits, from their counts in all texts."""
+
+    def __init__(self, counts: np.ndarray) -> None:
+        n = counts.reshape(SYMBOLS, SYMBOLS)[:OTHER, :OTHER].astype(float) + 0.5
+        self.cost = np.zeros((SYMBOLS, SYMBOLS))
+        self.cost[:OTHER, :OTHER] = np.log(n / n.sum(axis=1, keepdims=True))
+        share = n / n.sum()
+        self.mean = float((share * self.cost[:OTHER, :OTHER]).sum())
+        self.spread = math.sqrt(float((share * (self.cost[:OTHER, :OTHER] - self.mean) ** 2).sum())) or 1.0
+        # The scores of ordinary words, set once they have been seen.
+        self.middle, self.width = 0.0, 1.0
+
+    def score(self, token: str) -> float:
+        """Near 0 for words, far below it for what is not made of language."""
+        codes = codes_of(token)
+        left, right = codes[:-1], codes[1:]
+        inside = (left != OTHER) & (right != OTHER)
+        n = int(inside.sum())
+        if not n:
+            return 0.0
+        return (float(self.cost[left, right][inside].sum()) - n * self.mean) / (self.spread * math.sqrt(n))
+
+    def doubt(self, token: str) -> float:
+        """p-value of "made of language": how seldom words score so low."""
+        return upper_normal(-(self.score(token) - self.middle) / self.width)
+
+
+def learn_language(docs: DataFrame) -> Language:
+    """Two passes over all texts: counts of pairs, then the scores of long words under them.
+
+    Tokens long enough to be candidates do not count as language. At most ``SYMBOLS`` squared numbers
+    reach the driver, and three sums.
+    """
+
+    def pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(SYMBOLS * SYMBOLS, dtype=np.int64)
+        for frame in frames:
+            for text in frame["text"]:
+                total += count_pairs(TOKEN.sub(" ", text))
+        used = np.flatnonzero(total)
+        yield pd.DataFrame({"pair": used.astype(np.int32), "n": total[used]})
+
+    counts = count_pairs(PRIOR) * PRIOR_WEIGHT
+    for row in map_stream(texts_of(docs), pairs, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        counts[row["pair"]] += row["n"]
+    language = Language(counts)
+
+    def moments(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n, first, second = 0, 0.0, 0.0
+        for frame in frames:
+            for text in frame["text"]:
+                for word in LONG_WORD.findall(text):
+                    z = language.score(word)
+                    n, first, second = n + 1, first + z, second + z * z
+        yield pd.DataFrame({"n": [n], "first": [first], "second": [second]})
+
+    n, first, second = map_stream(texts_of(docs), moments, "n long, first double, second double").agg(
+        F.sum("n"), F.sum("first"), F.sum("second")).first()
+    if n:
+        language.middle = first / n
+        language.width = max(1.0, math.sqrt(max(0.0, second / n - language.middle ** 2)))
+    return language
+
+
+def doubt_bin(p: float) -> int:
+    return min(DOUBT_BINS, int(-math.log10(max(p, 1e-300)) * DOUBT_STEPS))
+
+
+def candidates(text: str, base: list[tuple[int, int, str]], language: Language) -> list[tuple[int, int, str, int, float, int]]:
+    """``(start, end, encoding, length class, p of random, bin of the p of language)`` of tokens that meet no base span."""
     out, i = [], 0
     for m in TOKEN.finditer(text):
         a, b = m.span()
@@ -153,9 +261,10 @@ def candidates(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, i
         if any(s[0] < b and s[1] > a for s in base[max(0, i - 4):] if s[0] < b):
             continue
         for x, y in parts(m[0]):
-            what = infer(m[0][x:y])
+            token = m[0][x:y]
+            what = infer(token)
             if what:
-                out.append((a + x, a + y, what[0], length_class(len(what[1])), battery(what[1], what[2])))
+                out.append((a + x, a + y, what[0], length_class(len(what[1])), battery(what[1], what[2]), doubt_bin(language.doubt(token))))
     return out
 
 
@@ -166,55 +275,75 @@ def parts(token: str) -> list[tuple[int, int]]:
     return sorted({m.span() for e in (PLAIN, SAFE) for m in e.finditer(token)})
 
 
-def examine(docs: DataFrame) -> DataFrame:
-    """One row per document: base spans and tested candidates, before the discovery control."""
+def examine(docs: DataFrame, language: Language) -> DataFrame:
+    """One row per document: base spans and tested candidates, before the control."""
 
     def run(batch: pd.DataFrame) -> pd.DataFrame:
         base, tested = [], []
         for text in batch["text"]:
             spans = base_spans(text)
             base.append([{"start": s, "end": e, "kind": k} for s, e, k in spans])
-            tested.append([{"start": s, "end": e, "encoding": c, "class": n, "p": p}
-                           for s, e, c, n, p in candidates(text, spans)])
+            tested.append([{"start": s, "end": e, "encoding": c, "class": n, "p": p, "doubt": d}
+                           for s, e, c, n, p, d in candidates(text, spans, language)])
         return pd.DataFrame({"doc_id": batch["doc_id"], "base": base, "tested": tested})
 
     return map_frames(texts_of(docs), run, (
         "doc_id long, base array<struct<start:int,end:int,kind:string>>, "
-        "tested array<struct<start:int,end:int,encoding:string,class:int,p:double>>"))
+        "tested array<struct<start:int,end:int,encoding:string,class:int,p:double,doubt:int>>"))
+
+
+@dataclass(frozen=True)
+class Control:
+    """Per length class: the p-value from which a candidate may be random, the bin from which it is no language."""
 
+    random: dict[int, float]
+    doubt: dict[int, int]
 
-def dropping_limits(examined: DataFrame) -> dict[int, float]:
-    """Per length class, the p-value up to which candidates are dropped (Benjamini-Hochberg).
+    def least(self, length: int) -> float:
+        return max(self.random.get(length, 0.0), MIN_P_SHORT if length == 0 else 0.0)
+
+    def first(self, length: int) -> int:
+        """A bin that no candidate has where no p-value of the class is small enough."""
+        return self.doubt.get(length, DOUBT_BINS + 1)
+
+    def finds(self, length: int, p: float, doubt: int) -> bool:
+        return p >= self.least(length) and doubt >= self.first(length)
+
+
+def control(examined: DataFrame) -> Control:
+    """Benjamini-Hochberg per length class, once for "random" and once for "made of language".
 
     Only counts per class and bin reach the driver: at most ``4 * BINS`` numbers.
     """
-    bins = examined.select(F.explode("tested").alias("t")).select(
-        F.col("t.class").alias("class"), F.least(F.lit(BINS - 1), F.floor(F.col("t.p") * BINS)).cast("int").alias("bin"))
-    counts = bins.groupBy("class", "bin").agg(F.count("*").alias("n"))
-    along = Window.partitionBy("class").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counts.select("class", "bin", F.sum("n").over(along).alias("rank"),
-                           F.sum("n").over(Window.partitionBy("class")).alias("all"))
-    passed = ranked.filter((F.col("bin") + 1) / BINS <= ALPHA * F.col("rank") / F.col("all"))
-    return {r["class"]: (r["bin"] + 1) / BINS for r in passed.groupBy("class").agg(F.max("bin").alias("bin")).collect()}
+    tested = examined.select(F.explode("tested").alias("t")).select("t.*")
 
+    def ranked(value: Column) -> DataFrame:
+        counts = tested.groupBy("class", value.alias("bin")).agg(F.count("*").alias("n"))
+        along = Window.partitionBy("class").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return counts.select("class", "bin", F.sum("n").over(along).alias("rank"), F.sum("n").over(Window.partitionBy("class")).alias("all"))
 
-def least(limits: dict[int, float], length: int) -> float:
-    """The p-value from which a candidate of a length class counts as random."""
-    return max(limits.get(length, 0.0), MIN_P_SHORT if length == 0 else 0.0)
+    even = ranked(F.least(F.lit(BINS - 1), F.floor(F.col("p") * BINS)).cast("int"))
+    passed = even.filter((F.col("bin") + 1) / BINS <= ALPHA * F.col("rank") / F.col("all"))
+    random = {r["class"]: (r["bin"] + 1) / BINS for r in passed.groupBy("class").agg(F.max("bin").alias("bin")).collect()}
+    # Bins of language count downwards from the smallest p-values.
+    low = ranked(-F.col("doubt"))
+    passed = low.filter(F.pow(F.lit(10.0), F.col("bin") / DOUBT_STEPS) <= DOUBT_ALPHA * F.col("rank") / F.col("all"))
+    doubt = {r["class"]: -r["bin"] for r in passed.groupBy("class").agg(F.max("bin").alias("bin")).collect()}
+    return Control(random, doubt)
 
 
 def find_secrets(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id`` and ``spans`` (start, end, kind) in order, base ones and added ones."""
-    examined = stage(examine(docs), "secret-tests")
-    limits = dropping_limits(examined)
+    examined = stage(examine(docs, learn_language(docs)), "secret-tests")
+    limits = control(examined)
 
     def random_spans(tested):
-        def stays(x):
-            bound = F.lit(least(limits, 0))
-            for c in range(1, len(CLASSES) + 1):
-                bound = F.when(x["class"] == c, F.lit(least(limits, c))).otherwise(bound)
-            return x["p"] >= bound
-        return F.transform(F.filter(tested, stays), lambda x: F.struct(
+        def finds(x):
+            found = F.lit(False)
+            for c in range(len(CLASSES) + 1):
+                found = found | ((x["class"] == c) & (x["p"] >= limits.least(c)) & (x["doubt"] >= limits.first(c)))
+            return found
+        return F.transform(F.filter(tested, finds), lambda x: F.struct(
             x["start"].alias("start"), x["end"].alias("end"), F.lit("random").alias("kind")))
 
     def order(s):
@@ -248,26 +377,20 @@ def mask_secrets(docs: DataFrame, mark: str = MARK) -> DataFrame:
     shuffled and repeated rows keep their own spans. ``n_chars``, where there is such a column,
     is counted anew.
     """
-    names = docs.columns
-    examined = stage(examine(docs), "secret-tests")
-    limits = dropping_limits(examined)
+    language = learn_language(docs)
+    examined = stage(examine(docs, language), "secret-tests")
+    limits = control(examined)
     unstage(examined)
-    fields = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
 
-    def run(batch: pd.DataFrame) -> pd.DataFrame:
-        out = batch.copy()
-        out["text"] = [None if t is None else masked(t, limits, mark) for t in batch["text"]]
-        return out
+    def hide(texts: list[str | None]) -> tuple[list[str | None], None]:
+        return [None if t is None else masked(t, limits, language, mark) for t in texts], None
 
-    out = map_frames(docs, run, ", ".join(f"`{n}` {fields[n]}" for n in names))
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*names)
+    return map_texts(docs, hide)
 
 
-def masked(text: str, limits: dict[int, float], mark: str = MARK) -> str:
+def masked(text: str, limits: Control, language: Language, mark: str = MARK) -> str:
     base = base_spans(text)
-    spans = [s[:2] for s in base] + [(a, b) for a, b, _, c, p in candidates(text, base) if p >= least(limits, c)]
+    spans = [s[:2] for s in base] + [(a, b) for a, b, _, c, p, d in candidates(text, base, language) if limits.finds(c, p, d)]
     parts, at = [], 0
     for start, end in sorted(spans):
         if start >= at:

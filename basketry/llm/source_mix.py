@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.ranking import running_by_bucket
-from .common import map_frames, stage, texts_of, words_of
+from .common import fresh_name, map_frames, stage, texts_of, words_of
 
 #: Fixed values of the mix: weights by the order of sources, repeated.
 WEIGHTS = (5, 2, 1)
@@ -177,18 +177,28 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     gives the text from the first to the last of them, with ``n_chars`` counted anew where
     there is such a column.
     """
-    pieces, _, _ = mix(docs, block)
+    pieces, sized, _ = mix(docs, block)
     runs = pieces.groupBy("doc_id", "source", "pass", "size").agg(
-        F.min("start").alias("_from"), F.max(F.col("start") + F.col("words")).alias("_to"))
-    runs = runs.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "pass", F.col("size").alias("_size"), "_from", "_to")
-    # Repeated rows of one id are one entry here: the row itself is repeated by the join.
-    joined = docs.join(runs, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")))
+        F.min("start").alias("start"), F.max(F.col("start") + F.col("words")).alias("stop"))
+    # Helper columns whose names no column of the table has.
+    ident, source, taken, several = (fresh_name(n, docs.columns) for n in ("_mix_id", "_mix_source", "_mix_taken", "_mix_several"))
+    none = F.lit(None).cast("long")
+    every = runs.select("doc_id", "source", "size", "start", "stop").unionByName(
+        sized.select("doc_id", "source", "size", none.alias("start"), none.alias("stop")))
+    listed = every.groupBy(F.col("doc_id").alias(ident), F.col("source").alias(source)).agg(
+        F.collect_list(F.when(F.col("start").isNotNull(), F.struct("size", "start", "stop"))).alias(taken),
+        (F.min("size") < F.max("size")).alias(several)).filter(F.size(taken) > 0)
+    joined = docs.join(listed, F.col("doc_id").eqNullSafe(F.col(ident)) & F.col("source").cast("string").eqNullSafe(F.col(source)))
     blank = r"[\x20\x09-\x0D]"
-    # Skip `_from` words, keep up to the end of word `_to`; only documents cut by the last block.
+    # Rows of one id that differ in size take their own runs; only for them words are counted again.
+    size = F.when(F.col(several), F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"))).otherwise(F.col(taken)[0]["size"])
+    joined = joined.withColumn(taken, F.explode(F.filter(taken, lambda t: t["size"] == size)))
+    run = F.col(taken)
+    # Skip `start` words, keep up to the end of word `stop`; only documents cut by the last block.
     part = F.regexp_extract(F.col("text"), f"(?s)^{blank}*(.*)$", 1)
     words = F.split(part, f"{blank}+")
-    cut = F.array_join(F.slice(words, F.col("_from") + 1, F.col("_to") - F.col("_from")), " ")
-    text = F.when((F.col("_from") == 0) & (F.col("_to") == F.col("_size")), F.col("text")).otherwise(cut)
+    cut = F.array_join(F.slice(words, (run["start"] + 1).cast("int"), (run["stop"] - run["start"]).cast("int")), " ")
+    text = F.when((run["start"] == 0) & (run["stop"] == run["size"]), F.col("text")).otherwise(cut)
     joined = joined.withColumn("text", text)
     if "n_chars" in docs.columns:
         joined = joined.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

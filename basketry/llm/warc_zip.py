@@ -33,8 +33,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_folder, ship_package
-from .common import BATCH_ROWS, stage
+from ..session import scratch_folder
+from .common import map_stream, stage
 
 MIN_SHARED = 100
 #: Bytes of archive after which a task starts a new package, and bytes of one range read.
@@ -207,33 +207,31 @@ def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def payload_decisions(pages: DataFrame) -> DataFrame:
-    """``page_id, refers_to`` of the revisits only."""
+    """``r_page, r_digest, refers_to`` of the revisits only; a page id with several payloads is told by their digests."""
     html = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     marks = pages.select(F.col("page_id").cast("long").alias("page_id"), F.sha2(html, 256).alias("digest"), F.length(html).alias("bytes"))
     marks = stage(marks.filter(F.col("bytes") >= MIN_SHARED).select("page_id", F.unhex("digest").alias("digest")), "warc-digests")
     groups = marks.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n"))
     groups = stage(groups.filter("n > 1 and refers_to is not null").select("digest", "refers_to"), "warc-groups")
     return marks.join(groups, "digest").filter(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select(
-        F.col("page_id").alias("r_page"), "refers_to").distinct()
+        F.col("page_id").alias("r_page"), F.col("digest").alias("r_digest"), "refers_to").distinct()
 
 
 def write_packages(pages: DataFrame, folder: str) -> DataFrame:
     """Write all pages as packages below ``folder`` (a URI); returns the manifest ``path, bytes, records``."""
-    spark = pages.sparkSession
-    ship_package(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"),
                         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
-    marked = rows.join(payload_decisions(pages), F.col("page_id").eqNullSafe(F.col("r_page")), "left").select(
-        "page_id", "url", "html", "refers_to")
+    rows = rows.withColumn("digest", F.sha2(F.col("html").cast("binary"), 256))
+    same = F.col("page_id").eqNullSafe(F.col("r_page")) & (F.unhex("digest") == F.col("r_digest"))
+    marked = rows.join(payload_decisions(pages), same, "left").select("page_id", "url", "html", "digest", "refers_to")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         package = None
         for batch in batches:
-            for page, url, html, refers in zip(batch["page_id"], batch["url"], batch["html"], batch["refers_to"], strict=True):
+            for page, url, html, digest, refers in zip(
+                    batch["page_id"], batch["url"], batch["html"], batch["digest"], batch["refers_to"], strict=True):
                 page, refers = (None if pd.isna(x) else int(x) for x in (page, refers))
                 payload = html.encode("utf-8", "surrogatepass")
-                digest = hashlib.sha256(payload).hexdigest()
                 raw = warc_record(page, url, payload if refers is None else None, digest, len(payload), refers)
                 if package is None:
                     path = f"{folder}/{uuid.uuid4().hex}.wacz"
@@ -251,7 +249,7 @@ def write_packages(pages: DataFrame, folder: str) -> DataFrame:
         if package is not None:
             yield _closed(package, out, path, lines)
 
-    return stage(marked.mapInPandas(run, "path string, bytes long, records long"), "warc-manifest")
+    return stage(map_stream(marked, run, "path string, bytes long, records long"), "warc-manifest")
 
 
 def _closed(package: PackageWriter, out, path: str, lines: list[bytes]) -> pd.DataFrame:
@@ -317,8 +315,8 @@ def read_packages(manifest: DataFrame) -> DataFrame:
                 yield out.astype({"page_id": "Int64", "payload_bytes": "Int64", "refers_to": "Int64"})
 
     width = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    listed = manifest.mapInPandas(ranges, "path string, offset long, lengths array<int>")
-    return listed.repartition(width).mapInPandas(records, (
+    listed = map_stream(manifest, ranges, "path string, offset long, lengths array<int>")
+    return map_stream(listed.repartition(width), records, (
         "page_id long, url string, record_type string, payload binary, payload_digest string, payload_bytes long, refers_to long"))
 
 
