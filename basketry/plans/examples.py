@@ -81,7 +81,23 @@ def kmeans_fit(spark, folder):
     """Archetypes of the basket vectors."""
     index = b.items(spark, folder)
     vectors = V.basket_vectors(b.lines(spark, folder, index), _vectors(spark, folder, index), DIM)
-    return K.kmeans_fit(vectors, 8, b.SEED, ident="basket").table(spark)
+    return K.kmeans_fit(vectors, K.ARCHETYPES, b.SEED, ident="basket").table(spark)
+
+
+_STEPS = """stepped as (select cluster, list(a order by dim) as centroid from (
+      select cluster, dim, avg(v) as a from (
+        select cluster, unnest(vec) as v, generate_subscripts(vec, 1) as dim from near) group by all) group by cluster),
+    closer as (select id, vec, arg_min(cluster, (d, cluster)) as cluster
+      from (select id, vec, cluster, list_distance(vec, centroid) as d from pts cross join stepped) group by all)"""
+
+
+@query("kmeans_two_steps", with_ctes("", f"""
+    select cluster, count(*) as size, (dim - 1)::int as dim, {r6('avg(v)')} as value
+    from (select cluster, unnest(vec) as v, generate_subscripts(vec, 1) as dim from closer) group by cluster, dim""", _CENTRES + ", " + _STEPS))
+def kmeans_two_steps(spark, folder):
+    """The first two steps of the fit from given centres."""
+    points = _points(spark, folder)
+    return _long(K.lloyd(points, K.label_centroids(points, "label", DIM), DIM, 2), "centroid", "cluster", "size")
 
 
 @query("target_distribution", with_ctes("lines", f"""

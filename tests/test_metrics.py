@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from basketry.operators import clustering as K
 from basketry.operators import evaluation as E
+from basketry.operators import isotonic as IS
 from basketry.operators import metrics as M
-from basketry.operators import models as MO
 from basketry.operators import scoring as SC
 from basketry.operators import vectors as V
 from basketry.operators.lookup import lookup
@@ -79,6 +79,30 @@ def test_kmeans_on_tight_clusters(spark):
     assert sorted(fit.sizes) == [30, 30, 30] and np.allclose(np.linalg.norm(fit.centroids, axis=1), 1)
     assert np.allclose(K.kmeans_fit(points, 3, "s").centroids, fit.centroids)
     assert len(K.kmeans_fit(points.limit(2), 5, "s").sizes) == 2
+    same = K.kmeans_fit(spark.createDataFrame([(i, [1.0, 0.0]) for i in range(9)], "id long, vec array<double>"), 4, "s")
+    assert sum(same.sizes) == 9 and len(same.sizes) == 4
+
+
+def test_seeding_and_loop_equal_plain_ones(spark):
+    """Seeds come from all clusters in a few passes, and the loop from given centres is that of numpy."""
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(20, 6)) * 4
+    x = np.vstack([c + rng.normal(0, 0.05, (15, 6)) for c in centres])
+    points = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vec array<double>")
+    seeds = K._seed_centroids(points, 20, "s", "id", "vec")
+    nearest = np.square(seeds[:, None] - centres[None]).sum(-1).argmin(1)
+    assert len(set(nearest.tolist())) >= 18
+    start = x[:5]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(start)], "cluster int, centroid array<double>")
+    got = {r["cluster"]: (r["size"], r["centroid"]) for r in K.lloyd(points, frame, 6, 3).collect()}
+    plain = start
+    for _ in range(3):
+        d = np.square(x[:, None] - plain[None]).sum(-1)
+        label = d.argmin(1)
+        far = x[np.sqrt(d.min(1)).argmax()]
+        plain = np.array([x[label == c].mean(0) if (label == c).any() else far for c in range(5)])
+    for c in range(5):
+        assert got[c][0] == (label == c).sum() and np.allclose(got[c][1], plain[c])
     with pytest.raises(ValueError):
         K.kmeans_fit(points.limit(0), 3)
 
@@ -216,7 +240,32 @@ def test_lookup_is_the_same_for_small_and_large_tables(spark):
         assert Counter(map(tuple, small.collect())) == Counter(map(tuple, large.collect())) and small.columns == large.columns
 
 
-def test_isotonic_is_monotone(spark):
-    df = spark.createDataFrame([(float(i), float(i % 3 != 0 or i > 6)) for i in range(12)], "score double, label double")
-    probs = [r["prob"] for r in MO.isotonic_breakpoints(df).orderBy("score").collect()]
-    assert probs == sorted(probs)
+def plain_isotonic(pairs):
+    """Max-min formula over all score ranges."""
+    by = {}
+    for x, y in pairs:
+        by.setdefault(x, []).append(y)
+    xs = sorted(by)
+    sums, counts = [sum(by[x]) for x in xs], [len(by[x]) for x in xs]
+    mean = lambda i, j: sum(sums[i:j + 1]) / sum(counts[i:j + 1])
+    return {x: max(min(mean(i, j) for j in range(at, len(xs))) for i in range(at + 1)) for at, x in enumerate(xs)}
+
+
+@pytest.mark.parametrize("shape,blocks", [("noise", 1 << 17), ("noise", 3), ("rising", 4), ("falling", 2), ("saw", 3), ("swallow", 2)])
+def test_isotonic_equals_the_max_min_formula(spark, monkeypatch, shape, blocks):
+    """Any size of ranges gives the plain fit, whether blocks pool within ranges, across them, or all in one."""
+    monkeypatch.setattr(IS, "RANGE_BLOCKS", blocks)
+    rng = random.Random(4)
+    n = 60
+    y = {"noise": lambda i: float(rng.random() < i / n), "rising": lambda i: i / n, "falling": lambda i: 1 - i / n,
+         "saw": lambda i: (i % 7) / 7, "swallow": lambda i: 1.0 if i < 3 else i / 1000}[shape]
+    pairs = [(float(i // (2 if shape == "noise" else 1)), y(i)) for i in range(n)]
+    df = spark.createDataFrame(pairs + [(None, 1.0), (1.0, None)], "score double, label double")
+    points = {r["score"]: r["prob"] for r in IS.isotonic_breakpoints(df).collect()}
+    fit = plain_isotonic(pairs)
+    assert all(abs(points[x] - fit[x]) < 1e-9 for x in points) and {min(fit), max(fit)} <= set(points)
+    held = sorted(points)
+    for x, f in fit.items():  # every other score lies in a step
+        left, right = max(h for h in held if h <= x), min(h for h in held if h >= x)
+        assert abs(points[left] - f) < 1e-9 and abs(points[right] - f) < 1e-9
+    assert IS.isotonic_breakpoints(df.limit(0)).collect() == []
