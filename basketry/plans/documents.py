@@ -60,6 +60,80 @@ def basket_json_roundtrip(spark, folder):
         "split", "player", "facet_key", F.col("c")[0].alias("item_idx"), F.col("c")[1].alias("qty"))
 
 
+@query("event_violations", """
+    with docs as (select c_custkey as k, c_mktsegment as segment from customer),
+    events as (select c_custkey as k, o_orderkey as o, row_number() over (partition by c_custkey order by o_orderkey) - 1 as i
+      from customer join orders on o_custkey = c_custkey),
+    cards as (select k, o, i, l_partkey, l_quantity, row_number() over (partition by o order by l_linenumber,
+        case when l_partkey % 50 = 0 then '' else l_partkey::varchar end, case when l_quantity >= 45 then 0 else l_quantity::int end) - 1 as n
+      from events join lineitem on l_orderkey = o),
+    found as (
+      select k, '' as path, unnest([case when k % 7 = 0 then 'datasetVersion is a version' end, case when k % 11 = 0 then 'schemaVersion is filled' end,
+        case when segment = 'BUILDING' then 'some sources' end, case when k % 17 = 0 then 'generatedAt is present' end]) as rule from docs
+      union all select k, 'tournaments[' || i || ']', unnest([case when o % 5 = 0 then 'sourceUrl is an address' end,
+        case when o % 13 = 0 then 'date is a day' end]) from events
+      union all select k, 'tournaments[' || i || '].decks[0]', unnest([case when o % 4 = 0 then 'placement is positive' end,
+        case when o % 6 = 0 then 'one or two inks' end, case when o % 6 = 0 then 'inks are known' end,
+        case when o not in (select l_orderkey from lineitem) then 'some cards' end]) from events
+      union all select k, 'tournaments[' || i || '].decks[0].deck.cards[' || n || ']', unnest([
+        case when l_partkey % 50 = 0 then 'cardId is filled' end, case when l_quantity >= 45 then 'count is positive' end]) from cards)
+    select 'c' || k as document, path, rule from found where rule is not null""")
+def event_violations(spark, folder):
+    """A document per customer, written and read as JSON, with faults at every level derived from its keys."""
+    from .. import schemas
+
+    order, customer = F.col("o_orderkey"), F.col("c_custkey")
+    cards = b.table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_list(F.struct(
+        "l_linenumber", F.when(F.col("l_partkey") % 50 == 0, "").otherwise(F.col("l_partkey").cast("string")).alias("cardId"),
+        F.when(F.col("l_quantity") >= 45, 0).otherwise(F.col("l_quantity").cast("int")).alias("count")))).alias("listed"))
+    lines = F.transform(F.coalesce("listed", F.array().cast(cards.schema["listed"].dataType)), lambda c: F.struct(c["cardId"].alias("cardId"), c["count"].alias("count")))
+    inks = F.when(order % 6 == 0, F.array(F.lit("Amber"), F.lit("Ruby"), F.lit("Teal"))).otherwise(F.array(F.lit("Steel")))
+    entry = F.struct(F.when(order % 4 == 0, 0).otherwise(1).alias("placement"), F.struct(inks.alias("inks"), lines.alias("cards")).alias("deck"))
+    event = F.struct(
+        order, F.when(order % 5 == 0, "nowhere").otherwise("https://example.org/").alias("sourceUrl"), F.lit("orders").alias("sourceName"),
+        F.lit("order").alias("name"), F.when(order % 13 == 0, "1996-1-1").otherwise("1996-01-01").alias("date"), F.array(entry).alias("decks"))
+    events = b.table(spark, folder, "orders").join(cards, "o_orderkey", "left").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.array_sort(F.collect_list(event)).alias("events"))
+    held = F.transform(F.coalesce("events", F.array().cast(events.schema["events"].dataType)), lambda e: e.dropFields("o_orderkey"))
+    docs = b.table(spark, folder, "customer").join(events, "c_custkey", "left").select(
+        F.when(customer % 7 == 0, "v1").otherwise("1.0.0").alias("datasetVersion"), F.when(customer % 11 == 0, "").otherwise("1").alias("schemaVersion"),
+        F.concat(F.lit("c"), customer).alias("cardSetVersion"), F.lit("tag").alias("cardsReleaseTag"),
+        F.when(customer % 17 != 0, "2026-01-01T00:00:00Z").alias("generatedAt"),
+        F.when(F.col("c_mktsegment") == "BUILDING", F.array().cast("array<string>")).otherwise(F.array(F.lit("orders"))).alias("sources"),
+        held.alias("tournaments"))
+    target = scratch_folder(spark, "faulty-events")
+    docs.write.json(target)
+    read = spark.read.schema(schemas.EVENTS).json(target)
+    return R.event_violations(read.withColumnRenamed("cardSetVersion", "document").withColumn("cardSetVersion", F.col("document")), ["document"])
+
+
+@query("catalogue_violations", """
+    with listed as (select p_brand, p_size, p_retailprice, row_number() over (partition by p_brand order by p_partkey) - 1 as i from part),
+    found as (
+      select p_brand, '' as path, unnest([case when p_brand = 'Brand#9' then 'cardSetVersion is filled' end,
+        case when p_brand in ('Brand#9', 'Brand#10') then 'fetchedAt is present' end]) as rule from (select distinct p_brand from part)
+      union all select p_brand, 'cards[' || i || ']', unnest([case when p_size > 20 then 'cost is in range' end,
+        case when p_size % 7 = 0 then 'some type' end]) from listed)
+    select p_brand as document, path, rule from found where rule is not null""")
+def catalogue_violations(spark, folder):
+    """A catalogue document per brand, with faults in its head and its variants."""
+    kinds = F.when(F.col("p_size") % 7 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("Item")))
+    null = lambda kind: F.lit(None).cast(kind)
+    card = F.struct(
+        F.col("p_partkey"), F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("name"), F.col("p_type").alias("version"),
+        F.lit("1").alias("setCode"), null("string").alias("setName"), F.col("p_partkey").cast("int").alias("cardNumber"),
+        null("string").alias("collectorNumber"), F.col("p_size").alias("cost"), F.lit(True).alias("inkwell"), F.array(F.lit("Amber")).alias("inks"),
+        kinds.alias("types"), F.split("p_name", " ").alias("classifications"), F.array().cast("array<string>").alias("keywords"), F.lit("").alias("text"),
+        null("string").alias("flavor"), F.lit("https://example.org/x").alias("imageUrl"), null("string").alias("rarity"),
+        F.array().cast("array<string>").alias("illustrators"), null("string").alias("releasedAt"), null("int").alias("tcgplayerId"),
+        F.lit("legal").alias("legality"), *[null("int").alias(c) for c in ("lore", "strength", "willpower", "moveCost")])
+    docs = b.table(spark, folder, "part").groupBy(F.col("p_brand").alias("document")).agg(F.array_sort(F.collect_list(card)).alias("listed"))
+    return R.catalogue_violations(docs.select(
+        "document", F.when(F.col("document") == "Brand#9", "").otherwise("1").alias("cardSetVersion"),
+        F.when(~F.col("document").isin("Brand#9", "Brand#10"), F.current_timestamp()).alias("fetchedAt"),
+        F.transform("listed", lambda c: c.dropFields("p_partkey")).alias("cards")), ["document"])
+
+
 @query("constraint_violations", """
     select p_partkey as id, rule from (
       select p_partkey, unnest([case when p_size > 20 then 'cost is in range' end,

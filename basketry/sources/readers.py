@@ -56,6 +56,54 @@ def violations(rows: DataFrame, rules: dict[str, Column], keys: Sequence[str]) -
     return rows.select(*keys, F.explode(F.filter(broken, lambda r: r.isNotNull())).alias("rule"))
 
 
+def _broken(rules: dict[str, Column], path: Column) -> Column:
+    """Array of ``(path, rule)`` of the broken rules; a predicate that is null counts as broken."""
+    found = F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.struct(path.alias("path"), F.lit(name).alias("rule"))) for name, ok in rules.items()])
+    return F.filter(found, lambda r: r.isNotNull())
+
+
+def _below(list_: Column, kind: Column, found) -> Column:
+    """The findings of all elements of a list; a null list has none."""
+    return F.flatten(F.transform(F.coalesce(list_, F.array().cast(kind)), found))
+
+
+def event_violations(docs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``(keys, path, rule)`` of event documents: head, tournaments, decks and lines in one pass over nested rows.
+
+    A path is that of the document: empty for the head, else like ``tournaments[2].decks[0].deck.cards[5]``.
+    """
+    events, decks = schemas.EVENTS["tournaments"].dataType, schemas.TOURNAMENT["decks"].dataType
+    lines = schemas.DECK["cards"].dataType
+
+    def step(path: Column, name: str, i: Column) -> Column:
+        return F.concat(path, F.lit(f"{name}["), i.cast("string"), F.lit("]"))
+
+    def of_deck(path):
+        def found(entry, j):
+            deck = lambda n: entry[n] if n in ("placement", "player") else entry["deck"][n]
+            here = step(path, ".decks", j)
+            return F.concat(_broken(schemas.deck_rules(deck), here), _below(entry["deck"]["cards"], lines, lambda card, k: _broken(
+                schemas.line_rules(lambda n: card[n]), step(here, ".deck.cards", k))))
+        return found
+
+    def of_event(event, i):
+        here = step(F.lit(""), "tournaments", i)
+        return F.concat(_broken(schemas.event_rules(lambda n: event[n]), here), _below(event["decks"], decks, of_deck(here)))
+
+    found = F.concat(_broken(schemas.dataset_rules(), F.lit("")), _below(F.col("tournaments"), events, of_event))
+    return docs.select(*keys, F.explode(found).alias("v")).select(*keys, "v.path", "v.rule")
+
+
+def catalogue_violations(docs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``(keys, path, rule)`` of catalogue documents: head and variants (``cards[3]``)."""
+
+    def of_card(card, i):
+        return _broken(schemas.variant_rules(lambda n: card[n]), F.concat(F.lit("cards["), i.cast("string"), F.lit("]")))
+
+    found = F.concat(_broken(schemas.catalogue_rules(), F.lit("")), _below(F.col("cards"), schemas.CATALOGUE["cards"].dataType, of_card))
+    return docs.select(*keys, F.explode(found).alias("v")).select(*keys, "v.path", "v.rule")
+
+
 def require_valid(found: DataFrame, sample: int = 20) -> None:
     """Reject the input as a whole when any rule is broken."""
     rows = found.limit(sample).collect()
