@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import u32
-from ..session import ship_package
+from ..session import cut_lineage, ship_package
 from .names import find_names, write_names
 
 # Release gates (metric, kind, low, high), those of style bands in the balanced
@@ -254,3 +254,16 @@ def style_report(picks: DataFrame, order: Sequence[str]) -> DataFrame:
     high = F.greatest(F.lag("novelty").over(w), F.lead("novelty").over(w))
     middle = (F.lag("novelty").over(w).isNotNull()) & (F.lead("novelty").over(w).isNotNull())
     return means.withColumn("between", F.when(middle, (F.col("novelty") >= low) & (F.col("novelty") <= high)))
+
+
+def interpolatable(report: DataFrame) -> DataFrame:
+    """One row: do all mid-points of a ``style_report`` lie between their neighbours? The ends have no say."""
+    return report.filter(F.col("between").isNotNull()).agg(F.coalesce(F.bool_and("between"), F.lit(True)).alias("interpolatable"))
+
+
+def type_mix_passes(sample: DataFrame, corpus: DataFrame, kind: str = "facet", level: float = 0.05) -> DataFrame:
+    """``chi2, dof, passes``: is the sample's mix of types one that the corpus gives by chance (p above ``level``)?"""
+    found = cut_lineage(type_chi2(sample, corpus, kind))
+    row = found.first()
+    p = 1.0 if row["chi2"] is None or row["dof"] < 1 else chi2_tail(row["chi2"], row["dof"])
+    return found.withColumn("passes", F.lit(p > level))

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.hashing import u32
+from .ranking import rank_by_hash
+
 from .ranking import running_by_range
 
 # Label of unscored positions, smallest improvement, patience.
@@ -89,6 +92,24 @@ def cell_mse(rows: DataFrame, value: str = "value", predicted: str = "predicted"
     return rows.agg(F.avg(d * d).alias("mse"))
 
 
+def combined_loss(mlm: DataFrame, mse: DataFrame, weight: float) -> DataFrame:
+    """One row ``mlm, mse, total`` with total = mlm + weight * mse, from the two one-row losses."""
+    return mlm.select("mlm").withColumn("mse", mse.select("mse").scalar()).withColumn("total", F.col("mlm") + weight * F.col("mse"))
+
+
+def balanced_mix(scored: DataFrame, kind: str, key: str, seed, label: str = "label") -> DataFrame:
+    """All positives, and of every kind of negatives the same number: the smallest there is, drawn by hash.
+
+    Kinds are counted first; a rank in hash order, made in pieces, picks each kind's quota, so a kind
+    that holds most rows is not gathered anywhere. Null is a kind too.
+    """
+    negatives = scored.filter(F.col(label) <= 0.5).withColumn("_h", u32(seed, "balance", F.col(key)))
+    quota = negatives.groupBy(kind).agg(F.count("*").alias("n")).agg(F.min("n")).first()[0] or 0
+    named = negatives.withColumn("_kind", F.coalesce(F.concat(F.lit("k"), F.col(kind).cast("string")), F.lit("n")))
+    drawn = rank_by_hash(named, ["_kind"], "_h", [key], "_rank").filter(F.col("_rank") <= quota)
+    return scored.filter(F.col(label) > 0.5).unionByName(drawn.select(*scored.columns))
+
+
 def early_stop(history: DataFrame, run: str = "run", epoch: str = "epoch", metric: str = "metric",
                min_delta: float = MIN_DELTA, patience: int = PATIENCE) -> DataFrame:
     """``(run, best_epoch, best_value, epochs_run)``; best epoch -1 if nothing improves.

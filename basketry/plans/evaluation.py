@@ -79,6 +79,21 @@ def type_chi2(spark, folder):
     return E.type_chi2(_with(sample, index, facet), _with(train, index, facet)).withColumn("chi2", round6(F.col("chi2")))
 
 
+# Upper 5 % point of chi-square with five degrees: six types.
+_CRITICAL = 11.070497693516351
+
+
+@query("type_mix", with_ctes("lines split items", f"""
+    select {r6('chi2')} as chi2, dof, chi2 < {_CRITICAL} as passes from (select sum((s - e) ** 2 / e) as chi2, count(*) - 1 as dof from (
+      select coalesce(s, 0) as s, sum(coalesce(s, 0)) over () * c / sum(c) over () as e
+      from (select facet, sum(qty) as c from train join items using (item_idx) group by facet)
+      left join (select facet, sum(qty) as s from sample join items using (item_idx) group by facet) using (facet)))""", _SETS))
+def type_mix(spark, folder):
+    index, _, _, sample, train = _sets(spark, folder)
+    facet = F.col("version").alias("facet")
+    return E.type_mix_passes(_with(sample, index, facet), _with(train, index, facet)).withColumn("chi2", round6(F.col("chi2")))
+
+
 _SHARE = "sum(case when flag then qty else 0 end) / sum(qty)"
 
 
@@ -362,24 +377,35 @@ def archetype_topk(spark, folder):
         "basket", "position", "item_idx", round6(F.col("score")).alias("score"), round6(F.col("novelty")).alias("novelty"))
 
 
-# Slider stops with their (alpha, gamma, lambda); the quarter points are means of neighbours.
-STYLES = (("safe", 2.0, 0.0, 2.0), ("safe_balanced", 1.5, 1.0, 1.5), ("balanced", 1.0, 2.0, 1.0),
-          ("balanced_brew", 0.75, 4.0, 0.5), ("brew", 0.5, 6.0, 0.0))
-
-
-@query("style_interpolation", with_ctes(_PRIOR_NEEDS, """
+# Slider stops with their (alpha, gamma, lambda); between them lie the means of neighbours.
+STOPS = (SC.Preset("safe", 2.0, 0.0, 2.0), SC.Preset("balanced", 1.0, 2.0, 1.0), SC.Preset("brew", 0.5, 6.0, 0.0))
+STYLES = tuple((p.name, p.alpha, p.gamma, p.lam) for p in SC.with_midpoints(STOPS))
+_STYLED = """
     , picks as (select basket, """ + ", ".join(
         f"arg_max(dist, logit + {a} / (1 + exp(-cos)) + {g} * dist - {m} * meta) as {n}" for n, a, g, m in STYLES) + """
       from open group by basket),
     s as (select preset, avg(d) as novelty, any_value(no) as no from (
-      """ + " union all ".join(f"select '{n}' as preset, {i} as no, {n} as d from picks" for i, (n, *_) in enumerate(STYLES)) + f""") group by preset)
-    select preset, {r6('novelty')} as novelty, case when lag(novelty) over w is not null and lead(novelty) over w is not null then
+      """ + " union all ".join(f"select '{n}' as preset, {i} as no, {n} as d from picks" for i, (n, *_) in enumerate(STYLES)) + f""") group by preset),
+    styled as (select preset, {r6('novelty')} as novelty, case when lag(novelty) over w is not null and lead(novelty) over w is not null then
       novelty between least(lag(novelty) over w, lead(novelty) over w) and greatest(lag(novelty) over w, lead(novelty) over w) end as between_neighbours
-    from s window w as (order by no)""", _POOLED + ", " + _PRIORS))
-def style_interpolation(spark, folder):
+    from s window w as (order by no))"""
+
+
+def _styles(spark, folder):
     picks = _top(spark, folder, SC.Scorer(presets=tuple(SC.Preset(*s) for s in STYLES)), 1)
-    return E.style_report(picks, [s[0] for s in STYLES]).select(
-        "preset", round6(F.col("novelty")).alias("novelty"), F.col("between").alias("between_neighbours"))
+    return E.style_report(picks, [s[0] for s in STYLES])
+
+
+@query("style_interpolation", with_ctes(_PRIOR_NEEDS, _STYLED + " select * from styled", _POOLED + ", " + _PRIORS))
+def style_interpolation(spark, folder):
+    return _styles(spark, folder).select("preset", round6(F.col("novelty")).alias("novelty"), F.col("between").alias("between_neighbours"))
+
+
+@query("styles_interpolatable", with_ctes(
+    _PRIOR_NEEDS, _STYLED + " select bool_and(between_neighbours) as interpolatable from styled where between_neighbours is not null", _POOLED + ", " + _PRIORS))
+def styles_interpolatable(spark, folder):
+    """May the slider be moved freely between its stops?"""
+    return E.interpolatable(_styles(spark, folder))
 
 
 def _training_pairs(spark, folder, phases):

@@ -226,16 +226,34 @@ def mask_blocks_dropped(spark, folder):
     return _blocks(spark, folder).select("item_idx", F.explode("dropped").alias("block"))
 
 
-@query("mask_blocks_mse", with_ctes("items", f"""
+_MSE = f"""
     select {r6('sum(lost) / (count(distinct i.item_idx) * any_value(27 + n))')} as mse
     from (select item_idx from items union all select 0) i, (select count(distinct c) as n from (select unnest(classes) as c from items))
     left join (select item_idx, sum(case block when 'classes' then list_unique(classes)
         when 'scalars' then (number / tn) ** 2 + (price / tp) ** 2 + flag::int else 1 end) as lost
       from items cross join (values {_DROP}) v(block)
       cross join (select greatest(max(number), 1) as tn, greatest(max(price), 1) as tp from items)
-      where {u32_sql("'m'", 'item_idx', 'block')} / 4294967296.0::double < 0.3 group by item_idx) l on l.item_idx = i.item_idx"""))
+      where {u32_sql("'m'", 'item_idx', 'block')} / 4294967296.0::double < 0.3 group by item_idx) l on l.item_idx = i.item_idx"""
+
+
+@query("mask_blocks_mse", with_ctes("items", _MSE))
 def mask_blocks_mse(spark, folder):
     """Squared error of predicting the masked row itself."""
     cells = _blocks(spark, folder).select("item_idx", F.posexplode(F.arrays_zip("features", "masked")).alias("dim", "z"))
     return M.cell_mse(cells.select(F.col("z.features").alias("value"), F.col("z.masked").alias("predicted"))).select(
         round6(F.col("mse")).alias("mse"))
+
+
+STRUCT_WEIGHT = 0.5
+
+
+@query("pretrain_loss", with_ctes("items", f"""
+    , token_loss as (select {_LOSS} as mlm from masked where label <> -100), block_loss as ({_MSE})
+    select {r6('mlm')} as mlm, mse, {r6(f'mlm + {STRUCT_WEIGHT} * mse')} as total from token_loss, block_loss""", _IDS))
+def pretrain_loss(spark, folder):
+    """Token loss and block error of the same pretend models, combined."""
+    from ..functions.hashing import U32, u32
+
+    loss = -F.log((u32("p", F.col("doc_id"), F.col("pos")) + 1) / F.lit(float(U32)))
+    both = M.combined_loss(M.masked_loss(_masked(spark, folder).withColumn("loss", loss)), mask_blocks_mse(spark, folder), STRUCT_WEIGHT)
+    return both.select(*[round6(F.col(c)).alias(c) for c in ("mlm", "mse", "total")])
