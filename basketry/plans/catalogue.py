@@ -207,6 +207,25 @@ def feature_rows(spark, folder):
     ).withColumn("value", round6(F.col("value")))
 
 
+@query("feature_sink", with_ctes("items", """
+    select i.item_idx, g.dim::int as dim, coalesce(o.value, 0.0) as value
+    from (select item_idx from items union all select 0) i, n, generate_series(0, 26 + n) g(dim)
+    left join ones o on o.item_idx = i.item_idx and o.dim = g.dim""", _FEATURES))
+def feature_sink(spark, folder):
+    """Feature rows and layout written, read back and checked."""
+    from ..functions.vectors import round6
+    from ..session import scratch_folder
+    from ..sources import artifacts as A
+
+    index = b.items(spark, folder)
+    spec = item_spec(index)
+    layout = spark.createDataFrame([(n, int(o), int(k)) for n, o, k in spec.blocks()], "block string, offset int, length int")
+    target = scratch_folder(spark, "features")
+    A.write_features(L.feature_rows(index, spec), layout, target)
+    rows, _ = A.read_features(spark, target)
+    return rows.select("item_idx", F.posexplode("features").alias("dim", "value")).withColumn("value", round6(F.col("value")))
+
+
 @query("inverted_index", with_ctes("items", "select lower(facet) as facet, bucket, item_idx from items"))
 def inverted_index(spark, folder):
     return L.inverted_index(b.items(spark, folder), bucket="bucket")

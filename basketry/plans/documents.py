@@ -180,8 +180,24 @@ def frequency_documents(spark, folder):
 @query("embedding_shape", """
     select count(*) as rows, min(len(embedding)) as narrowest, max(len(embedding)) as widest from embeddings""")
 def embedding_shape(spark, folder):
-    vectors = b.table(spark, folder, "embeddings").select(F.size("embedding").alias("n"))
-    return vectors.agg(F.count("*").alias("rows"), F.min("n").alias("narrowest"), F.max("n").alias("widest"))
+    """The embedding source read and checked: one vector per item plus padding, one width."""
+    vectors = A.read_embeddings(spark, f"{folder}/embeddings.parquet", ("embedding",), "vec_id")
+    n = vectors.count()
+    width = A.require_shape(vectors, n - 1)
+    return spark.createDataFrame([(n, width, width)], "rows long, narrowest int, widest int")
+
+
+@query("vocabulary_sink", with_ctes("item_map", "select id, item_idx, 'v1' as catalogue_version, name, version from item_map join items using (item_idx)"))
+def vocabulary_sink(spark, folder):
+    """The vocabulary written and read back: variants with the item they stand for."""
+    from ..operators import catalog as C
+    from .catalogue import SIGNATURE
+
+    index = b.items(spark, folder)
+    target = scratch_folder(spark, "vocabulary")
+    A.write_vocabulary(index, b.item_map(spark, folder, index), C.dedup_report(b.variants(spark, folder), C.signature(SIGNATURE)), target, "v1")
+    items = spark.read.json(f"{target}/vocabulary").select("item_idx", "name", "version")
+    return spark.read.json(f"{target}/variants").join(items, "item_idx").select("id", "item_idx", "catalogue_version", "name", "version")
 
 
 def _sunk(spark, folder, dtype):
