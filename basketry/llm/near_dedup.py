@@ -15,7 +15,7 @@
    a fifth of a small set) but with probability 1e-7. Those that are not told by two short lists
    share all but one of these in long lists, and so one of the rarest long values of both; every
    text with that many long values takes part, however many own values it has. Lists of those values, cut by classes of size, are dealt into blocks, and every
-   block meets every other with its full sets: all pairs of different components that share enough
+   block meets every other with its full sets, once texts are gone of whose shingles too few occur in any other: all pairs of different components that share enough
    of the index are verified there. So are, by themselves, the pairs that step 4 left. Lists within one component are skipped; others cost the square of
    their length, spread over blocks.
 6. Components come from repeated contraction; nothing is collected.
@@ -29,9 +29,11 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -218,6 +220,61 @@ def _linked_in_cell(value: int, cell: int, low: pd.DataFrame, high: pd.DataFrame
     return out[out["a"] != out["b"]]
 
 
+def _open_lists(cells: DataFrame) -> DataFrame:
+    """``value, cell, length``; a cell within one component, or without texts of its own class, has nothing to tell."""
+    lists = cells.groupBy("value", "cell").agg(
+        F.count("*").alias("length"), F.min("at").alias("low"), F.max("at").alias("high"), F.max("class").alias("top"))
+    return lists.filter("low <> high and top = cell").select("value", "cell", "length")
+
+
+def _with_company(live: DataFrame, sets: DataFrame) -> DataFrame:
+    """``doc, n`` of the texts whose full sets have enough in common with all others of ``live``.
+
+    A near copy has ``PERCENT`` of a text's shingles, so a text of which fewer occur in any other has
+    none. This leaves out, exactly, what only shares a passage or comes from a group by many changes.
+    """
+    packed = sets.select(F.col("doc_id").alias("doc"), (F.length("packed") / 8).cast("long").alias("n"), "packed").distinct()
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(0, batch.num_rows, 64):
+                part = batch.slice(row, 64)
+                n = part.column(1).to_numpy()
+                values = np.frombuffer(b"".join(part.column(2).to_pylist()), dtype=np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(part.column(0).to_numpy(), n)), pa.array(np.repeat(n, n)), pa.array(values)], ["doc", "n", "value"])
+
+    held = stage(live.join(packed, ["doc", "n"]).select("doc", "n", "packed").mapInArrow(unpack, "doc long, n long, value long"), "near-values")
+    met = held.groupBy("value").agg(F.count("*").alias("texts")).filter("texts > 1").select("value")
+    counts = held.join(met.hint("merge"), "value", "left_semi").groupBy("doc", "n").agg(F.count("*").alias("shared"))
+    told = stage(counts.filter(F.col("shared") * 100 >= F.col("n") * PERCENT).select("doc", "n"), "near-told")
+    unstage(held)
+    return told
+
+
+def _by_family(cells: DataFrame, placed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Cells and places with one list per family of texts in place of its lists, where that is less to compare.
+
+    Texts that share a list, directly or over others, are a family. The texts of a large group share
+    nearly all their lists, so they would meet in each of them; as a family they meet once.
+    """
+    cells = stage(cells, "near-open")
+    family = components(cells.select(F.col("doc").alias("a"), F.col("value").alias("b"))).select(
+        F.col("node").alias("doc"), F.col("component").alias("family"))
+    cells = stage(cells.join(family, "doc"), "near-family-cells")
+    once = cells.select("family", "doc", "n", "at", "class", "cell").distinct()
+    apart = cells.groupBy("family", "value", "cell").count().groupBy("family").agg(F.sum(F.col("count") * F.col("count")).alias("apart"))
+    whole = once.groupBy("family", "cell").count().groupBy("family").agg(F.sum(F.col("count") * F.col("count")).alias("whole"))
+    joint = stage(apart.join(whole, "family").filter("whole <= apart").select("family", F.lit(True).alias("joint")), "near-joint")
+    names = ("doc", "n", "at", "value", "class", "cell")
+    kept = cells.join(joint, "family", "left_anti").select(*names)
+    met = once.join(joint, "family", "left_semi").withColumn("value", F.col("family")).select(*names)
+    told = once.join(joint, "family", "left_semi").select("doc", "n", "family").distinct()
+    places = placed.join(told, ["doc", "n"], "left").withColumn(
+        "rare", F.when(F.col("family").isNotNull(), F.array("family")).otherwise(F.col("rare"))).drop("family")
+    return stage(kept.unionByName(met), "near-cells"), stage(places, "near-placed")
+
+
 def block_links(common: DataFrame, joined: DataFrame, sets: DataFrame) -> DataFrame:
     """``a, b`` of all near copies of ``common`` that lie in different components of ``node, component``.
 
@@ -235,10 +292,10 @@ def block_links(common: DataFrame, joined: DataFrame, sets: DataFrame) -> DataFr
     cells = placed.select("doc", "n", "at", F.explode("rare").alias("value"), "class").withColumn(
         "cell", F.explode(F.array(F.col("class"), F.col("class") + 1)))
     cells = stage(cells, "near-cells")
-    lists = cells.groupBy("value", "cell").agg(
-        F.count("*").alias("length"), F.min("at").alias("low"), F.max("at").alias("high"), F.max("class").alias("top"))
-    # A cell within one component, or without texts of its own class, has nothing to tell.
-    lists = lists.filter("low <> high and top = cell").select("value", "cell", F.ceil(F.col("length") / BLOCK).cast("int").alias("blocks"))
+    live = stage(cells.join(_open_lists(cells), ["value", "cell"], "left_semi").select("doc", "n").distinct(), "near-live")
+    cells = stage(cells.join(_with_company(live, sets), ["doc", "n"], "left_semi"), "near-cells")
+    cells, placed = _by_family(cells.join(_open_lists(cells).select("value", "cell"), ["value", "cell"]), placed)
+    lists = _open_lists(cells).select("value", "cell", F.ceil(F.col("length") / BLOCK).cast("int").alias("blocks"))
     dealt = cells.join(lists, ["value", "cell"]).withColumn("block", F.pmod(F.xxhash64("doc", "n"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("value", "cell", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "doc", "n")
