@@ -1,5 +1,6 @@
 import itertools
 import math
+import re
 import random
 from collections import Counter
 
@@ -71,6 +72,16 @@ def test_basket_vectors_and_pool(spark):
     assert pool[1]["pool_mean"] == [0.75, 0.25] and pool[1]["pool_max"] == [1.0, 1.0] and pool[2]["pool_max"] == [0.0, 0.0]
 
 
+def test_vectors_are_not_shuffled(spark):
+    """Lines come together by basket before they get their vector, whose sums then need no exchange."""
+    lines = spark.createDataFrame([(i % 9, i % 5, 1) for i in range(99)], "basket long, item_idx long, qty long")
+    vectors = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(5)], "item_idx long, vec array<double>")
+    for pooled in (V.basket_vectors(lines, vectors, 2), V.mean_max_pool(lines, vectors, 2)):
+        plan = pooled._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"Exchange hashpartitioning[^\n]*\n[^\n]*(HashAggregate|Project)[^\n]*(sum|vec)", plan), plan
+        assert pooled.count() == 9
+
+
 def test_kmeans_on_tight_clusters(spark):
     rng = np.random.default_rng(0)
     rows = [(i, (np.eye(4)[i % 3] + rng.normal(0, 0.01, 4)).tolist()) for i in range(90)]
