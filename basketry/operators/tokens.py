@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import heapq
 from collections import defaultdict
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +36,8 @@ WINDOW_PAIRS, LEVEL_PAIRS, WINDOW_FRAGMENTS = 4096, 65536, 50_000
 # Words of up to so many symbols are merged by rescanning, longer ones by a heap.
 SCANNED = 32
 NEVER = 1 << 62
+# Rows of an Arrow batch that are Python objects at a time.
+SLICE_ROWS = 200
 
 
 def reserved_tokens(items: DataFrame, name: str = "name", classes: str = "classes",
@@ -391,32 +394,37 @@ class Vocabulary:
             F.col("ident").cast("int").alias("token_id"), F.col("name").alias("symbol"), F.lit("reserved").alias("kind")))
 
 
+def by_slices(batches: Iterator[pa.Array], fn: Callable[[list], list], kind: pa.DataType) -> Iterator[pa.Array]:
+    """``fn`` over a few rows at a time: a batch stays Arrow, whose values take far less room than Python's."""
+    for batch in batches:
+        parts = [pa.array(fn(batch.slice(at, SLICE_ROWS).to_pylist()), kind) for at in range(0, len(batch), SLICE_ROWS)]
+        yield pa.concat_arrays(parts) if parts else pa.array([], kind)
+
+
 def _encode_udf(vocabulary: Vocabulary, cache_size: int = 1 << 16):
     ranks: dict[tuple[str, str], int] = {}
     for no, pair in enumerate(vocabulary.merges):
         ranks.setdefault(pair, no)
     ids = vocabulary.ids()
 
-    @F.pandas_udf("array<int>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<int>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         cache: dict[str, list[int]] = {}
         held = vocabulary.held()
-        for series in batches:
-            out = []
-            for words in series:
-                row: list[int] = []
-                for w in words:
-                    if w in held:
-                        row.append(held[w])
-                        continue
-                    code = cache.get(w)
-                    if code is None:
-                        code = [ids[p] for p in apply_merges([f"{b:02X}" for b in w.encode("utf-8")], ranks)]
-                        if len(cache) < cache_size:
-                            cache[w] = code
-                    row.extend(code)
-                out.append(row)
-            yield pd.Series(out)
+
+        def code_of(w: str) -> list[int]:
+            code = cache.get(w)
+            if code is None:
+                code = [held[w]] if w in held else [
+                    ids[p] for p in apply_merges([f"{b:02X}" for b in w.encode("utf-8")], ranks)]
+                if len(cache) < cache_size:
+                    cache[w] = code
+            return code
+
+        def coded(texts: list[list[str] | None]) -> list[list[int]]:
+            return [[i for w in words or () for i in code_of(w)] for words in texts]
+
+        yield from by_slices(batches, coded, pa.list_(pa.int32()))
 
     return run
 
@@ -425,10 +433,12 @@ def encode_texts(texts: DataFrame, vocabulary: Vocabulary, text: str = "text",
                  max_positions: int | None = MAX_POSITIONS, pad: bool = False) -> DataFrame:
     """Add ``ids``: [CLS] ids [SEP], cut to ``max_positions`` if given, padded right on demand.
 
-    A narrow pass: pre-tokens are cut in the JVM, looked up per Arrow batch with a bounded
-    memo of words already encoded.
+    A narrow pass: pre-tokens are cut in the JVM, looked up a few texts at a time with a bounded
+    memo of words already encoded. A pre-token has one id at least, so what lies beyond
+    ``max_positions`` of them is not encoded.
     """
-    raw = _encode_udf(vocabulary)(pretokens(F.col(text), vocabulary.reserved))
+    words = pretokens(F.col(text), vocabulary.reserved)
+    raw = _encode_udf(vocabulary)(words if max_positions is None else F.slice(words, 1, max_positions))
     framed = F.concat(F.array(F.lit(CLS)), F.col("_raw"), F.array(F.lit(SEP)))
     out = texts.withColumn("_raw", raw).withColumn("ids", framed)
     if max_positions is not None:

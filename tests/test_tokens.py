@@ -176,3 +176,25 @@ def test_pretrain_rows_and_embeddings(spark):
     for r in vectors:
         norm = sum(x * x for x in r["vec"])
         assert len(r["vec"]) == 4 and (norm == 0 if r["item_idx"] == 0 else abs(norm - 1) < 1e-9)
+
+
+def test_batches_become_python_values_a_few_rows_at_a_time():
+    import pyarrow as pa
+
+    seen = []
+
+    def sizes(rows):
+        seen.append(len(rows))
+        return [len(r or ()) for r in rows]
+
+    batches = [pa.array([[1] * (i % 3) for i in range(1000)] + [None]), pa.array([], pa.list_(pa.int64()))]
+    out = [a.to_pylist() for a in T.by_slices(iter(batches), sizes, pa.int32())]
+    assert out == [[i % 3 for i in range(1000)] + [0], []]
+    assert max(seen) <= T.SLICE_ROWS and sum(seen) == 1001
+
+
+def test_no_more_words_are_encoded_than_positions(spark, monkeypatch):
+    monkeypatch.setattr(T, "_encode_udf", lambda vocabulary: lambda words: F.array(F.size(words)))
+    texts = spark.createDataFrame([("a " * 1000,), ("a b",)], "text string")
+    ids = [r["ids"][1] for r in T.encode_texts(texts, T.Vocabulary(None, ())).collect()]
+    assert sorted(ids) == [2, T.MAX_POSITIONS]
