@@ -458,18 +458,33 @@ def pretrain_rows(items: DataFrame, features: DataFrame, vocabulary: Vocabulary,
         "item_idx", "ids", "features", hash_split(seed, F.col(ident), ratio).alias("heldout"))
 
 
-def decode(ids: Iterable[int], vocabulary: Vocabulary, held: dict[int, str] | None = None) -> str:
-    """Text of encoded ids without specials; ``held`` names reserved tokens by id."""
-    names = {i: t for t, i in vocabulary.ids().items()}
+def decoder(vocabulary: Vocabulary, held: dict[int, str] | None = None) -> Callable[[Iterable[int]], str]:
+    """A function from encoded ids to their text without specials; ``held`` names reserved tokens by id.
+
+    The tables are built once, here.
+    """
+    raw = {i: bytes.fromhex(t) for t, i in vocabulary.ids().items()}
     held = {i: t for t, i in vocabulary.held().items()} if held is None else held
-    out, raw = [], b""
-    for i in ids:
-        if i in names:
-            raw += bytes.fromhex(names[i])
-            continue
-        out.append(raw.decode("utf-8", "replace"))
-        raw = b""
-        if i >= len(SPECIALS):
-            out.append(held[i])
-    out.append(raw.decode("utf-8", "replace"))
-    return "".join(out)
+
+    def text(ids: Iterable[int]) -> str:
+        out: list[str] = []
+        run: list[bytes] = []
+        for i in ids:
+            symbol = raw.get(i)
+            if symbol is not None:
+                run.append(symbol)
+                continue
+            if run:
+                out.append(b"".join(run).decode("utf-8", "replace"))
+                run = []
+            if i >= len(SPECIALS):
+                out.append(held[i])
+        out.append(b"".join(run).decode("utf-8", "replace"))
+        return "".join(out)
+
+    return text
+
+
+def decode(ids: Iterable[int], vocabulary: Vocabulary, held: dict[int, str] | None = None) -> str:
+    """Text of the ids of one text."""
+    return decoder(vocabulary, held)(ids)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ..functions.vectors import round6
@@ -108,10 +110,10 @@ def bpe_encode(spark, folder):
     vocabulary = _document_vocabulary(spark, folder)
     coded = T.encode_texts(clean_docs(spark, folder), vocabulary, max_positions=None).filter(F.size("ids") > 2)
 
-    @F.pandas_udf("string")
-    def read(ids: pd.Series) -> pd.Series:
-        held = {i: t for t, i in vocabulary.held().items()}
-        return ids.map(lambda row: T.decode([int(i) for i in row], vocabulary, held).replace(" ", ""))
+    @F.arrow_udf("string")
+    def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        text = T.decoder(vocabulary)
+        yield from T.by_slices(batches, lambda rows: [text(ids).replace(" ", "") for ids in rows], pa.string())
 
     framed = (F.col("ids")[0] == T.CLS) & (F.element_at("ids", -1) == T.SEP)
     return coded.select("doc_id", F.md5(read("ids")).alias("letters"), framed.alias("framed"))

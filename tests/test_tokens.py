@@ -178,6 +178,16 @@ def test_pretrain_rows_and_embeddings(spark):
         assert len(r["vec"]) == 4 and (norm == 0 if r["item_idx"] == 0 else abs(norm - 1) < 1e-9)
 
 
+def test_tables_of_decoding_are_built_once(monkeypatch):
+    vocabulary = T.Vocabulary(None, (("61", "62"),))
+    built = []
+    plain = T.Vocabulary.ids
+    monkeypatch.setattr(T.Vocabulary, "ids", lambda self: built.append(1) or plain(self))
+    text = T.decoder(vocabulary, {})
+    rows = [[T.CLS, vocabulary.first_byte + 256, T.SEP], [T.CLS, vocabulary.first_byte + ord("c"), T.SEP], [T.CLS, T.SEP]]
+    assert [text(r) for r in rows] == ["ab", "c", ""] and len(built) == 1
+
+
 def test_batches_become_python_values_a_few_rows_at_a_time():
     import pyarrow as pa
 
