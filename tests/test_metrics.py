@@ -82,6 +82,35 @@ def test_vectors_are_not_shuffled(spark):
         assert pooled.count() == 9
 
 
+def test_training_pairs_shuffle_no_vectors(spark):
+    """Vectors of candidates go to the examples' tasks, and what joins baskets of several draws is small."""
+    lines = spark.createDataFrame([(i % 9, 0, i % 4 + 1, 1) for i in range(99)], "basket long, draw int, item_idx long, qty long")
+    vectors = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(5)], "item_idx long, vec array<double>")
+    keys = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(9)], "basket long, facet_key string")
+    examples = spark.createDataFrame([(i, 0, j, 1.0, "p") for i in range(9) for j in (1, 4)],
+                                     "basket long, draw int, candidate long, label double, phase string")
+    priors = SC.Priors(spark.createDataFrame([(i, 0.2, 0.0) for i in range(5)], "item_idx long, q double, all_p double"),
+                       spark.createDataFrame([("a", 1, 3.0, 1.0)], "facet_key string, item_idx long, qty double, p double"),
+                       spark.createDataFrame([("a", 3.0)], "facet_key string, key_total double"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        baskets = SC.partial_baskets(lines, vectors, keys, priors, 2, ("basket", "draw"))
+        pairs = SC.pair_features(examples, baskets, vectors, priors, ("basket", "draw"), ("phase",))
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"Exchange hashpartitioning[^\n]*\n[^\n]*Project[^\n]*(mean#|AS mean|, mean)", plan), plan
+        assert "Exchange hashpartitioning(candidate" not in plan
+        rows = {(r["basket"], r["candidate"]): r for r in pairs.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(rows) == 18 and {r["phase"] for r in rows.values()} == {"p"}
+    for (basket, candidate), r in rows.items():
+        held = [x for i in range(99) if i % 9 == basket for x in [i % 4 + 1]]
+        mean, vec = np.array([np.mean(held), 1.0]), np.array([float(candidate), 1.0])
+        played, total = (3.0 if candidate == 1 else 0.0, 3.0) if basket % 2 == 0 else (0.0, 0.0)
+        assert abs(r["distance"] - np.linalg.norm(mean - vec)) < 1e-12 and abs(r["cosine"] - mean @ vec / np.linalg.norm(mean)) < 1e-12
+        assert abs(r["log_prior"] - math.log((played + 100 * 0.2) / (total + 100))) < 1e-12
+
+
 def test_kmeans_on_tight_clusters(spark):
     rng = np.random.default_rng(0)
     rows = [(i, (np.eye(4)[i % 3] + rng.normal(0, 0.01, 4)).tolist()) for i in range(90)]
