@@ -309,3 +309,25 @@ def test_isotonic_equals_the_max_min_formula(spark, monkeypatch, shape, blocks):
         left, right = max(h for h in held if h <= x), min(h for h in held if h >= x)
         assert abs(points[left] - f) < 1e-9 and abs(points[right] - f) < 1e-9
     assert IS.isotonic_breakpoints(df.limit(0)).collect() == []
+
+
+def test_lines_are_judged_where_they_meet(spark):
+    """Hashes and references reach lines that lie together by basket: no exchange carries them."""
+    lines = spark.createDataFrame([(i % 9, i % 5) for i in range(45)], "basket long, item_idx long")
+    named = spark.createDataFrame([(i, r) for i in range(3) for r in ("a", "b")] + [(1, "nobody")], "item_idx long, ref string")
+    carried = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(5)] + [(i, "unnamed") for i in range(5)], "item_idx long, ref string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        judged = E.compliance(lines, named, carried)
+        for out, what in ((E.jaccard_diversity(lines), "min\\(h0"), (judged, "sum\\((carried|named)")):
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning(item_idx") == 0, plan
+            assert not re.search(r"Exchange hashpartitioning\(basket[^\n]*\n[^\n]*" + what, plan), plan
+        got = judged.first()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    sets = {b: {i % 5 for i in range(45) if i % 9 == b} for b in range(9)}
+    texts = {(r["item_idx"], r["ref"]) for r in named.collect()}
+    bears = {(r["item_idx"], r["ref"]) for r in carried.collect()}
+    cases = [(any((m, ref) in bears for m in s - {i})) for s in sets.values() for i, ref in texts if i in s]
+    assert (got["cases"], got["compliant"]) == (len(cases), sum(cases))
