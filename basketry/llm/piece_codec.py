@@ -39,7 +39,9 @@ from .common import map_stream, texts_of
 #: Where the public model lies on this box; a parameter of every function.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-INDEX_CHARS, CACHE_CHUNKS, LONGEST_CHUNK, GROUP_CHARS = 500_000, 450_000, 2000, 5_000_000
+INDEX_CHARS, CACHE_CHUNKS, LONGEST_CHUNK, GROUP_CHARS = 500_000, 450_000, 2000, 2_000_000
+#: Seams that are remembered, and chunks that are no longer worth walking together.
+KNOWN_SEAMS, FEW_CHUNKS = 1_000_000, 200
 _CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -76,6 +78,8 @@ class Pieces:
         self.usable = sorted(i for i in plain if i in self.parts or len(self.text[i]) == 1)
         self.prefixes = PrefixLevels([self.text[i] for i in self.usable])
         self._fits: dict[int, bool] = {}
+        #: Pairs of pieces in order, and whether they fit; the first pair never occurs.
+        self._seams = np.array([-1], dtype=np.int64), np.array([False])
         #: Chunks and their ids as little-endian 32-bit numbers.
         self.cache: dict[str, bytes] = {}
         #: Texts of ids that stand for themselves; None for bytes, control and unknown ids.
@@ -128,7 +132,7 @@ class Pieces:
         key = left << 32 | right
         known = self._fits.get(key)
         if known is None:
-            if len(self._fits) > 1_000_000:
+            if len(self._fits) > KNOWN_SEAMS:
                 self._fits.clear()
             known = self._fits[key] = self._seam(left, right)
         return known
@@ -202,59 +206,115 @@ class Pieces:
         data[ends] = 0
         order = suffix_array(data, self.longest)
         starts, sizes, which = occurrences(data, order, self.prefixes)
-        sort = np.lexsort((-sizes, starts))
+        sort = np.argsort(starts * (self.longest + 1) - sizes)  # by start, the longest first; no two are equal
         starts, sizes = starts[sort], sizes[sort]
         ids = np.asarray(self.usable, dtype=np.int64)[which[sort]]
-        first = np.searchsorted(starts, np.arange(len(data) + 1)).tolist()
-        self._relax(chunks, ends.tolist(), first, sizes.tolist(), ids.tolist())
-
-    def _relax(self, chunks: list[str], ends: list[int], first: list[int], sizes: list[int], ids: list[int]) -> None:
-        """Walk every chunk along its edges; ``first[p]`` is the first edge that starts at ``p``."""
-        fits, cached, cache = self.fits, self._fits.get, self.cache
-        pack, begin = struct.Struct, 0
-        for chunk, end in zip(chunks, ends, strict=True):
-            at, before, found, tried = begin, -1, [], None
-            edge = first[at]
-            while at < end:
-                stop = first[at + 1]
-                if edge == stop and edge == first[at]:
-                    # No piece starts here: an unknown character, which merges with nothing.
-                    found.append((at, edge, before))
-                    at, before = at + 1, -1
-                    edge = first[at]
-                    continue
-                taken = False
-                while edge < stop:
-                    piece = ids[edge]
-                    if before < 0:
-                        ok = True
-                    else:
-                        ok = cached(before << 32 | piece)
-                        if ok is None:
-                            ok = fits(before, piece)
-                    if ok and not (tried and (at + sizes[edge], piece) in tried):
-                        taken = True
-                        break
-                    edge += 1
-                if taken:
-                    found.append((at, edge, before))
-                    at += sizes[edge]
-                    before = piece
-                    edge = first[at]
-                else:
-                    # A dead end: what led here leads nowhere.
-                    tried = tried or set()
-                    tried.add((at, before))
-                    at, edge, before = found.pop()
-                    edge += 1
-            out = []
-            for p, e, _ in found:
-                if e < first[p + 1]:
-                    out.append(ids[e])
-                else:
-                    out += self._ids(chunk[p - begin])
-            cache[chunk] = pack(f"<{len(out)}i").pack(*out)
-            begin = end + 1
+        first = np.searchsorted(starts, np.arange(len(data) + 1))
+        self._relax(chunks, ends, first, sizes, ids)
+
+    def _relax(self, chunks: list[str], ends: np.ndarray, first: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
+        """Walk all chunks along their edges at once, an edge a round; ``first[p]`` is the first edge that starts at ``p``.
+
+        From a dead end a chunk goes back to where its last piece began, for the next edge there. Chunks
+        with unknown characters, and the last few that still walk, are walked one by one from their start.
+        """
+        begins = np.concatenate(([0], ends[:-1] + 1))
+        # By place: the edge taken there, and where the piece that led there began.
+        taken, came = np.zeros(len(first), dtype=np.int64), np.zeros(len(first), dtype=np.int64)
+        live, alone = np.arange(len(chunks)), []
+        at, edge, before = begins.copy(), first[begins], np.full(len(chunks), -1, dtype=np.int64)
+        while len(live) > FEW_CHUNKS:
+            stop = first[at + 1]
+            back = np.nonzero(edge == stop)[0]
+            if len(back):
+                lost = (first[at[back]] == stop[back]) | (at[back] == begins[live[back]])
+                here = np.where(lost, at[back], came[at[back]])
+                at[back], edge[back] = here, taken[here] + 1
+                before[back] = np.where(here == begins[live[back]], -1, ids[taken[came[here]]])
+                if lost.any():
+                    alone.append(live[back[lost]])
+                    go = np.ones(len(live), dtype=bool)
+                    go[back[lost]] = False
+                    live, at, edge, before = live[go], at[go], edge[go], before[go]
+            tries = np.nonzero(edge < first[at + 1])[0]
+            piece, last = ids[edge[tries]], before[tries]
+            ok = last < 0
+            seams = np.nonzero(~ok)[0]
+            ok[seams] = self._fitting(last[seams] << 32 | piece[seams])
+            edge[tries[~ok]] += 1
+            step = tries[ok]
+            place = at[step]
+            taken[place] = edge[step]
+            at[step] += sizes[edge[step]]
+            came[at[step]] = place
+            before[step] = piece[ok]
+            edge[step] = first[at[step]]
+            go = at < ends[live]
+            if not go.all():
+                live, at, edge, before = live[go], at[go], edge[go], before[go]
+        again = set(np.concatenate([*alone, live]).tolist())
+        # Read back from the ends.
+        which, pieces = [], []
+        live = np.setdiff1d(np.arange(len(chunks)), np.fromiter(again, dtype=np.int64, count=len(again)))
+        at = ends[live]
+        while len(live):
+            at = came[at]
+            which.append(live)
+            pieces.append(ids[taken[at]])
+            go = at > begins[live]
+            live, at = live[go], at[go]
+        packed, upto = b"", [0] * len(chunks)
+        if which:
+            which, pieces = np.concatenate(which[::-1]), np.concatenate(pieces[::-1])
+            packed = pieces[np.argsort(which, kind="stable")].astype("<i4").tobytes()
+            upto = (4 * np.cumsum(np.bincount(which, minlength=len(chunks)))).tolist()
+        begin = 0
+        for k, (chunk, end) in enumerate(zip(chunks, upto, strict=True)):
+            self.cache[chunk] = self._walk(chunk, int(begins[k]), first, sizes, ids) if k in again else packed[begin:end]
+            begin = end
+
+    def _fitting(self, keys: np.ndarray) -> np.ndarray:
+        """``fits`` for pairs of pieces, ``left << 32 | right``; what was asked before is kept in order."""
+        known, answers = self._seams
+        place = np.searchsorted(known, keys)
+        new = np.unique(keys[known[np.minimum(place, len(known) - 1)] != keys])
+        if len(new):
+            if len(known) > KNOWN_SEAMS:
+                known, answers = known[:1], answers[:1]
+                new = np.unique(keys)
+            found = np.fromiter((self._seam(k >> 32, k & 0xFFFFFFFF) for k in new.tolist()), dtype=bool, count=len(new))
+            where = np.searchsorted(known, new)
+            known, answers = self._seams = np.insert(known, where, new), np.insert(answers, where, found)
+            place = np.searchsorted(known, keys)
+        return answers[place]
+
+    def _walk(self, chunk: str, begin: int, first: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> bytes:
+        """One chunk along its edges, stepping back from dead ends; unknown characters merge with nothing."""
+        end, low = len(chunk), int(first[begin])
+        first = (first[begin:begin + end + 1] - low).tolist()
+        sizes, ids = sizes[low:low + first[-1]].tolist(), ids[low:low + first[-1]].tolist()
+        at, before, found, tried = 0, -1, [], set()
+        edge = 0
+        while at < end:
+            stop = first[at + 1]
+            if edge == stop and edge == first[at]:
+                # No piece starts here.
+                found.append((at, edge, before))
+                at, before = at + 1, -1
+                edge = first[at]
+                continue
+            while edge < stop and not ((before < 0 or self.fits(before, ids[edge])) and (at + sizes[edge], ids[edge]) not in tried):
+                edge += 1
+            if edge < stop:
+                found.append((at, edge, before))
+                at, before = at + sizes[edge], ids[edge]
+                edge = first[at]
+            else:
+                # A dead end: what led here leads nowhere.
+                tried.add((at, before))
+                at, edge, before = found.pop()
+                edge += 1
+        return _packed([i for p, e, _ in found for i in ([ids[e]] if e < first[p + 1] else self._ids(chunk[p]))])
 
     # -- decoding -----------------------------------------------------------------------------
 
@@ -265,17 +325,28 @@ class Pieces:
             return "".join(map(self.plain.__getitem__, ids.tolist())).removeprefix(MARK).replace(MARK, " ")
         parts: list[str] = []
         held = bytearray()
-        for i in ids.tolist():
+
+        def flush() -> None:
+            if held:
+                parts.append(held.decode("utf-8", "replace"))
+                held.clear()
+
+        codes, at = ids.tolist(), 0
+        for o in [*np.nonzero(self.odd[ids])[0].tolist(), len(codes)]:
+            if o > at:
+                flush()
+                parts += map(self.plain.__getitem__, codes[at:o])
+            at = o + 1
+            if o == len(codes):
+                break
+            i = codes[o]
             if i in self.value:
                 held.append(self.value[i])
                 continue
-            if held:
-                parts.append(held.decode("utf-8", "replace"))
-                held = bytearray()
+            flush()
             if i not in self.special:
                 parts.append(" ⁇ " if i == self.unknown else self.text[i])
-        if held:
-            parts.append(held.decode("utf-8", "replace"))
+        flush()
         return "".join(parts).removeprefix(MARK).replace(MARK, " ")
 
 
@@ -319,12 +390,12 @@ def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
     """Starts of suffixes, sorted by their first ``depth`` or more characters (prefix doubling)."""
     n = len(data)
     rank = np.unique(data, return_inverse=True)[1].astype(np.int64)
-    order = np.argsort(rank, kind="stable")
+    order = np.argsort(rank)
     step = 1
     while step < depth:
         key = rank * (n + 1)
         key[:n - step] += rank[step:] + 1
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         sorted_key = key[order]
         fresh = np.empty(n, dtype=np.int64)
         fresh[order] = np.concatenate(([0], np.cumsum(sorted_key[1:] != sorted_key[:-1])))

@@ -361,6 +361,29 @@ def test_cache_limit_changes_nothing(codec, monkeypatch):
     assert [x.tolist() for x in codec.encode_texts(texts)] == want
 
 
+def test_chunks_walk_together(monkeypatch):
+    """Chunks of known characters need no walk of their own, dead ends included; the others give the same ids."""
+    import random
+
+    import sentencepiece
+
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("aeinrst") for _ in range(rng.randrange(1, 14))) for _ in range(3000)]
+    library = sentencepiece.SentencePieceProcessor(model_file=piece_codec.MODEL)
+    with open(piece_codec.MODEL, "rb") as f:
+        model = f.read()
+    monkeypatch.setattr(piece_codec, "FEW_CHUNKS", 0)
+    together = piece_codec.Pieces(model)
+    monkeypatch.setattr(together, "_walk", None)
+    assert [x.tolist() for x in together.encode_texts(texts)] == library.encode(texts)
+    odd = [t + "\u0b85\U0001f9ff" * (k % 2) for k, t in enumerate(texts)]
+    for few in (0, 10_000):
+        monkeypatch.setattr(piece_codec, "FEW_CHUNKS", few)
+        codec = piece_codec.Pieces(model)
+        ids = codec.encode_texts(odd)
+        assert [x.tolist() for x in ids] == library.encode(odd) and [codec.decode(x) for x in ids] == odd
+
+
 def test_suffix_array_finds_every_occurrence():
     import numpy as np
 
