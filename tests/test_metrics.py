@@ -331,3 +331,18 @@ def test_lines_are_judged_where_they_meet(spark):
     bears = {(r["item_idx"], r["ref"]) for r in carried.collect()}
     cases = [(any((m, ref) in bears for m in s - {i})) for s in sets.values() for i, ref in texts if i in s]
     assert (got["cases"], got["compliant"]) == (len(cases), sum(cases))
+
+
+def test_nearest_centres_by_product_equal_plain_ones(monkeypatch):
+    """Only points between centres meet them one by one, and labels and distances are the plain ones to the bit."""
+    rng = np.random.default_rng(2)
+    centres = np.vstack([rng.normal(size=(9, 16)), np.zeros((1, 16))])
+    centres = np.vstack([centres, centres[3], centres[0] + 1e-15])
+    x = np.vstack([rng.normal(size=(500, 16)), centres, (centres[1:5] + centres[2:6]) / 2, 1e6 + centres, np.full((1, 16), np.nan)])
+    clusters = np.arange(12, dtype=np.int32) * 2
+    plain, met = K._plain_distances, []
+    monkeypatch.setattr(K, "_plain_distances", lambda x, *rest: met.append(len(x)) or plain(x, *rest))
+    monkeypatch.setattr(K, "PRODUCT_NUMBERS", 1200)
+    label, best = K._distances(x, clusters, centres)
+    want, far = plain(x, clusters, centres)
+    assert (label == want).all() and (best == far).all() and sum(met) < 200
