@@ -311,6 +311,29 @@ def test_isotonic_equals_the_max_min_formula(spark, monkeypatch, shape, blocks):
     assert IS.isotonic_breakpoints(df.limit(0)).collect() == []
 
 
+def test_own_items_and_means_share_an_exchange(spark):
+    """Lines are dealt out by basket once, for the lists of own items and the means; lists are not dealt out again."""
+    lines = spark.createDataFrame([(i % 9, i % 4 + 1, 1) for i in range(99)] + [(3, None, 2), (20, None, 1)], "basket long, item_idx long, qty long")
+    vectors = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(5)], "item_idx long, vec array<double>")
+    keys = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(30)], "basket long, facet_key string")
+    priors = SC.Priors(None, None, spark.createDataFrame([("a", 3.0)], "facet_key string, key_total double"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        baskets = SC.partial_baskets(lines, vectors, keys, priors, 2)
+        plan = baskets._jdf.queryExecution().executedPlan().toString()
+        assert "ReusedExchange" in plan and plan.count("- Exchange hashpartitioning(basket") == 2, plan  # lines, keys
+        rows = {r["basket"]: r for r in baskets.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert set(rows) == set(range(9))
+    for basket, r in rows.items():
+        own = Counter(i % 4 + 1 for i in range(99) if i % 9 == basket)
+        assert len(r["own_items"]) == 11 and Counter(r["own_items"]) == own and sum(r["own_qty"]) == 11
+        assert np.allclose(r["mean"], [sum(i * n for i, n in own.items()) / 11, 1.0])
+
+
 def test_lines_are_judged_where_they_meet(spark):
     """Hashes and references reach lines that lie together by basket: no exchange carries them."""
     lines = spark.createDataFrame([(i % 9, i % 5) for i in range(45)], "basket long, item_idx long")
