@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,14 +69,22 @@ def require_shape(vectors: DataFrame, vocabulary: int) -> int:
 
 
 def packed_vectors(vectors: DataFrame, dtype: str = "float16", index: str = "item_idx") -> DataFrame:
-    """``(item_idx, raw)``: little-endian bytes per row, range partitioned and sorted by index."""
+    """``(item_idx, raw)``: little-endian bytes per row, range partitioned and sorted by index; null stays null.
+
+    A batch is packed as one run of numbers, without an object per row.
+    """
     if dtype not in _DTYPES:
         raise ValueError(f"unsupported type: {dtype}")
     code = _DTYPES[dtype]
 
-    @F.pandas_udf("binary")
-    def pack(vec: pd.Series) -> pd.Series:
-        return vec.map(lambda v: np.asarray(v, dtype=code).tobytes())
+    @F.arrow_udf("binary")
+    def pack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for vec in batches:
+            numbers = vec.flatten().to_numpy(zero_copy_only=False).astype(code)
+            ends = np.cumsum(pc.list_value_length(vec).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64) * numbers.itemsize
+            offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
+            raw = pa.Array.from_buffers(pa.binary(), len(vec), [None, offsets.buffers()[1], pa.py_buffer(numbers)])
+            yield pc.if_else(vec.is_valid(), raw, pa.scalar(None, pa.binary())) if vec.null_count else raw
 
     ordered = vectors.repartitionByRange(shuffle_width(vectors.sparkSession), index).sortWithinPartitions(index)
     return ordered.select(index, pack("vec").alias("raw"))
@@ -87,9 +96,15 @@ def unpacked_vectors(packed: DataFrame, dtype: str = "float16", index: str = "it
         raise ValueError(f"unsupported type: {dtype}")
     code = _DTYPES[dtype]
 
-    @F.pandas_udf("array<double>")
-    def unpack(raw: pd.Series) -> pd.Series:
-        return raw.map(lambda r: np.frombuffer(r, dtype=code).astype(np.float64))
+    @F.arrow_udf("array<double>")
+    def unpack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for raw in batches:
+            held = raw.cast(pa.binary()).fill_null(b"")
+            ends = np.frombuffer(held.buffers()[1], np.int32)[held.offset:held.offset + len(held) + 1] if len(held) else np.zeros(1, np.int32)
+            body = held.buffers()[2] if ends[-1] > ends[0] else b""
+            numbers = np.frombuffer(body, np.uint8)[ends[0]:ends[-1]].view(code).astype(np.float64)
+            offsets = pa.array((ends - ends[0]) // np.dtype(code).itemsize, pa.int32())
+            yield pa.ListArray.from_arrays(offsets, pa.array(numbers), mask=raw.is_null() if raw.null_count else None)
 
     return packed.select(index, unpack("raw").alias("vec"))
 

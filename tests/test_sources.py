@@ -82,6 +82,25 @@ def test_packed_vectors(spark):
         A.require_shape(vectors, 2)
 
 
+def test_packed_vectors_of_odd_rows(spark):
+    """Null vectors stay null, empty ones empty; a missing number is NaN; sliced batches and widths that differ come back."""
+    rows = [(i, None if i % 7 == 3 else [float(j) / 8 - i % 90 for j in range(i % 5)]) for i in range(300)] + [(300, [1.0, None, float("inf")])]
+    vectors = spark.createDataFrame(rows, "item_idx long, vec array<float>")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    try:
+        for dtype in ("float16", "float32"):
+            packed = A.packed_vectors(vectors, dtype)
+            size = np.dtype(dtype).itemsize
+            assert {r["item_idx"]: None if r["raw"] is None else len(r["raw"]) for r in packed.collect()} == {
+                i: None if v is None else size * len(v) for i, v in rows}
+            got = {r["item_idx"]: r["vec"] for r in A.unpacked_vectors(packed, dtype).collect()}
+            assert got[300][0] == 1.0 and np.isnan(got[300][1]) and got[300][2] == float("inf")
+            assert {i: got[i] for i in range(300)} == dict(rows[:300])
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert A.unpacked_vectors(A.packed_vectors(vectors.limit(0))).collect() == []
+
+
 def test_feature_files(spark, tmp_path):
     rows = spark.createDataFrame([(0, [0.0] * 8)], "item_idx long, features array<double>")
     layout = spark.createDataFrame([("cost", 2, 0), ("inks", 6, 2)], "block string, length int, start int")
