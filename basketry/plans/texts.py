@@ -13,6 +13,7 @@ from ..operators import masking as MK
 from ..operators import metrics as M
 from ..operators import models as MO
 from ..operators import tokens as T
+from ..operators.lookup import spread
 from ..session import cut_lineage
 from . import binding as b
 from .binding import r6, u32_sql, with_ctes
@@ -41,10 +42,10 @@ _WORD = (r"''s|''t|''re|''ve|''m|''ll|''d| ?\p{L}+| ?\p{N}+| ?[^\s\x0b\x1c-\x1f\
 
 
 def clean_docs(spark, folder):
-    """Normalised texts; one that normalises to nothing has no tokens."""
+    """Normalised texts, dealt out evenly; one that normalises to nothing has no tokens."""
     from ..functions.text import normalise_text
 
-    return b.table(spark, folder, "documents").filter(F.length("text") > 0).select(
+    return spread(b.table(spark, folder, "documents").filter(F.length("text") > 0).select("doc_id", "text")).select(
         "doc_id", normalise_text(F.col("text")).alias("text"))
 
 

@@ -208,3 +208,15 @@ def test_no_more_words_are_encoded_than_positions(spark, monkeypatch):
     texts = spark.createDataFrame([("a " * 1000,), ("a b",)], "text string")
     ids = [r["ids"][1] for r in T.encode_texts(texts, T.Vocabulary(None, ())).collect()]
     assert sorted(ids) == [2, T.MAX_POSITIONS]
+
+
+def test_texts_of_one_row_group_are_dealt_out(spark, tmp_path):
+    """A file of one row group is read by one task, but its texts are normalised and cut in many."""
+    from basketry.plans.texts import clean_docs
+
+    rows = [(i, f"Text  {i}") for i in range(200)] + [(200, ""), (201, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = clean_docs(spark, str(tmp_path))
+    sizes = [r["n"] for r in docs.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 4 and sum(sizes) == 200 and max(sizes) < 100
+    assert sorted(r["doc_id"] for r in docs.collect()) == list(range(200))
