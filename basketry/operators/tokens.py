@@ -7,6 +7,7 @@ from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import SPACE
 from ..session import cut_lineage, ship_package
+from .drawing import NONE, lengths
 from .names import CUT, HELD, NameTable, load, marked, write_names
 from .ranking import rank_by_range
 
@@ -36,8 +38,10 @@ WINDOW_PAIRS, LEVEL_PAIRS, WINDOW_FRAGMENTS = 4096, 65536, 50_000
 # Words of up to so many symbols are merged by rescanning, longer ones by a heap.
 SCANNED = 32
 NEVER = 1 << 62
-# Rows of an Arrow batch that are Python objects at a time.
+# Rows of an Arrow batch that are Python objects at a time, words or ids of one in arrays, and words merged in step.
 SLICE_ROWS = 200
+SLICE_VALUES = 1 << 18
+STEP_WORDS = 8192
 
 
 def reserved_tokens(items: DataFrame, name: str = "name", classes: str = "classes",
@@ -401,30 +405,111 @@ def by_slices(batches: Iterator[pa.Array], fn: Callable[[list], list], kind: pa.
         yield pa.concat_arrays(parts) if parts else pa.array([], kind)
 
 
-def _encode_udf(vocabulary: Vocabulary, cache_size: int = 1 << 16):
-    ranks: dict[tuple[str, str], int] = {}
-    for no, pair in enumerate(vocabulary.merges):
-        ranks.setdefault(pair, no)
-    ids = vocabulary.ids()
+def by_values(batches: Iterator[pa.Array], fn: Callable[[pa.ListArray], pa.Array], kind: pa.DataType) -> Iterator[pa.Array]:
+    """``fn`` over some rows of a list column at a time, ``SLICE_VALUES`` values as near as rows allow: what it makes of them is bounded."""
+    for batch in batches:
+        load, at, parts = np.cumsum(lengths(batch) + 1), 0, []
+        while at < len(batch):
+            end = max(int(np.searchsorted(load, (load[at - 1] if at else 0) + SLICE_VALUES, "right")), at + 1)
+            parts.append(fn(batch.slice(at, end - at)))
+            at = end
+        yield pa.concat_arrays(parts) if parts else pa.array([], kind)
 
+
+def spans(sizes: np.ndarray, taken: np.ndarray) -> np.ndarray:
+    """Places of the parts ``taken``, one after the other, in an array where part ``i`` has ``sizes[i]`` values."""
+    n = sizes[taken]
+    return np.repeat((np.cumsum(sizes) - sizes)[taken] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
+class _Merger:
+    """``apply_merges`` on ids, for many words in step: a round merges one pair of every word that has one left."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        self.ids = vocabulary.ids()
+        self.ranks: dict[tuple[str, str], int] = {}
+        for no, pair in enumerate(vocabulary.merges):
+            self.ranks.setdefault(pair, no)
+        self.byte = np.array([self.ids[f"{b:02X}"] for b in range(256)], np.int64)
+        self.wide = max(self.ids.values()) + 1
+        pairs = [(self.ids[a] * self.wide + self.ids[b], no, self.ids[a + b])
+                 for (a, b), no in self.ranks.items() if a in self.ids and b in self.ids]
+        table = np.array(sorted(pairs), np.int64).reshape(-1, 3)
+        self.key, self.rank = table[:, 0].copy(), table[:, 1].copy()
+        self.made = np.zeros(len(vocabulary.merges), np.int64)
+        self.made[self.rank] = table[:, 2]
+
+    def _ranked(self, lhs: np.ndarray, rhs: np.ndarray) -> np.ndarray:
+        """Ranks of pairs, ``NEVER`` for those that are not merged; ids below 0 are none."""
+        if not len(self.key):
+            return np.full(lhs.shape, NEVER, np.int64)
+        key = lhs * self.wide + rhs
+        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        return np.where((self.key[at] == key) & (lhs >= 0) & (rhs >= 0), self.rank[at], NEVER)
+
+    def _in_step(self, words: list[bytes]) -> list[np.ndarray]:
+        size = np.array([len(w) for w in words])
+        there = np.arange(size.max()) < size[:, None]
+        ids = np.full(there.shape, -1, np.int64)
+        ids[there] = self.byte[np.frombuffer(b"".join(words), np.uint8)]
+        found, live = self._ranked(ids[:, :-1], ids[:, 1:]), np.arange(len(words))
+        out: list[np.ndarray] = [NONE] * len(words)
+        while len(live):
+            least = found.min(axis=1, initial=NEVER)
+            done = least == NEVER
+            for no, word in zip(live[done].tolist(), ids[done]):
+                out[no] = word[word >= 0].astype(np.int32)
+            ids, found, live, least = ids[~done], found[~done], live[~done], least[~done]
+            if not len(live):
+                break
+            at, each = found.argmin(axis=1), np.arange(len(live))
+            ids[each, at] = self.made[least]
+            rest = np.arange(ids.shape[1] - 1)
+            ids = np.take_along_axis(ids, rest + (rest > at[:, None]), 1)
+            rest = rest[:-1]
+            found = np.take_along_axis(found, rest + (rest >= at[:, None]), 1)
+            left, right = at > 0, at < len(rest)
+            found[each[left], at[left] - 1] = self._ranked(ids[each[left], at[left] - 1], ids[each[left], at[left]])
+            found[each[right], at[right]] = self._ranked(ids[each[right], at[right]], ids[each[right], at[right] + 1])
+        return out
+
+    def codes(self, words: Sequence[str]) -> list[np.ndarray]:
+        """Ids of every word."""
+        raw = [w.encode("utf-8") for w in words]
+        out: list[np.ndarray] = [NONE] * len(raw)
+        short = sorted((i for i, w in enumerate(raw) if 0 < len(w) <= SCANNED), key=lambda i: len(raw[i]))
+        for at in range(0, len(short), STEP_WORDS):
+            some = short[at:at + STEP_WORDS]
+            for i, code in zip(some, self._in_step([raw[i] for i in some])):
+                out[i] = code
+        for i, w in enumerate(raw):
+            if len(w) > SCANNED:
+                out[i] = np.array([self.ids[p] for p in apply_merges([f"{b:02X}" for b in w], self.ranks)], np.int32)
+        return out
+
+
+def _encode_udf(vocabulary: Vocabulary, cache_size: int = 1 << 18):
     @F.arrow_udf("array<int>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        cache: dict[str, list[int]] = {}
-        held = vocabulary.held()
-
-        def code_of(w: str) -> list[int]:
-            code = cache.get(w)
-            if code is None:
-                code = [held[w]] if w in held else [
-                    ids[p] for p in apply_merges([f"{b:02X}" for b in w.encode("utf-8")], ranks)]
-                if len(cache) < cache_size:
-                    cache[w] = code
-            return code
-
-        def coded(texts: list[list[str] | None]) -> list[list[int]]:
-            return [[i for w in words or () for i in code_of(w)] for words in texts]
-
-        yield from by_slices(batches, coded, pa.list_(pa.int32()))
+        held, merger = vocabulary.held(), _Merger(vocabulary)
+        cache = {w: np.array([i], np.int32).tobytes() for w, i in held.items()}
+
+        def coded(texts: pa.ListArray) -> pa.Array:
+            words, count = texts.flatten().dictionary_encode(), lengths(texts)
+            distinct = words.dictionary.to_pylist()
+            new = [w for w in distinct if w not in cache]
+            fresh = dict(zip(new, [c.astype(np.int32).tobytes() for c in merger.codes(new)]))
+            codes = [cache[w] if w in cache else fresh[w] for w in distinct]
+            for w, code in fresh.items():
+                if len(cache) >= cache_size + len(held):
+                    break
+                cache[w] = code
+            size, word = np.array([len(c) // 4 for c in codes], np.int64), words.indices.to_numpy(zero_copy_only=False)
+            flat = np.frombuffer(b"".join(codes), np.int32)[spans(size, word)]
+            upto = np.concatenate(([0], np.cumsum(size[word])))[np.concatenate(([0], np.cumsum(count)))]
+            return pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(flat, pa.int32()))
+
+        yield from by_values(batches, coded, pa.list_(pa.int32()))
 
     return run
 
@@ -433,8 +518,8 @@ def encode_texts(texts: DataFrame, vocabulary: Vocabulary, text: str = "text",
                  max_positions: int | None = MAX_POSITIONS, pad: bool = False) -> DataFrame:
     """Add ``ids``: [CLS] ids [SEP], cut to ``max_positions`` if given, padded right on demand.
 
-    A narrow pass: pre-tokens are cut in the JVM, looked up a few texts at a time with a bounded
-    memo of words already encoded. A pre-token has one id at least, so what lies beyond
+    A narrow pass: pre-tokens are cut in the JVM, the distinct ones of some texts at a time are looked up with
+    a bounded memo of words already encoded. A pre-token has one id at least, so what lies beyond
     ``max_positions`` of them is not encoded.
     """
     words = pretokens(F.col(text), vocabulary.reserved)
@@ -485,6 +570,39 @@ def decoder(vocabulary: Vocabulary, held: dict[int, str] | None = None) -> Calla
     return text
 
 
+def batch_decoder(vocabulary: Vocabulary) -> Callable[[pa.ListArray], pa.Array]:
+    """``decoder`` for many texts at once: the bytes of all ids are put together from one table."""
+    held = {i: t for t, i in vocabulary.held().items()}
+    plain = decoder(vocabulary, held)
+    parts = [b""] * max(vocabulary.size, len(SPECIALS) + 1)
+    for symbol, i in vocabulary.ids().items():
+        parts[i] = bytes.fromhex(symbol)
+    for i, t in held.items():
+        parts[i] = parts[i] or t.encode()
+    size = np.array([len(x) for x in parts], np.int64)
+    table = np.frombuffer(b"".join(parts), np.uint8)
+
+    def read(texts: pa.ListArray) -> pa.Array:
+        count = lengths(texts)
+        ids = texts.flatten().to_numpy(zero_copy_only=False)
+        if len(ids) and ids.max() >= len(parts):
+            raise KeyError(int(ids.max()))
+        first = np.cumsum(count) - count
+        special = ids < len(SPECIALS)
+        special[first[count > 0]] = special[(first + count - 1)[count > 0]] = False
+        data = table[spans(size, ids)]
+        upto = np.concatenate(([0], np.cumsum(size[ids])))[np.concatenate(([0], np.cumsum(count)))]
+        raw = pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(upto.astype(np.int64).tobytes()), pa.py_buffer(data.tobytes())])
+        if not special.any():  # one within a text ends a run of bytes
+            try:
+                return raw.cast(pa.large_string()).cast(pa.string())
+            except pa.ArrowInvalid:
+                pass
+        return pa.array([plain(t or ()) for t in texts.to_pylist()], pa.string())
+
+    return read
+
+
 def decode(ids: Iterable[int], vocabulary: Vocabulary, held: dict[int, str] | None = None) -> str:
     """Text of the ids of one text."""
     return decoder(vocabulary, held)(ids)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from ..functions.vectors import round6
@@ -113,8 +114,8 @@ def bpe_encode(spark, folder):
 
     @F.arrow_udf("string")
     def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        text = T.decoder(vocabulary)
-        yield from T.by_slices(batches, lambda rows: [text(ids).replace(" ", "") for ids in rows], pa.string())
+        text = T.batch_decoder(vocabulary)
+        yield from T.by_values(batches, lambda ids: pc.replace_substring(text(ids), " ", ""), pa.string())
 
     framed = (F.col("ids")[0] == T.CLS) & (F.element_at("ids", -1) == T.SEP)
     return coded.select("doc_id", F.md5(read("ids")).alias("letters"), framed.alias("framed"))

@@ -220,3 +220,38 @@ def test_texts_of_one_row_group_are_dealt_out(spark, tmp_path):
     sizes = [r["n"] for r in docs.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
     assert len(sizes) == 4 and sum(sizes) == 200 and max(sizes) < 100
     assert sorted(r["doc_id"] for r in docs.collect()) == list(range(200))
+
+
+def test_words_merged_in_step_are_those_merged_one_by_one(spark):
+    """Ids of odd words and texts, each alone and all together, with a merge that is never met and two that make one symbol."""
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    merges = (("61", "62"), ("6162", "61"), ("62", "61"), ("61", "6261"), ("20", "61"), ("7A7A", "7A"), ("C3", "A4"), ("61", "61"))
+    vocabulary = T.Vocabulary(None, merges)
+    words = ["".join(rng.choice("aab zä") for _ in range(rng.randrange(1, 45))) for _ in range(400)] + ["", "a", "€"]
+    ranks = {pair: i for i, pair in reversed(list(enumerate(merges)))}
+    want = [[vocabulary.ids()[x] for x in T.apply_merges([f"{c:02X}" for c in w.encode()], ranks)] for w in words]
+    assert [c.tolist() for c in T._Merger(vocabulary).codes(words)] == want
+    plain = T.Vocabulary(None, ())
+    assert [c.tolist() for c in T._Merger(plain).codes(["ab", ""])] == [[plain.first_byte + 97, plain.first_byte + 98], []]
+    ids = [sum(want[i:i + 5], []) for i in range(0, len(words), 5)] + [[], None, [T.CLS, *want[3], T.SEP], [T.CLS, *want[3], T.SEP, *want[4]], [vocabulary.first_byte + 0xC3]]
+    read = T.batch_decoder(vocabulary)
+    for some in (ids, ids[:-2], ids[:-1]):
+        got = [t for part in T.by_values(iter([pa.array(some, pa.list_(pa.int32()))]), read, pa.string()) for t in part.to_pylist()]
+        assert got == [T.decode(x or (), vocabulary) for x in some]
+    parts = np.array([3, 0, 2])
+    assert T.spans(parts, np.array([2, 1, 0, 2])).tolist() == [3, 4, 0, 1, 2, 3, 4]
+
+
+def test_rows_of_many_words_are_worked_on_apart(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(T, "SLICE_VALUES", 50)
+    seen = []
+    rows = [[1] * (i % 70) for i in range(200)] + [None]
+    out = list(T.by_values(iter([pa.array(rows)]), lambda x: seen.append((len(x), len(x.flatten()))) or x, pa.list_(pa.int64())))
+    assert out[0].to_pylist() == rows and all(n == 1 or m <= 50 for n, m in seen)
